@@ -1,0 +1,57 @@
+"""Instant conversions as JVM column expressions.
+
+None of them reads the session time zone, so a job gives the same instants
+whatever zone the cluster runs in.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _c(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def ntz_micros(c) -> Column:
+    """Microseconds since the epoch of a wall-clock (timestamp_ntz) value read as UTC."""
+    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(c))
+
+
+def ntz_to_instant_ms(c) -> Column:
+    """timestamp_ntz read as UTC -> instant truncated to milliseconds."""
+    return F.timestamp_millis(F.floor(ntz_micros(c) / F.lit(1000)).cast("long"))
+
+
+def instant_to_ntz(c) -> Column:
+    """Instant -> its UTC wall-clock value as timestamp_ntz."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(c)), _epoch_ntz())
+
+
+def millis_to_instant(c) -> Column:
+    """Epoch milliseconds -> instant (D4 after the decoder's seconds*1000 + nanos div 10^6)."""
+    return F.timestamp_millis(_c(c))
+
+
+def instant_to_millis(c) -> Column:
+    return F.unix_millis(_c(c))
+
+
+def instant_to_pb_seconds(c) -> Column:
+    """E3, seconds part: floor(ms / 1000), so nanos stay in [0, 10^9)."""
+    return F.floor(F.unix_millis(_c(c)) / F.lit(1000)).cast("long")
+
+
+def instant_to_pb_nanos(c) -> Column:
+    """E3, nanos part: (ms mod 1000) * 10^6."""
+    return F.pmod(F.unix_millis(_c(c)), F.lit(1000)) * F.lit(1_000_000)
+
+
+def seconds(n: int) -> Column:
+    """A day-time interval of n seconds."""
+    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(int(n)))
