@@ -73,3 +73,8 @@ def lake_schema(schema: T.StructType) -> T.StructType:
     """The camelCase JSON-lake form of a typed schema."""
     return T.StructType([T.StructField(LAKE_NAMES[f.name], f.dataType, True)
                          for f in schema.fields])
+
+
+def with_source_ts(schema: T.StructType) -> T.StructType:
+    """A copy of ``schema`` with the arrival-time column appended."""
+    return T.StructType(list(schema.fields) + [T.StructField(SOURCE_TS, TS, True)])
