@@ -162,4 +162,11 @@ SELECT driver_id, {_start(86400)} AS interval_start,
 FROM kept GROUP BY 1, 2
 """),
     "tip_totals": _totals("tipped", 86400, ["total_tips"]),
+    "decode_rated": _with(f"SELECT source_ts, {_RATED_COLS} FROM wide "
+                          "WHERE kind = 'rated' AND event_id % 40 <> 0"),
+    "decode_tipped": _with(f"SELECT source_ts, {_TIPPED_COLS} FROM wide "
+                           "WHERE kind = 'tipped' AND event_id % 40 <> 0"),
+    "decode_journey": _with(f"SELECT source_ts, {_JOURNEY_COLS} FROM wide "
+                            "WHERE kind = 'journey' AND event_id % 40 <> 0"),
+    "stats_codec_roundtrip": _with(_stats("kept", 600)),
 }

@@ -16,6 +16,7 @@ from .functions.time import instant_to_ntz
 from .operators import aggregate, project, skew, validate
 from .operators.events import narrow
 from .plans import stats
+from .sources import topics
 from .sources.fixtures import fixture_events
 
 P10M = StatsParams(interval_seconds=600)
@@ -147,6 +148,44 @@ def tip_totals(spark, sf_dir):
     return for_check(_totals_of(spark, sf_dir, "tipped", ["total_tips"]))
 
 
+# -- D1-D5, E1-E4 ------------------------------------------------------------
+
+# Fixed value of the fault injection: payloads of every 40th event are
+# replaced by two 0xFF bytes (not a protobuf message); all rows are decoded.
+CORRUPT_MOD = 40
+CORRUPT_BYTES_HEX = "FFFF"
+
+
+def encoded_fixture(spark, sf_dir, params=P10M):
+    """The fixture as raw topic rows (E2), with the planted corrupt payloads."""
+    raw = topics.encode_events(_wide(spark, sf_dir), params, keep=("event_id",))
+    bad = F.col("event_id") % CORRUPT_MOD == 0
+    return raw.withColumn("value", F.when(bad, F.unhex(F.lit(CORRUPT_BYTES_HEX)))
+                          .otherwise(F.col("value")))
+
+
+def _decode_kind(kind):
+    def q(spark, sf_dir):
+        raw = encoded_fixture(spark, sf_dir)
+        wide = topics.decode_events(raw, P10M, keep=("event_id",))
+        return for_check(narrow(wide, kind, keep=("event_id",)))
+    q.__name__ = f"decode_{kind}"
+    return q
+
+
+decode_rated = _decode_kind("rated")
+decode_tipped = _decode_kind("tipped")
+decode_journey = _decode_kind("journey")
+
+
+def stats_codec_roundtrip(spark, sf_dir):
+    """Result rows -> output-topic payloads (E1, E3) -> decoded again."""
+    st = stats.driver_stats(_wide(spark, sf_dir), P10M)
+    raw = topics.encode_stats(st, P10M)
+    back = topics.decode_stats(raw, P10M)
+    return for_check(back.drop("source_ts"))
+
+
 QUERIES = {
     "driver_stats_10m": driver_stats_10m,
     "driver_stats_1d": driver_stats_1d,
@@ -162,4 +201,8 @@ QUERIES = {
     "journey_counters": journey_counters,
     "rating_average": rating_average,
     "tip_totals": tip_totals,
+    "decode_rated": decode_rated,
+    "decode_tipped": decode_tipped,
+    "decode_journey": decode_journey,
+    "stats_codec_roundtrip": stats_codec_roundtrip,
 }
