@@ -169,4 +169,10 @@ FROM kept GROUP BY 1, 2
     "decode_journey": _with(f"SELECT source_ts, {_JOURNEY_COLS} FROM wide "
                             "WHERE kind = 'journey' AND event_id % 40 <> 0"),
     "stats_codec_roundtrip": _with(_stats("kept", 600)),
+    "json_lake_roundtrip": _with("""
+SELECT kind, driver_id, rider_id, journey_id, rating, rated_at, amount, tipped_at,
+  finish_reason, started_at, ended_at, distance, price
+FROM valid
+"""),
+    "history_driver_stats": _with(_stats("es", 600)),
 }

@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .config import StatsParams, prepare_session
+from .config import StatsParams, prepare_session, run_dir
 from .functions.time import instant_to_ntz
 from .operators import aggregate, project, skew, validate
 from .operators.events import narrow
-from .plans import stats
-from .sources import topics
+from .plans import history, stats
+from .sources import lake, topics
 from .sources.fixtures import fixture_events
 
 P10M = StatsParams(interval_seconds=600)
@@ -186,6 +186,30 @@ def stats_codec_roundtrip(spark, sf_dir):
     return for_check(back.drop("source_ts"))
 
 
+# -- S3, S4, J3 ----------------------------------------------------------------
+
+def fixture_lake(spark, sf_dir) -> str:
+    """Write the valid fixture events to a fresh JSON lake (S4); its root."""
+    root = run_dir(spark, "lake")
+    wide = validate.valid(_wide(spark, sf_dir))
+    for kind in ("rated", "tipped", "journey"):
+        lake.write_lake(narrow(wide, kind), lake.lake_path(root, kind), kind)
+    return root
+
+
+def json_lake_roundtrip(spark, sf_dir):
+    """Typed events written to the lake and read back (S4 then S3)."""
+    root = fixture_lake(spark, sf_dir)
+    return for_check(history.read_history(spark, root).drop("source_ts"))
+
+
+def history_driver_stats(spark, sf_dir):
+    """Lake -> stats (no validation, no skew filter) -> stats lake -> read."""
+    root = fixture_lake(spark, sf_dir)
+    out = history.rebuild_stats(spark, root, lake.lake_path(root, "stats"), P10M)
+    return for_check(out)
+
+
 QUERIES = {
     "driver_stats_10m": driver_stats_10m,
     "driver_stats_1d": driver_stats_1d,
@@ -205,4 +229,6 @@ QUERIES = {
     "decode_tipped": decode_tipped,
     "decode_journey": decode_journey,
     "stats_codec_roundtrip": stats_codec_roundtrip,
+    "json_lake_roundtrip": json_lake_roundtrip,
+    "history_driver_stats": history_driver_stats,
 }
