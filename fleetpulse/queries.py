@@ -15,9 +15,10 @@ from .config import StatsParams, prepare_session, run_dir
 from .functions.time import instant_to_ntz
 from .operators import aggregate, project, skew, validate
 from .operators.events import narrow
-from .plans import history, stats
+from .plans import history, live, stats
 from .sources import lake, topics
 from .sources.fixtures import fixture_events
+from .streaming import runner
 
 P10M = StatsParams(interval_seconds=600)
 P1D = StatsParams(interval_seconds=86400)
@@ -210,6 +211,51 @@ def history_driver_stats(spark, sf_dir):
     return for_check(out)
 
 
+# -- S1, S2, T2, W3-W4, W6, J1 ------------------------------------------------
+
+# Arrival slices of the replayed log: one micro-batch per week of arrivals.
+ARRIVAL_SLICE_SECONDS = 7 * 86400
+STREAM_TIMEOUT_S = 900
+
+
+def replayed_fixture(spark, sf_dir, base, marker: bool) -> str:
+    """The encoded fixture (with corrupt payloads) as a topic log in arrival order."""
+    log = f"{base}/topic-log"
+    runner.write_replay_log(encoded_fixture(spark, sf_dir).drop("event_id"), log,
+                            f"{base}/staging", ARRIVAL_SLICE_SECONDS)
+    if marker:
+        topics.write_topic_log(runner.end_of_input(spark, P10M).coalesce(1), log)
+    return log
+
+
+def _state_partitions(spark) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
+def stream_driver_stats(spark, sf_dir):
+    """J1 end to end: payload log -> streaming job (append) -> payload sink -> decoded."""
+    base = run_dir(spark, "live")
+    log = replayed_fixture(spark, sf_dir, base, marker=True)
+    src = topics.read_topic_log(spark, log, stream=True, max_files_per_trigger=1)
+    q = runner.start_append(live.live_job(src, P10M), f"{base}/out", f"{base}/checkpoint",
+                            state_partitions=_state_partitions(spark))
+    runner.await_done(q, STREAM_TIMEOUT_S)
+    out = topics.decode_stats(topics.read_topic_log(spark, f"{base}/out"), P10M)
+    return for_check(out.drop("source_ts"))
+
+
+def stream_update_totals(spark, sf_dir):
+    """Running totals in update mode; the last emission per key."""
+    base = run_dir(spark, "update")
+    log = replayed_fixture(spark, sf_dir, base, marker=False)
+    src = topics.read_topic_log(spark, log, stream=True, max_files_per_trigger=1)
+    q = runner.start_update(live.live_stats(src, P10M), f"{base}/updates", f"{base}/checkpoint",
+                            state_partitions=_state_partitions(spark))
+    runner.await_done(q, STREAM_TIMEOUT_S)
+    upd = spark.read.parquet(f"{base}/updates")
+    return for_check(runner.last_per_key(upd, ["driver_id", "interval_start", "interval_end"]))
+
+
 QUERIES = {
     "driver_stats_10m": driver_stats_10m,
     "driver_stats_1d": driver_stats_1d,
@@ -231,4 +277,6 @@ QUERIES = {
     "stats_codec_roundtrip": stats_codec_roundtrip,
     "json_lake_roundtrip": json_lake_roundtrip,
     "history_driver_stats": history_driver_stats,
+    "stream_driver_stats": stream_driver_stats,
+    "stream_update_totals": stream_update_totals,
 }
