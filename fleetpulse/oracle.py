@@ -178,4 +178,5 @@ FROM valid
     # Streams read the encoded log, where every 40th payload is corrupt.
     "stream_driver_stats": _with(_stats("(SELECT * FROM kept WHERE event_id % 40 <> 0)", 600)),
     "stream_update_totals": _with(_stats("(SELECT * FROM kept WHERE event_id % 40 <> 0)", 600)),
+    "pane_deltas_total": _with(_stats("(SELECT * FROM kept WHERE event_id % 40 <> 0)", 600)),
 }

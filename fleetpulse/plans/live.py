@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..config import StatsParams
-from ..plans.stats import driver_stats
+from ..plans.stats import driver_stats, event_stats
 from ..sources.topics import decode_events, encode_stats
 
 # Names under which a running query reports its metrics (O1, B7 count).
@@ -31,3 +31,16 @@ def live_stats(raw: DataFrame, params: StatsParams = StatsParams(), *,
 def live_job(raw: DataFrame, params: StatsParams = StatsParams()) -> DataFrame:
     """Encoded result rows ``(value, topic, timestamp)``; timestamp = interval end."""
     return encode_stats(live_stats(raw, params), params)
+
+
+def live_pane_deltas(raw: DataFrame, params: StatsParams = StatsParams(),
+                     delay_seconds: float | None = None) -> DataFrame:
+    """The reference's live trigger - pane deltas fired ``delay_seconds``
+    (default: the interval) of processing time after each pane's first event."""
+    from ..streaming.panes import pane_deltas
+
+    wide = decode_events(raw, params, observation=DECODE_METRICS)
+    es = event_stats(wide, params, observation=SKEW_METRICS)
+    es = es.withWatermark("event_time", params.watermark)
+    delay = params.interval_seconds if delay_seconds is None else delay_seconds
+    return pane_deltas(es, params, delay)

@@ -256,6 +256,28 @@ def stream_update_totals(spark, sf_dir):
     return for_check(runner.last_per_key(upd, ["driver_id", "interval_start", "interval_end"]))
 
 
+# -- W5 ------------------------------------------------------------------------
+
+PANE_DELAY_SECONDS = 2       # short pane delay for a finite replay
+PANE_TRIGGER = "1 second"
+
+
+def pane_deltas_total(spark, sf_dir):
+    """Pane deltas of the live trigger, summed per key (= final totals)."""
+    from .streaming import panes
+
+    base = run_dir(spark, "panes")
+    log = replayed_fixture(spark, sf_dir, base, marker=False)
+    n_rows = topics.read_topic_log(spark, log).count()
+    src = topics.read_topic_log(spark, log, stream=True, max_files_per_trigger=1)
+    deltas = live.live_pane_deltas(src, P10M, PANE_DELAY_SECONDS)
+    q = runner.start_append(deltas, f"{base}/deltas", f"{base}/checkpoint",
+                            trigger={"processingTime": PANE_TRIGGER},
+                            state_partitions=_state_partitions(spark))
+    runner.await_quiet(q, n_rows, STREAM_TIMEOUT_S)
+    return for_check(panes.sum_deltas(spark.read.parquet(f"{base}/deltas")))
+
+
 QUERIES = {
     "driver_stats_10m": driver_stats_10m,
     "driver_stats_1d": driver_stats_1d,
@@ -279,4 +301,5 @@ QUERIES = {
     "history_driver_stats": history_driver_stats,
     "stream_driver_stats": stream_driver_stats,
     "stream_update_totals": stream_update_totals,
+    "pane_deltas_total": pane_deltas_total,
 }

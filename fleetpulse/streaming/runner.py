@@ -150,3 +150,28 @@ def progress_report(q: StreamingQuery) -> dict:
         "observed": {k: dict(v.asDict()) if hasattr(v, "asDict") else v
                      for k, v in (p.get("observedMetrics") or {}).items()},
     }
+
+
+def await_quiet(q: StreamingQuery, total_input_rows: int, timeout_s: float = 600,
+                poll_s: float = 0.5) -> dict:
+    """Wait until a processing-time query has read ``total_input_rows`` rows
+    and its state is empty (every pane fired), then stop it.  Returns the
+    last progress report.  Polls progress only; no data reaches the driver."""
+    import time
+
+    seen: dict = {}
+    deadline = time.time() + timeout_s
+    while time.time() < deadline:
+        if q.exception() is not None:
+            raise q.exception()
+        for p in q.recentProgress:
+            seen[p["batchId"]] = p.get("numInputRows", 0)
+        last = q.lastProgress
+        if last is not None and sum(seen.values()) >= total_input_rows:
+            rep = progress_report(q)
+            if last.get("numInputRows", 0) == 0 and rep["state_rows"] == 0:
+                q.stop()
+                return rep
+        time.sleep(poll_s)
+    q.stop()
+    raise TimeoutError(f"query {q.id} still had input or state after {timeout_s}s")
