@@ -150,7 +150,8 @@ def decode(raw: DataFrame, topic_kind: dict, keep: tuple = ()) -> DataFrame:
     'stats'.  Returns ``kind``, ``decode_ok``, the fields of those messages
     (timestamps as instants, null when not set), ``source_ts`` (the row's
     arrival time) and the ``keep`` columns.  Rows of other topics or with
-    malformed payloads come back with ``decode_ok = false``.
+    malformed payloads come back with ``decode_ok = false``.  ``topic`` is
+    always carried through.
     """
     kinds = set(topic_kind.values())
     types = _field_types()
@@ -161,7 +162,8 @@ def decode(raw: DataFrame, topic_kind: dict, keep: tuple = ()) -> DataFrame:
                 c = name + "_ms" if ftype == "ts" else name
                 if c not in columns:
                     columns.append(c)
-    keep_all = ("__arrival_us", *keep)
+    keep = tuple(k for k in keep if k != "topic")
+    keep_all = ("topic", "__arrival_us", *keep)
     src = raw.select("value", "topic", F.unix_micros("timestamp").alias("__arrival_us"), *keep)
     schema = T.StructType(
         [T.StructField("kind", T.StringType()), T.StructField("decode_ok", T.BooleanType())]

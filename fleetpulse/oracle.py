@@ -125,6 +125,42 @@ _TIPPED_COLS = "event_id, driver_id, rider_id, journey_id, amount, tipped_at"
 _JOURNEY_COLS = ("event_id, driver_id, rider_id, journey_id, finish_reason, started_at, "
                  "ended_at, distance, price")
 
+def _ts(c: str) -> str:
+    return f"strftime({c}, '%Y-%m-%dT%H:%M:%S.%gZ')"
+
+
+_FEED = f"""
+, stats AS ({_stats("kept", 600)}),
+feed AS (
+  SELECT
+    CASE kind WHEN 'rated' THEN 'input/driver_rated' WHEN 'tipped' THEN 'input/driver_tipped'
+              ELSE 'input/journey_finished' END AS topic,
+    CASE kind WHEN 'rated' THEN 'DriverRated' WHEN 'tipped' THEN 'DriverTipped'
+              ELSE 'JourneyFinished' END AS event_type,
+    driver_id,
+    CASE kind WHEN 'rated' THEN rated_at WHEN 'tipped' THEN tipped_at ELSE ended_at END AS event_time,
+    CAST(CASE kind
+      WHEN 'rated' THEN json_object('driver_id', driver_id, 'rider_id', rider_id,
+        'journey_id', journey_id, 'rated_at', {_ts("rated_at")}, 'rating', rating)
+      WHEN 'tipped' THEN json_object('driver_id', driver_id, 'rider_id', rider_id,
+        'journey_id', journey_id, 'tipped_at', {_ts("tipped_at")}, 'amount', amount)
+      ELSE json_object('journey_id', journey_id, 'driver_id', driver_id, 'rider_id', rider_id,
+        'finish_reason', finish_reason, 'started_at', {_ts("started_at")},
+        'ended_at', {_ts("ended_at")}, 'distance', distance, 'price', price)
+    END AS VARCHAR) AS payload
+  FROM wide WHERE event_id % 40 <> 0
+  UNION ALL
+  SELECT 'output/driver_stats', 'DriverStats', driver_id, interval_start,
+    CAST(json_object('driver_id', driver_id, 'interval_start', {_ts("interval_start")},
+      'interval_end', {_ts("interval_end")}, 'total_drop_offs', total_drop_offs,
+      'total_driver_cancels', total_driver_cancels, 'total_distance', total_distance,
+      'total_price', total_price, 'total_tips', total_tips,
+      'avg_rating', CAST(avg_rating AS DOUBLE)) AS VARCHAR)
+  FROM stats
+)
+SELECT * FROM feed
+"""
+
 ORACLE_SQL = {
     "driver_stats_10m": _with(_stats("kept", 600)),
     "driver_stats_1d": _with(_stats("kept", 86400)),
@@ -179,4 +215,5 @@ FROM valid
     "stream_driver_stats": _with(_stats("(SELECT * FROM kept WHERE event_id % 40 <> 0)", 600)),
     "stream_update_totals": _with(_stats("(SELECT * FROM kept WHERE event_id % 40 <> 0)", 600)),
     "pane_deltas_total": _with(_stats("(SELECT * FROM kept WHERE event_id % 40 <> 0)", 600)),
+    "decoded_feed": "WITH " + FIXTURE.strip() + _FEED,
 }

@@ -15,7 +15,7 @@ from .config import StatsParams, prepare_session, run_dir
 from .functions.time import instant_to_ntz
 from .operators import aggregate, project, skew, validate
 from .operators.events import narrow
-from .plans import history, live, stats
+from .plans import feed, history, live, stats
 from .sources import lake, topics
 from .sources.fixtures import fixture_events
 from .streaming import runner
@@ -278,6 +278,15 @@ def pane_deltas_total(spark, sf_dir):
     return for_check(panes.sum_deltas(spark.read.parquet(f"{base}/deltas")))
 
 
+# -- J4 ------------------------------------------------------------------------
+
+def decoded_feed(spark, sf_dir):
+    """The input topics and the output topic in one log, decoded by topic."""
+    events_raw = encoded_fixture(spark, sf_dir).drop("event_id")
+    stats_raw = topics.encode_stats(stats.driver_stats(_wide(spark, sf_dir), P10M), P10M)
+    return for_check(feed.decoded_feed(events_raw.unionByName(stats_raw), P10M))
+
+
 QUERIES = {
     "driver_stats_10m": driver_stats_10m,
     "driver_stats_1d": driver_stats_1d,
@@ -302,4 +311,5 @@ QUERIES = {
     "stream_driver_stats": stream_driver_stats,
     "stream_update_totals": stream_update_totals,
     "pane_deltas_total": pane_deltas_total,
+    "decoded_feed": decoded_feed,
 }
