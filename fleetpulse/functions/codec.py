@@ -14,8 +14,7 @@ callers count and drop it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..schemas import FINISH_REASONS, SOURCE_TS, UNRECOGNIZED
@@ -164,7 +163,8 @@ def decode(raw: DataFrame, topic_kind: dict, keep: tuple = ()) -> DataFrame:
                     columns.append(c)
     keep = tuple(k for k in keep if k != "topic")
     keep_all = ("topic", "__arrival_us", *keep)
-    src = raw.select("value", "topic", F.unix_micros("timestamp").alias("__arrival_us"), *keep)
+    src = raw.selectExpr("value", "topic", "unix_micros(timestamp) AS __arrival_us",
+                         *[f"`{k}`" for k in keep])
     schema = T.StructType(
         [T.StructField("kind", T.StringType()), T.StructField("decode_ok", T.BooleanType())]
         + [T.StructField(c, types[c]) for c in columns]
@@ -174,12 +174,12 @@ def decode(raw: DataFrame, topic_kind: dict, keep: tuple = ()) -> DataFrame:
     out = []
     for f in schema.fields:
         if f.name == "__arrival_us":
-            out.append(F.timestamp_micros(F.col(f.name)).alias(SOURCE_TS))
+            out.append(f"timestamp_micros(__arrival_us) AS {SOURCE_TS}")
         elif f.name.endswith("_ms") and f.name in types:
-            out.append(F.timestamp_millis(F.col(f.name)).alias(f.name[:-3]))
+            out.append(f"timestamp_millis({f.name}) AS {f.name[:-3]}")
         else:
-            out.append(F.col(f.name))
-    return decoded.select(*out)
+            out.append(f"`{f.name}`")
+    return decoded.selectExpr(*out)
 
 
 # ---------------------------------------------------------------------------
@@ -220,18 +220,18 @@ def _encode_batches(batches, kind_fixed, topic_of_kind, keep):
         yield pa.RecordBatch.from_arrays(arrays, ["value", "topic", *keep])
 
 
-def _checked_u32(name: str) -> Column:
-    c = F.col(name)
-    return F.when((c < 0) | (c > UINT32_MAX),
-                  F.raise_error(F.concat(F.lit(f"{name} out of uint32 range: "), c.cast("string")))
-                  ).otherwise(c)
+def _checked_u32(name: str) -> str:
+    return (f"CASE WHEN {name} < 0 OR {name} > {UINT32_MAX} THEN "
+            f"raise_error(concat('{name} out of uint32 range: ', CAST({name} AS STRING))) "
+            f"ELSE {name} END")
 
 
-def _checked_reason() -> Column:
-    c = F.col("finish_reason")
+def _checked_reason() -> str:
     # An unsupported finish reason fails the job.
-    return F.when(c.isNotNull() & ~c.isin(*FINISH_REASONS),
-                  F.raise_error(F.concat(F.lit("Unsupported finish reason "), c))).otherwise(c)
+    names = ", ".join(f"'{r}'" for r in FINISH_REASONS)
+    return ("CASE WHEN finish_reason IS NOT NULL AND finish_reason NOT IN (" + names + ") THEN "
+            "raise_error(concat('Unsupported finish reason ', finish_reason)) "
+            "ELSE finish_reason END")
 
 
 def encode(df: DataFrame, topic_of_kind: dict, kind: str | None = None,
@@ -243,7 +243,7 @@ def encode(df: DataFrame, topic_of_kind: dict, kind: str | None = None,
     names the instant column that becomes the row timestamp.
     """
     kinds = [kind] if kind else ["rated", "tipped", "journey"]
-    cols = [] if kind else [F.col("kind")]
+    cols = [] if kind else ["kind"]
     seen = set()
     for k in kinds:
         for name, _, ftype in WIRE[MESSAGE_OF_KIND[k]]:
@@ -251,18 +251,19 @@ def encode(df: DataFrame, topic_of_kind: dict, kind: str | None = None,
                 continue
             seen.add(name)
             if ftype == "ts":
-                cols.append(F.unix_millis(F.col(name)).alias(name + "_ms"))
+                cols.append(f"unix_millis({name}) AS {name}_ms")
             elif ftype == "u32":
-                cols.append(_checked_u32(name).alias(name))
+                cols.append(f"{_checked_u32(name)} AS {name}")
             elif ftype == "enum":
-                cols.append(_checked_reason().alias(name))
+                cols.append(f"{_checked_reason()} AS {name}")
             else:
-                cols.append(F.col(name))
+                cols.append(name)
     keep_all = ("__arrival_us", *keep)
-    src = df.select(*cols, F.unix_micros(F.col(arrival)).alias("__arrival_us"), *keep)
+    src = df.selectExpr(*cols, f"unix_micros({arrival}) AS __arrival_us", *[f"`{k}`" for k in keep])
     schema = T.StructType([T.StructField("value", T.BinaryType()),
                            T.StructField("topic", T.StringType())]
                           + [src.schema[k] for k in keep_all])
     tok = dict(topic_of_kind)
     enc = src.mapInArrow(lambda it: _encode_batches(it, kind, tok, keep_all), schema)
-    return enc.select("value", "topic", F.timestamp_micros("__arrival_us").alias("timestamp"), *keep)
+    return enc.selectExpr("value", "topic", "timestamp_micros(__arrival_us) AS timestamp",
+                          *[f"`{k}`" for k in keep])

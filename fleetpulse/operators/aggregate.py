@@ -20,26 +20,28 @@ def tumbling(interval: str, col: str = "event_time") -> Column:
     return F.window(col, interval)
 
 
-def average_rating(total: Column, n: Column) -> Column:
+def average_rating_sql(total: str = "total_rating", n: str = "number_of_ratings") -> str:
     """A4: total / n as float, 0 without ratings."""
+    return f"CAST(CASE WHEN {n} > 0 THEN {total} / {n} ELSE 0.0D END AS FLOAT)"
+
+
+def average_rating(total: Column, n: Column) -> Column:
     return F.when(n > 0, total / n).otherwise(F.lit(0.0)).cast("float")
 
 
 def sum_totals() -> list:
     """A3: the seven sums."""
-    return [F.sum(c).alias(c) for c in TOTALS]
+    return [F.expr(f"sum({c}) AS {c}") for c in TOTALS]
+
+
+FINISH_SQL = ("driver_id", "window.start AS interval_start", "window.end AS interval_end",
+              "total_drop_offs", "total_driver_cancels", "total_distance", "total_price",
+              "total_tips", f"{average_rating_sql()} AS avg_rating")
 
 
 def finish(totals: DataFrame) -> DataFrame:
     """P5: accumulator row -> result row (window bounds as data, W2/W7)."""
-    return totals.select(
-        "driver_id",
-        F.col("window.start").alias("interval_start"),
-        F.col("window.end").alias("interval_end"),
-        "total_drop_offs", "total_driver_cancels", "total_distance", "total_price",
-        "total_tips",
-        average_rating(F.col("total_rating"), F.col("number_of_ratings")).alias("avg_rating"),
-    )
+    return totals.selectExpr(*FINISH_SQL)
 
 
 def window_totals(event_stats: DataFrame, interval: str) -> DataFrame:

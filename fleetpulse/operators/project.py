@@ -2,31 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..schemas import SOURCE_TS, TOTALS
-from .events import event_time, per_kind
-
-def _zero() -> Column:
-    return F.lit(0).cast("long")
-
-
-def _one() -> Column:
-    return F.lit(1).cast("long")
-
-
-def _flag(cond: Column) -> Column:
-    return F.when(cond, _one()).otherwise(_zero())
-
+from .events import event_time_sql, per_kind_sql
 
 # Finish reasons that feed a counter.
 DROP_OFF = "DROP_OFF"
 DRIVER_CANCEL = "DRIVER_CANCEL"
 
 
-def total_columns() -> dict:
-    """Per total, its value for each kind (missing kinds contribute 0).
+def total_sql() -> dict:
+    """Per total, its SQL value for each kind (missing kinds contribute 0).
 
     P1 rated:   number_of_ratings = 1, total_rating = rating.
     P2 tipped:  total_tips = amount.
@@ -34,23 +21,23 @@ def total_columns() -> dict:
                 summed for every finish reason (rider and admin cancels hit no
                 counter but still count distance and price).
     """
-    fr = F.col("finish_reason")
+    zero = "CAST(0 AS BIGINT)"
     spec = {
-        "total_drop_offs": {"journey": _flag(fr == DROP_OFF)},
-        "total_driver_cancels": {"journey": _flag(fr == DRIVER_CANCEL)},
-        "total_distance": {"journey": F.coalesce(F.col("distance"), _zero())},
-        "total_price": {"journey": F.coalesce(F.col("price"), _zero())},
-        "total_tips": {"tipped": F.coalesce(F.col("amount"), _zero())},
-        "number_of_ratings": {"rated": _one()},
-        "total_rating": {"rated": F.coalesce(F.col("rating"), _zero())},
+        "total_drop_offs": {"journey": f"CASE WHEN finish_reason = '{DROP_OFF}' THEN 1L ELSE 0L END"},
+        "total_driver_cancels": {"journey": f"CASE WHEN finish_reason = '{DRIVER_CANCEL}' THEN 1L ELSE 0L END"},
+        "total_distance": {"journey": f"coalesce(distance, {zero})"},
+        "total_price": {"journey": f"coalesce(price, {zero})"},
+        "total_tips": {"tipped": f"coalesce(amount, {zero})"},
+        "number_of_ratings": {"rated": "1L"},
+        "total_rating": {"rated": f"coalesce(rating, {zero})"},
     }
-    return {name: per_kind(spec[name], otherwise=_zero()).alias(name) for name in TOTALS}
+    return {name: f"{per_kind_sql(spec[name], otherwise=zero)} AS {name}" for name in TOTALS}
 
 
 def to_event_stats(wide: DataFrame, keep: tuple = ()) -> DataFrame:
     """Project the wide frame to the common shape; carries ``source_ts``
     and any ``keep`` columns along."""
-    extra = [c for c in (*keep, "kind", SOURCE_TS) if c in wide.columns]
-    totals = total_columns()
-    return wide.select(*extra, F.col("driver_id"), event_time().alias("event_time"),
-                       *[totals[n] for n in TOTALS])
+    extra = [f"`{c}`" for c in (*keep, "kind", SOURCE_TS) if c in wide.columns]
+    totals = total_sql()
+    return wide.selectExpr(*extra, "driver_id", f"{event_time_sql()} AS event_time",
+                           *[totals[n] for n in TOTALS])

@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from ..schemas import SOURCE_TS
 
 
+def within_skew_sql(skew_seconds: int) -> str:
+    return f"event_time >= timestampadd(SECOND, {-int(skew_seconds)}, {SOURCE_TS})"
+
+
 def within_skew(skew_seconds: int) -> Column:
-    return F.col("event_time") >= F.timestamp_add("SECOND", F.lit(-int(skew_seconds)),
-                                                  F.col(SOURCE_TS))
+    return F.expr(within_skew_sql(skew_seconds))
 
 
 def skew_filter(events: DataFrame, skew_seconds: int,
@@ -23,16 +26,16 @@ def skew_filter(events: DataFrame, skew_seconds: int,
     dropped is reported: for a batch job through the ``Observation`` object,
     for a stream in ``StreamingQueryProgress.observedMetrics`` under that
     name.  The count is exact: it is taken before any aggregation."""
-    keep = within_skew(skew_seconds)
+    keep = within_skew_sql(skew_seconds)
     if observation is not None:
         events = events.observe(
             observation,
-            F.count(F.lit(1)).alias("seen"),
-            F.count_if(~F.coalesce(keep, F.lit(False))).alias("dropped_for_skew"),
+            F.expr("count(1) AS seen"),
+            F.expr(f"count_if(NOT coalesce({keep}, false)) AS dropped_for_skew"),
         )
-    return events.filter(keep)
+    return events.filter(F.expr(keep))
 
 
 def skew_dropped(events: DataFrame, skew_seconds: int) -> DataFrame:
     """The events F4 removes (the complement, for reports)."""
-    return events.filter(~F.coalesce(within_skew(skew_seconds), F.lit(False)))
+    return events.filter(F.expr(f"NOT coalesce({within_skew_sql(skew_seconds)}, false)"))

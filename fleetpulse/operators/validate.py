@@ -6,68 +6,62 @@ counts as empty.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .events import per_kind
+from .events import per_kind_sql
 
 
-def _missing(c: str) -> Column:
-    return F.col(c).isNull()
+def _missing(c: str) -> str:
+    return f"{c} IS NULL"
 
 
-def _empty(c: str) -> Column:
-    return F.coalesce(F.col(c), F.lit("")) == F.lit("")
+def _empty(c: str) -> str:
+    return f"coalesce({c}, '') = ''"
 
 
 # Checks per kind, in the order the first failing one names the reject.
 # F1 rated, F2 tipped (the reference declares F2 but never applies it; applied
 # here), F3 journey (no driver_id check: a blank driver forms its own row).
 CHECKS = {
-    "rated": (("missing_rated_at", lambda: _missing("rated_at")),
-              ("empty_driver_id", lambda: _empty("driver_id")),
-              ("empty_journey_id", lambda: _empty("journey_id"))),
-    "tipped": (("missing_tipped_at", lambda: _missing("tipped_at")),
-               ("empty_driver_id", lambda: _empty("driver_id")),
-               ("empty_journey_id", lambda: _empty("journey_id"))),
-    "journey": (("missing_started_at", lambda: _missing("started_at")),
-                ("missing_ended_at", lambda: _missing("ended_at")),
-                ("empty_journey_id", lambda: _empty("journey_id"))),
+    "rated": (("missing_rated_at", _missing("rated_at")),
+              ("empty_driver_id", _empty("driver_id")),
+              ("empty_journey_id", _empty("journey_id"))),
+    "tipped": (("missing_tipped_at", _missing("tipped_at")),
+               ("empty_driver_id", _empty("driver_id")),
+               ("empty_journey_id", _empty("journey_id"))),
+    "journey": (("missing_started_at", _missing("started_at")),
+                ("missing_ended_at", _missing("ended_at")),
+                ("empty_journey_id", _empty("journey_id"))),
 }
 
 
-def reject_reason_of(kind: str) -> Column:
+def reject_reason_sql(kind: str) -> str:
     """First failing check of one kind, or null when the event is valid."""
-    out = None
-    for reason, check in CHECKS[kind]:
-        out = F.when(check(), F.lit(reason)) if out is None else out.when(check(), F.lit(reason))
-    return out
+    return "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for r, c in CHECKS[kind]) + " END"
 
 
-def reject_reason() -> Column:
-    """Reject reason on the wide frame (null = valid)."""
-    return per_kind({k: reject_reason_of(k) for k in CHECKS})
+def is_valid_sql(kind: str) -> str:
+    return " AND ".join(f"NOT ({c})" for _, c in CHECKS[kind])
 
 
-def is_valid_kind(kind: str) -> Column:
-    ok = None
-    for _, check in CHECKS[kind]:
-        ok = ~check() if ok is None else ok & ~check()
-    return ok
+def reject_reason_expr() -> str:
+    return per_kind_sql({k: reject_reason_sql(k) for k in CHECKS})
 
 
-def is_valid() -> Column:
-    return per_kind({k: is_valid_kind(k) for k in CHECKS}, otherwise=F.lit(False))
+def is_valid_expr() -> str:
+    return per_kind_sql({k: f"({is_valid_sql(k)})" for k in CHECKS}, otherwise="false")
 
 
 def valid(wide: DataFrame) -> DataFrame:
     """Keep valid events."""
-    return wide.filter(is_valid())
+    return wide.filter(F.expr(is_valid_expr()))
 
 
 def rejects(wide: DataFrame) -> DataFrame:
     """Invalid events with a ``reject_reason`` column."""
-    return wide.withColumn("reject_reason", reject_reason()).filter(F.col("reject_reason").isNotNull())
+    return (wide.withColumn("reject_reason", F.expr(reject_reason_expr()))
+            .filter(F.col("reject_reason").isNotNull()))
 
 
 def rejects_by_reason(wide: DataFrame) -> DataFrame:

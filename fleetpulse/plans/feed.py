@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import StatsParams
 from ..functions import codec
-from ..operators.events import per_kind
+from ..operators.events import per_kind_sql
 from ..sources.topics import input_topics, output_topics
 
 # Fixed value: instant format inside payloads.
@@ -25,16 +25,18 @@ EVENT_TIME_OF = {"rated": "rated_at", "tipped": "tipped_at", "journey": "ended_a
                  "stats": "interval_start"}
 
 
-def _payload(kind: str):
+def _payload(kind: str) -> str:
     fields = []
+    fmt = PAYLOAD_TS_FORMAT.replace("'", "\\'")
     for name, _, ftype in codec.WIRE[codec.MESSAGE_OF_KIND[kind]]:
-        c = F.col(name)
         if ftype == "ts":
-            c = F.date_format(c, PAYLOAD_TS_FORMAT)
+            v = f"date_format({name}, '{fmt}')"
         elif ftype == "f32":
-            c = c.cast("double")
-        fields.append(c.alias(name))
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+            v = f"CAST({name} AS DOUBLE)"
+        else:
+            v = name
+        fields.append(f"'{name}', {v}")
+    return f"to_json(named_struct({', '.join(fields)}), map('ignoreNullFields', 'false'))"
 
 
 def decoded_feed(raw: DataFrame, params: StatsParams = StatsParams(),
@@ -43,10 +45,10 @@ def decoded_feed(raw: DataFrame, params: StatsParams = StatsParams(),
     topic_kind = {t: k for t, k in {**input_topics(params), **output_topics(params)}.items()
                   if k in kinds}
     dec = codec.decode(raw, topic_kind).filter(F.col("decode_ok"))
-    return dec.select(
+    return dec.selectExpr(
         "topic",
-        per_kind({k: F.lit(codec.MESSAGE_OF_KIND[k]) for k in kinds}).alias("event_type"),
+        per_kind_sql({k: f"'{codec.MESSAGE_OF_KIND[k]}'" for k in kinds}) + " AS event_type",
         "driver_id",
-        per_kind({k: F.col(EVENT_TIME_OF[k]) for k in kinds}).alias("event_time"),
-        per_kind({k: _payload(k) for k in kinds}).alias("payload"),
+        per_kind_sql({k: EVENT_TIME_OF[k] for k in kinds}) + " AS event_time",
+        per_kind_sql({k: _payload(k) for k in kinds}) + " AS payload",
     )

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .config import StatsParams, prepare_session, run_dir
-from .functions.time import instant_to_ntz
 from .operators import aggregate, project, skew, validate
 from .operators.events import narrow
 from .plans import feed, history, live, stats
@@ -26,13 +25,10 @@ P1D = StatsParams(interval_seconds=86400)
 
 def for_check(df: DataFrame) -> DataFrame:
     """Instants -> UTC wall-clock timestamp_ntz, other columns unchanged."""
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.TimestampType):
-            cols.append(instant_to_ntz(F.col(f.name)).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)
+    cols = [f"CAST(`{f.name}` AS TIMESTAMP_NTZ) AS `{f.name}`"
+            if isinstance(f.dataType, T.TimestampType) else f"`{f.name}`"
+            for f in df.schema.fields]
+    return df.selectExpr(*cols)
 
 
 def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,6 @@ deterministic and mirrored in the DuckDB oracle (``__spark_entry__``).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..functions.time import ntz_millis
 from ..operators.events import narrow
 
 # Fixed values of the mapping -------------------------------------------------
@@ -29,6 +26,7 @@ ARRIVAL_DELAY_MOD = 40      # arrival = event time + (event_id mod 40) s
 RATING_MOD = 5              # rating = 1 + event_id mod 5
 JOURNEY_MINUTES = 30        # started_at = ended_at - 30 min
 PROPS_K_PATTERN = r'"k"\s*:\s*(-?\d+)'   # distance = props.k
+PROPS_K_SQL = PROPS_K_PATTERN.replace("\\", "\\\\")   # as a SQL string literal
 
 
 def events_path(sf_dir: str) -> str:
@@ -36,53 +34,53 @@ def events_path(sf_dir: str) -> str:
 
 
 def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide event frame of the fixture, with ``event_id`` and ``source_ts``."""
-    ev = spark.read.parquet(events_path(sf_dir)).select(
-        "event_id", "ts", "user_id", "event_type", "value", "props")
-    eid = F.col("event_id")
-    ms = ntz_millis("ts")
-    kind = F.col("event_type")
-    kind_expr = None
-    for t, k in KIND_OF_TYPE.items():
-        if k != "journey":
-            kind_expr = F.when(kind == t, F.lit(k)) if kind_expr is None else kind_expr.when(kind == t, F.lit(k))
-    kind_expr = kind_expr.otherwise(F.lit("journey"))  # after the isin filter below
-    cents = F.round(F.col("value") * F.lit(100)).cast("long")
-    event_time = F.when(eid % NULL_TIME_MOD == 0, F.lit(None).cast("timestamp")) \
-        .otherwise(F.timestamp_millis(ms))
-    reason = (F.when(kind == "signup", F.lit(REASON_OF_TYPE["signup"]))
-              .when(kind == "error", F.lit(REASON_OF_TYPE["error"]))
-              .when(kind == "click", F.when(eid % 2 == 0, F.lit(CLICK_REASON_EVEN))
-                    .otherwise(F.lit(CLICK_REASON_ODD))))
-    base = ev.filter(kind.isin(*KIND_OF_TYPE)).select(
-        eid.alias("event_id"),
-        kind_expr.alias("kind"),
-        F.when(eid % EMPTY_DRIVER_MOD == 0, F.lit(""))
-         .otherwise(F.concat(F.lit("driver-"), F.col("user_id").cast("string"))).alias("driver_id"),
-        F.concat(F.lit("rider-"), (eid % RIDER_MOD).cast("string")).alias("rider_id"),
-        F.when(eid % EMPTY_JOURNEY_MOD == 0, F.lit(""))
-         .otherwise(F.concat(F.lit("journey-"), eid.cast("string"))).alias("journey_id"),
-        event_time.alias("_event_time"),
-        F.timestamp_millis(ms + (eid % ARRIVAL_DELAY_MOD) * F.lit(1000)).alias("source_ts"),
-        cents.alias("_cents"),
-        # props is the fixed one-key object {"k": <int>}; a key-anchored regex
-        # reads it ~60x faster than a JSON parse per row (get_json_object).
-        F.regexp_extract("props", PROPS_K_PATTERN, 1).try_cast("long").alias("_k"),
-        reason.alias("_reason"),
-    )
-    k = F.col("kind")
-    t = F.col("_event_time")
-    return base.select(
+    """The wide event frame of the fixture, with ``event_id`` and ``source_ts``.
+
+    One scan, two projections, all SQL expressions (one JVM call each).
+    The session zone is UTC (``prepare_session``), so ``ts`` (wall clock)
+    casts to the instant it names.
+    """
+    kind = "CASE event_type " + " ".join(
+        f"WHEN '{t}' THEN '{k}'" for t, k in KIND_OF_TYPE.items() if k != "journey") + \
+        " ELSE 'journey' END"
+    reason = (f"CASE event_type WHEN 'signup' THEN '{REASON_OF_TYPE['signup']}' "
+              f"WHEN 'error' THEN '{REASON_OF_TYPE['error']}' "
+              f"WHEN 'click' THEN CASE WHEN event_id % 2 = 0 THEN '{CLICK_REASON_EVEN}' "
+              f"ELSE '{CLICK_REASON_ODD}' END END")
+    types = ", ".join(f"'{t}'" for t in KIND_OF_TYPE)
+    base = (spark.read.parquet(events_path(sf_dir))
+            .select("event_id", "ts", "user_id", "event_type", "value", "props")
+            .filter(f"event_type IN ({types})")
+            .selectExpr(
+                "event_id",
+                f"{kind} AS kind",
+                f"CASE WHEN event_id % {EMPTY_DRIVER_MOD} = 0 THEN '' "
+                "ELSE concat('driver-', CAST(user_id AS STRING)) END AS driver_id",
+                f"concat('rider-', CAST(event_id % {RIDER_MOD} AS STRING)) AS rider_id",
+                f"CASE WHEN event_id % {EMPTY_JOURNEY_MOD} = 0 THEN '' "
+                "ELSE concat('journey-', CAST(event_id AS STRING)) END AS journey_id",
+                f"CASE WHEN event_id % {NULL_TIME_MOD} = 0 THEN NULL "
+                "ELSE timestamp_millis(unix_millis(CAST(ts AS TIMESTAMP))) END AS _event_time",
+                f"timestamp_millis(unix_millis(CAST(ts AS TIMESTAMP)) "
+                f"+ (event_id % {ARRIVAL_DELAY_MOD}) * 1000) AS source_ts",
+                "CAST(round(value * 100) AS BIGINT) AS _cents",
+                # props is the fixed one-key object {"k": <int>}; a key-anchored
+                # regex reads it ~60x faster than a JSON parse per row.
+                f"try_cast(regexp_extract(props, '{PROPS_K_SQL}', 1) AS BIGINT) AS _k",
+                f"{reason} AS _reason",
+            ))
+    return base.selectExpr(
         "event_id", "kind", "driver_id", "rider_id", "journey_id",
-        F.when(k == "rated", F.lit(1) + eid % RATING_MOD).cast("long").alias("rating"),
-        F.when(k == "rated", t).alias("rated_at"),
-        F.when(k == "tipped", F.col("_cents")).alias("amount"),
-        F.when(k == "tipped", t).alias("tipped_at"),
-        F.when(k == "journey", F.col("_reason")).alias("finish_reason"),
-        F.when(k == "journey", F.timestamp_add("MINUTE", F.lit(-JOURNEY_MINUTES), t)).alias("started_at"),
-        F.when(k == "journey", t).alias("ended_at"),
-        F.when(k == "journey", F.col("_k")).alias("distance"),
-        F.when(k == "journey", F.col("_cents")).alias("price"),
+        f"CASE WHEN kind = 'rated' THEN CAST(1 + event_id % {RATING_MOD} AS BIGINT) END AS rating",
+        "CASE WHEN kind = 'rated' THEN _event_time END AS rated_at",
+        "CASE WHEN kind = 'tipped' THEN _cents END AS amount",
+        "CASE WHEN kind = 'tipped' THEN _event_time END AS tipped_at",
+        "CASE WHEN kind = 'journey' THEN _reason END AS finish_reason",
+        f"CASE WHEN kind = 'journey' THEN timestampadd(MINUTE, {-JOURNEY_MINUTES}, _event_time) "
+        "END AS started_at",
+        "CASE WHEN kind = 'journey' THEN _event_time END AS ended_at",
+        "CASE WHEN kind = 'journey' THEN _k END AS distance",
+        "CASE WHEN kind = 'journey' THEN _cents END AS price",
         "source_ts",
     )
 
