@@ -7,6 +7,7 @@ UTC anyway so that printed values and JSON text read the same everywhere.
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -79,11 +80,77 @@ SESSION_CONF = {
 }
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on every executor's Python workers.
+
+    The Arrow codec and the stateful processor run in Python workers, which
+    import this package by name.  The package is zipped (content-addressed)
+    into the shared folder and added with ``addPyFile``, once per
+    SparkContext; a cluster that already ships it with ``--py-files`` pays
+    one small upload more.
+    """
+    sc = spark.sparkContext
+    data, digest = _package_zip()
+    key = (id(sc), digest)
+    if key in _SHIPPED:
+        return
+    target = f"{shared_dir(spark)}/fleetpulse/pyfiles/fleetpulse-{digest}.zip"
+    local = target[len("file:"):] if target.startswith("file:") else target
+    if "://" in local:
+        # A cluster file system: write through Hadoop's FileSystem API.
+        jvm = sc._jvm
+        path = jvm.org.apache.hadoop.fs.Path(target)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            out = fs.create(path, True)
+            out.write(bytearray(data))
+            out.close()
+    else:
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        if not os.path.exists(local):
+            tmp = f"{local}.{uuid.uuid4().hex}.part"
+            with open(tmp, "wb") as fh:
+                fh.write(data)
+            os.replace(tmp, local)
+    sc.addPyFile(target)
+    _SHIPPED.add(key)
+
+
+@functools.lru_cache(maxsize=1)
+def _package_zip() -> tuple:
+    """The package's .py files as a deterministic zip, and its digest."""
+    import hashlib
+    import io
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    files = []
+    for root, _, names in os.walk(pkg_dir):
+        for n in sorted(names):
+            if n.endswith(".py"):
+                full = os.path.join(root, n)
+                files.append((os.path.relpath(full, os.path.dirname(pkg_dir)), full))
+    files.sort()
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for arc, full in files:
+            info = zipfile.ZipInfo(arc, date_time=(2020, 1, 1, 0, 0, 0))
+            with open(full, "rb") as fh:
+                z.writestr(info, fh.read())
+    data = buf.getvalue()
+    return data, hashlib.sha256(data).hexdigest()[:16]
+
+
 def prepare_session(spark: SparkSession) -> SparkSession:
-    """Apply SESSION_CONF to a running session (runtime SQL settings only)."""
+    """Apply SESSION_CONF to a running session (runtime SQL settings only) and
+    ship this package to the executors."""
     for k, v in SESSION_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ..config import ship_package
 from ..schemas import FINISH_REASONS, SOURCE_TS, UNRECOGNIZED
 
 # ---------------------------------------------------------------------------
@@ -152,6 +153,7 @@ def decode(raw: DataFrame, topic_kind: dict, keep: tuple = ()) -> DataFrame:
     malformed payloads come back with ``decode_ok = false``.  ``topic`` is
     always carried through.
     """
+    ship_package(raw.sparkSession)
     kinds = set(topic_kind.values())
     types = _field_types()
     columns = []
@@ -242,6 +244,7 @@ def encode(df: DataFrame, topic_of_kind: dict, kind: str | None = None,
     ``kind`` column of a wide event frame picks it per row.  ``arrival``
     names the instant column that becomes the row timestamp.
     """
+    ship_package(df.sparkSession)
     kinds = [kind] if kind else ["rated", "tipped", "journey"]
     cols = [] if kind else ["kind"]
     seen = set()

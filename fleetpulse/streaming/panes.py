@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-from ..config import StatsParams
+from ..config import StatsParams, ship_package
 from ..operators.aggregate import average_rating, tumbling
 from ..schemas import TOTALS
 
@@ -77,8 +77,20 @@ class PaneDeltas(StatefulProcessor):
         pass
 
 
+def _pickle_by_value() -> None:
+    # The processor is also unpickled by a driver-side Python runner that does
+    # not see addPyFile; it only needs pyspark, so ship this module by value.
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def pane_deltas(event_stats: DataFrame, params: StatsParams, delay_seconds: float) -> DataFrame:
     """Delta rows of every fired pane (streaming input with a watermark)."""
+    ship_package(event_stats.sparkSession)
+    _pickle_by_value()
     w = tumbling(params.interval)
     keyed = event_stats.select(
         "driver_id",
