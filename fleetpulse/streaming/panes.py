@@ -46,28 +46,29 @@ class PaneDeltas(StatefulProcessor):
         self.handle = handle
         self.pane = handle.getValueState("pane", PANE_STATE)
 
+    # Every state access is a call to the JVM state server: at most get +
+    # update (+ registerTimer for a new pane) per key and batch, get + clear
+    # per fired pane.
     def handleInputRows(self, key, rows, timerValues):
         interval_end_ms = key[2]
         if interval_end_ms <= timerValues.getCurrentWatermarkInMs():
             for _ in rows:  # late: the window has closed (allowed lateness 0)
                 pass
             return iter([])
-        sums = list(self.pane.get()) if self.pane.exists() else None
-        first = sums is None
-        if first:
-            sums = [0] * len(TOTALS)
+        current = self.pane.get()
+        sums = [0] * len(TOTALS) if current is None else list(current)
         for r in rows:
             for i, c in enumerate(TOTALS):
                 sums[i] += r[c]
         self.pane.update(tuple(sums))
-        if first:
+        if current is None:
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.delay_ms)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if not self.pane.exists():
-            return iter([])
         sums = self.pane.get()
+        if sums is None:
+            return iter([])
         self.pane.clear()
         out = dict(zip(TOTALS, sums))
         return iter([Row(driver_id=key[0], interval_start_ms=key[1], interval_end_ms=key[2],
