@@ -147,6 +147,9 @@ def progress_report(q: StreamingQuery) -> dict:
         "input_rows": p.get("numInputRows"),
         "state_rows": sum(o.get("numRowsTotal", 0) for o in ops),
         "rows_dropped_by_watermark": sum(o.get("numRowsDroppedByWatermark", 0) for o in ops),
+        # O3: (window, driver) states evicted in this batch because the
+        # watermark passed the window end - in append mode, the rows emitted.
+        "closed_windows": sum(o.get("numRowsRemoved", 0) for o in ops),
         "observed": {k: dict(v.asDict()) if hasattr(v, "asDict") else v
                      for k, v in (p.get("observedMetrics") or {}).items()},
     }
