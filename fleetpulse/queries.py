@@ -16,7 +16,7 @@ from .operators import aggregate, project, skew, validate
 from .operators.events import narrow
 from .plans import feed, history, live, stats
 from .sources import lake, topics
-from .sources.fixtures import fixture_events
+from .sources.fixtures import fixture_events, spread_small_input
 from .streaming import runner
 
 P10M = StatsParams(interval_seconds=600)
@@ -155,7 +155,7 @@ CORRUPT_BYTES_HEX = "FFFF"
 
 def encoded_fixture(spark, sf_dir, params=P10M):
     """The fixture as raw topic rows (E2), with the planted corrupt payloads."""
-    raw = topics.encode_events(_wide(spark, sf_dir), params, keep=("event_id",))
+    raw = topics.encode_events(spread_small_input(_wide(spark, sf_dir)), params, keep=("event_id",))
     bad = F.col("event_id") % CORRUPT_MOD == 0
     return raw.withColumn("value", F.when(bad, F.unhex(F.lit(CORRUPT_BYTES_HEX)))
                           .otherwise(F.col("value")))
@@ -178,7 +178,7 @@ decode_journey = _decode_kind("journey")
 def stats_codec_roundtrip(spark, sf_dir):
     """Result rows -> output-topic payloads (E1, E3) -> decoded again."""
     st = stats.driver_stats(_wide(spark, sf_dir), P10M)
-    raw = topics.encode_stats(st, P10M)
+    raw = topics.encode_stats(spread_small_input(st), P10M)
     back = topics.decode_stats(raw, P10M)
     return for_check(back.drop("source_ts"))
 
@@ -279,7 +279,8 @@ def pane_deltas_total(spark, sf_dir):
 def decoded_feed(spark, sf_dir):
     """The input topics and the output topic in one log, decoded by topic."""
     events_raw = encoded_fixture(spark, sf_dir).drop("event_id")
-    stats_raw = topics.encode_stats(stats.driver_stats(_wide(spark, sf_dir), P10M), P10M)
+    stats_raw = topics.encode_stats(
+        spread_small_input(stats.driver_stats(_wide(spark, sf_dir), P10M)), P10M)
     return for_check(feed.decoded_feed(events_raw.unionByName(stats_raw), P10M))
 
 
