@@ -28,8 +28,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import StatsParams
-from ..operators.events import WIDE_FIELDS
-from ..sources.topics import encode_events
 
 # Fixed values of the end-of-input marker.
 END_OF_INPUT_AT = datetime(9000, 1, 1, tzinfo=timezone.utc)
@@ -125,16 +123,18 @@ def write_replay_log(raw: DataFrame, path: str, staging: str, slice_seconds: int
 
 
 def end_of_input(spark: SparkSession, params: StatsParams = StatsParams()) -> DataFrame:
-    """The encoded end-of-input marker: a valid rating far in the future."""
-    schema = "kind string, " + ", ".join(
-        f"{c} {'bigint' if c in ('rating', 'amount', 'distance', 'price') else 'timestamp' if c.endswith('_at') else 'string'}"
-        for c in WIDE_FIELDS) + ", source_ts timestamp"
-    row = {c: None for c in WIDE_FIELDS}
-    row.update(kind="rated", driver_id=MARKER_ID, rider_id=MARKER_ID, journey_id=MARKER_ID,
-               rating=0, rated_at=END_OF_INPUT_AT)
-    marker = spark.createDataFrame([(row["kind"], *[row[c] for c in WIDE_FIELDS], END_OF_INPUT_AT)],
-                                   schema)
-    return encode_events(marker, params)
+    """The end-of-input marker as one raw topic row: a valid rating far in the
+    future.  A single control record, so it is serialized right here with
+    the codec's message classes instead of starting a Python worker."""
+    from ..functions.codec import message_classes
+    from ..schemas import RAW_TOPIC
+
+    msg = message_classes()["DriverRated"]()
+    msg.driver_id = msg.rider_id = msg.journey_id = MARKER_ID
+    msg.rated_at.seconds = int(END_OF_INPUT_AT.timestamp())
+    msg.rated_at.nanos = 0
+    return spark.createDataFrame(
+        [(msg.SerializeToString(), params.topics["rated"], END_OF_INPUT_AT)], RAW_TOPIC)
 
 
 def progress_report(q: StreamingQuery) -> dict:
