@@ -159,9 +159,20 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "fleetpulse") -> SparkSession:
-    """Session for tests, the bench and command-line runs."""
-    master = master or os.environ.get("FLEETPULSE_MASTER", "local[*]")
-    b = SparkSession.builder.master(master).appName(app)
+    """Session for tests, the bench and command-line runs.
+
+    The master is taken from the argument, then ``FLEETPULSE_MASTER``, then
+    whatever spark-submit configured; only a plain ``python`` run with none
+    of these gets ``local[*]``.
+    """
+    from pyspark import SparkConf
+
+    master = master or os.environ.get("FLEETPULSE_MASTER")
+    if not master and not SparkConf().contains("spark.master"):
+        master = "local[*]"
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
     b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     b = b.config("spark.driver.memory", os.environ.get("FLEETPULSE_DRIVER_MEMORY", "8g"))
     if shuffle_partitions is not None:

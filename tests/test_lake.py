@@ -66,3 +66,12 @@ def test_history_fails_on_a_record_without_instant(spark):
         fh.write('{"driverId":"d","riderId":"r","journeyId":"j","amount":3}\n')
     with pytest.raises(Exception, match="without its instant"):
         history.rebuild_stats(spark, root, None, StatsParams(interval_seconds=10)).collect()
+
+
+def test_history_command_line(spark):
+    from fleetpulse.__main__ import main
+
+    root = _write_golden_lake(spark)
+    assert main(["history", "--lake", root, "--interval", "10"]) == 0
+    out = lake.read_lake(spark, lake.lake_path(root, "stats"), "stats")
+    assert utc_rows(out) == GOLDEN

@@ -150,3 +150,18 @@ def test_pane_deltas_fire_repeatedly_and_sum_to_totals(spark):
     assert rows == [(1, 5, 5.0), (2, 6, 3.0)]          # each pane holds only its own events
     total = panes.sum_deltas(deltas).collect()[0]
     assert abs(total.avg_rating - 11 / 3) < 1e-6
+
+
+def test_live_command_line_once(spark):
+    from fleetpulse.__main__ import main
+
+    base = run_dir(spark, "test-cli-live")
+    r, t, j = _arrive_at_event_time(*golden_frames(spark))
+    log = f"{base}/log"
+    topics.write_topic_log(_encoded(spark, {"rated": r, "tipped": t, "journey": j}).coalesce(1), log)
+    topics.write_topic_log(runner.end_of_input(spark, P10S).coalesce(1), log)
+    assert main(["live", "--source", log, "--sink", f"{base}/out", "--checkpoint", f"{base}/ckpt",
+                 "--interval", "10", "--once", "--max-files-per-trigger", "1",
+                 "--state-partitions", "2"]) == 0
+    out = topics.decode_stats(topics.read_topic_log(spark, f"{base}/out"), P10S).drop("source_ts")
+    assert utc_rows(out) == GOLDEN
