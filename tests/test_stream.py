@@ -165,3 +165,27 @@ def test_live_command_line_once(spark):
                  "--state-partitions", "2"]) == 0
     out = topics.decode_stats(topics.read_topic_log(spark, f"{base}/out"), P10S).drop("source_ts")
     assert utc_rows(out) == GOLDEN
+
+
+def test_pane_deltas_drop_late_rows(spark):
+    """W5 keeps allowed lateness 0: after the watermark passed [0, 10), a
+    rating for 6 s is dropped; one for 95 s forms a pane of its own."""
+    base = run_dir(spark, "test-panes-late")
+    log, out, ckpt = f"{base}/log", f"{base}/deltas", f"{base}/ckpt"
+    first = _rated(spark, [("d1", "r", "j", 1, at(5), at(5)), ("d1", "r", "j", 5, at(100), at(100))])
+    second = _rated(spark, [("d1", "r", "j", 3, at(6), at(25)), ("d1", "r", "j", 4, at(95), at(101))])
+
+    def run(n_rows):
+        src = topics.read_topic_log(spark, log, stream=True, max_files_per_trigger=1)
+        q = runner.start_append(live.live_pane_deltas(src, P10S, delay_seconds=0.5), out, ckpt,
+                                trigger={"processingTime": "300 milliseconds"}, state_partitions=2)
+        runner.await_quiet(q, n_rows, 180)
+
+    topics.write_topic_log(_encoded(spark, {"rated": first}).coalesce(1), log)
+    run(2)
+    topics.write_topic_log(_encoded(spark, {"rated": second}).coalesce(1), log)
+    run(2)
+    got = sorted((r.interval_start.replace(tzinfo=None).second + 60 * r.interval_start.minute,
+                  r.number_of_ratings, r.total_rating)
+                 for r in spark.read.parquet(out).collect())
+    assert got == [(0, 1, 1), (90, 1, 4), (100, 1, 5)]
