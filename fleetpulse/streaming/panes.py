@@ -78,6 +78,22 @@ class PaneDeltas(StatefulProcessor):
         pass
 
 
+PANE_KEYS = ("driver_id", "interval_start_ms", "interval_end_ms")
+
+
+def _combine_batches(batches):
+    """Map-side combine: sum the totals per key inside each Arrow batch."""
+    import pyarrow as pa
+
+    for b in batches:
+        if b.num_rows == 0:
+            continue
+        g = pa.Table.from_batches([b]).group_by(list(PANE_KEYS)).aggregate(
+            [(c, "sum") for c in TOTALS])
+        cols = [g.column(k) for k in PANE_KEYS] + [g.column(f"{c}_sum") for c in TOTALS]
+        yield from pa.Table.from_arrays(cols, names=[*PANE_KEYS, *TOTALS]).to_batches()
+
+
 def _pickle_by_value() -> None:
     # The processor is also unpickled by a driver-side Python runner that does
     # not see addPyFile; it only needs pyspark, so ship this module by value.
@@ -98,7 +114,11 @@ def pane_deltas(event_stats: DataFrame, params: StatsParams, delay_seconds: floa
         F.unix_millis(w.start).alias("interval_start_ms"),
         F.unix_millis(w.end).alias("interval_end_ms"),
         *TOTALS)
-    out = keyed.groupBy("driver_id", "interval_start_ms", "interval_end_ms").transformWithState(
+    # Pre-aggregate before the shuffle: the stateful operator gets at most one
+    # row per key and Arrow batch, so a driver holding a third of all events
+    # sends a few partial rows, not a third of the rows, to its task.
+    combined = keyed.mapInArrow(_combine_batches, keyed.schema)
+    out = combined.groupBy(*PANE_KEYS).transformWithState(
         PaneDeltas(int(delay_seconds * 1000)), DELTA_OUT, "Append", "ProcessingTime")
     return out.select(
         "driver_id",

@@ -189,3 +189,15 @@ def test_pane_deltas_drop_late_rows(spark):
                   r.number_of_ratings, r.total_rating)
                  for r in spark.read.parquet(out).collect())
     assert got == [(0, 1, 1), (90, 1, 4), (100, 1, 5)]
+
+
+def test_pane_input_is_combined_per_key_before_the_shuffle():
+    import pyarrow as pa
+
+    n = 3000   # one hot (driver, window) key and one cold one
+    batch = pa.RecordBatch.from_pydict({
+        "driver_id": ["hot"] * n + ["cold"], "interval_start_ms": [0] * (n + 1),
+        "interval_end_ms": [10] * (n + 1),
+        **{c: [1] * (n + 1) for c in panes.TOTALS}})
+    out = pa.Table.from_batches(list(panes._combine_batches([batch]))).to_pylist()
+    assert sorted((r["driver_id"], r["total_rating"]) for r in out) == [("cold", 1), ("hot", n)]
