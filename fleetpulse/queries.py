@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .config import StatsParams, prepare_session, run_dir
-from .operators import aggregate, project, skew, validate
+from .operators import aggregate, skew, validate
 from .operators.events import narrow
 from .plans import feed, history, live, stats
 from .sources import lake, topics

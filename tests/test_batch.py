@@ -118,3 +118,23 @@ def test_hot_driver_plan_is_partial_then_final(spark):
     out = driver_stats_typed(rated, tipped, journeys, P10S, skew_check=False)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan
+
+
+def test_typed_union_equals_single_scan(spark):
+    from conftest import SF001
+    from fleetpulse.sources.fixtures import fixture_events, fixture_typed
+
+    p = StatsParams(interval_seconds=3600)
+    t = fixture_typed(spark, SF001)
+    typed = driver_stats_typed(t["rated"], t["tipped"], t["journey"], p)
+    wide = driver_stats(fixture_events(spark, SF001), p)
+    assert typed.count() > 0
+    assert sorted(typed.collect()) == sorted(wide.collect())
+
+
+def test_case_on_kind_folds_away_for_typed_inputs(spark):
+    rated, tipped, journeys = golden_frames(spark)
+    out = driver_stats_typed(rated, tipped, journeys, P10S, skew_check=False)
+    optimized = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in optimized
+    assert "CASE WHEN (kind" not in optimized and "kind#" not in optimized
