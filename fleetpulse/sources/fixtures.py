@@ -46,6 +46,8 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     small, and a large input (many files or row groups) is left exactly as
     scanned - no extra shuffle.
     """
+    if df.isStreaming:
+        return df
     want = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)

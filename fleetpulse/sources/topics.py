@@ -42,12 +42,18 @@ def read_topic_log(spark: SparkSession, path: str, *, stream: bool = False,
     return r.load(path)
 
 
-def read_kafka(spark: SparkSession, servers: str, topics: list, *, stream: bool = True) -> DataFrame:
-    """S1 over Kafka (needs the spark-sql-kafka package on the classpath)."""
+def read_kafka(spark: SparkSession, servers: str, topics: list, *, stream: bool = True,
+               max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """S1 over Kafka (needs the spark-sql-kafka package on the classpath).
+
+    One subscription for all topics; ``max_offsets_per_trigger`` bounds a
+    micro-batch (spread over the topic partitions)."""
     r = spark.readStream if stream else spark.read
-    return (r.format("kafka").option("kafka.bootstrap.servers", servers)
-            .option("subscribe", ",".join(topics)).load()
-            .select("value", "topic", "timestamp"))
+    r = (r.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("subscribe", ",".join(topics)))
+    if stream and max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
+    return r.load().select("value", "topic", "timestamp")
 
 
 def write_topic_log(raw: DataFrame, path: str, mode: str = "append") -> None:
