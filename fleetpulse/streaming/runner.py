@@ -60,13 +60,24 @@ def _trigger(writer, trigger: dict | None):
     return writer.trigger(**(trigger or {"availableNow": True}))
 
 
-def start_append(df: DataFrame, sink: str, checkpoint: str, *, fmt: str = "parquet",
-                 trigger: dict | None = None, state_partitions: int | None = None) -> StreamingQuery:
-    """Final results only (append mode) into a file sink, checkpointed."""
+def start_append(df: DataFrame, sink: str | None, checkpoint: str, *, fmt: str = "parquet",
+                 trigger: dict | None = None, state_partitions: int | None = None,
+                 options: dict | None = None) -> StreamingQuery:
+    """Final results only (append mode), checkpointed.
+
+    A file sink takes the ``sink`` path.  For Kafka (S2 on a broker), pass
+    ``fmt="kafka"``, ``sink=None`` and ``options={"kafka.bootstrap.servers":
+    ...}``: the encoded rows already carry Kafka's ``value`` and ``topic``
+    columns (needs the spark-sql-kafka package)."""
     spark = df.sparkSession
+    if fmt == "kafka":
+        df = df.select("value", "topic")
     with session_conf(spark, _state_conf(spark, state_partitions)):
         w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
-        return _trigger(w, trigger).start(sink)
+        for k, v in (options or {}).items():
+            w = w.option(k, v)
+        w = _trigger(w, trigger)
+        return w.start(sink) if sink else w.start()
 
 
 def start_update(df: DataFrame, sink: str, checkpoint: str, *, trigger: dict | None = None,
