@@ -40,3 +40,26 @@ def test_entry_smoke(spark):
                           "total_driver_cancels", "total_distance", "total_price", "total_tips",
                           "avg_rating"]
     assert df.count() > 0
+
+
+def test_skew_invariant_kept_plus_dropped_is_seen(spark):
+    from pyspark.sql import Observation
+
+    from fleetpulse.plans import stats as J
+    from fleetpulse.queries import P10M, _wide
+
+    obs = Observation("skew")
+    J.driver_stats(_wide(spark, SF001), P10M, observation=obs).count()
+    kept = E.queries()["skew_kept"](spark, SF001).count()
+    dropped = E.queries()["skew_dropped"](spark, SF001).count()
+    assert obs.get == {"seen": kept + dropped, "dropped_for_skew": dropped}
+
+
+@pytest.mark.parametrize("name", sorted(STREAMING))
+def test_stream_result_equals_batch_oracle(spark, con, name):
+    """stream final = batch; running totals' last values = batch; sum of pane deltas = batch."""
+    df = E.queries()[name](spark, SF001)
+    srows = [tuple(r) for r in df.collect()]
+    res = con.execute(E.oracle_sql()[name])
+    dcols = [d[0] for d in res.description]
+    assert rows_of(df.columns, srows) == rows_of(dcols, res.fetchall())
