@@ -8,7 +8,8 @@
   ``last_per_key`` reads the final value back.
 * ``write_replay_log``: turns a batch of raw rows into a topic log whose files
   arrive in arrival-time order, one micro-batch per slice - the stand-in for
-  a broker in tests and backfills.
+  a broker in tests.  ``backfill_by_slice`` does the same at any scale: one
+  ``availableNow`` run per slice from the same checkpoint.
 * ``end_of_input``: a marker that moves the watermark past every real window
   (the reference's test does the same by advancing its watermark to
   infinity).  Its own window never closes, so it never reaches the output.
@@ -133,6 +134,36 @@ def write_replay_log(raw: DataFrame, path: str, staging: str, slice_seconds: int
     return len(slices)
 
 
+def backfill_by_slice(raw: DataFrame, log: str, staging: str, slice_seconds: int,
+                      run_once, end_marker: DataFrame | None = None) -> int:
+    """Replay raw topic rows slice by slice, at any scale.
+
+    Each arrival slice is appended to the log at its natural parallelism
+    (any number of files), then ``run_once()`` starts the job with an
+    ``availableNow`` trigger from the same checkpoint and waits for it, so
+    every run sees only arrivals later than the previous run's.  Ordering
+    comes from the runs, not from file timestamps, and every slice
+    boundary is a restart from the checkpoint.  ``end_marker`` (e.g.
+    ``end_of_input``) is appended before one last run.  Returns the number of
+    runs.
+    """
+    sl = F.floor(F.unix_seconds("timestamp") / F.lit(int(slice_seconds))).cast("long")
+    raw.select("value", "topic", "timestamp", sl.alias("slice")).write.partitionBy("slice").parquet(staging)
+    staged = raw.sparkSession.read.parquet(staging)
+    slices = sorted(r.slice for r in staged.select("slice").distinct().collect())
+    runs = 0
+    for s in slices:
+        staged.filter(F.col("slice") == s).select("value", "topic", "timestamp") \
+            .write.mode("append").parquet(log)
+        await_done(run_once())
+        runs += 1
+    if end_marker is not None:
+        end_marker.select("value", "topic", "timestamp").write.mode("append").parquet(log)
+        await_done(run_once())
+        runs += 1
+    return runs
+
+
 def end_of_input(spark: SparkSession, params: StatsParams = StatsParams()) -> DataFrame:
     """The end-of-input marker as one raw topic row: a valid rating far in the
     future.  A single control record, so it is serialized right here with
