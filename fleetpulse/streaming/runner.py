@@ -126,14 +126,23 @@ def write_replay_log(raw: DataFrame, path: str, staging: str, slice_seconds: int
     sl = F.floor(F.unix_seconds("timestamp") / F.lit(int(slice_seconds))).cast("long")
     raw.select("value", "topic", "timestamp", sl.alias("slice")).write.partitionBy("slice").parquet(staging)
     staged = raw.sparkSession.read.parquet(staging)
-    # Only the slice numbers come to the driver (a few per month of data).
-    slices = sorted(r.slice for r in staged.select("slice").distinct().collect())
+    slices = _staged_slices(staged)
     for s in slices:
         (staged.filter(F.col("slice") == s).select("value", "topic", "timestamp")
          .coalesce(1).write.mode("append").parquet(path))
     return len(slices)
 
 
+def _staged_slices(staged: DataFrame) -> list:
+    """Slice numbers of a staged log, from its partition folders (a file
+    listing; no job, no data on the driver)."""
+    import re
+
+    found = {int(m.group(1)) for f in staged.inputFiles()
+             for m in [re.search(r"/slice=(-?\d+)/", f)] if m}
+    return sorted(found)
+
+
 def backfill_by_slice(raw: DataFrame, log: str, staging: str, slice_seconds: int,
                       run_once, end_marker: DataFrame | None = None) -> int:
     """Replay raw topic rows slice by slice, at any scale.
@@ -150,9 +159,8 @@ def backfill_by_slice(raw: DataFrame, log: str, staging: str, slice_seconds: int
     sl = F.floor(F.unix_seconds("timestamp") / F.lit(int(slice_seconds))).cast("long")
     raw.select("value", "topic", "timestamp", sl.alias("slice")).write.partitionBy("slice").parquet(staging)
     staged = raw.sparkSession.read.parquet(staging)
-    slices = sorted(r.slice for r in staged.select("slice").distinct().collect())
     runs = 0
-    for s in slices:
+    for s in _staged_slices(staged):
         staged.filter(F.col("slice") == s).select("value", "topic", "timestamp") \
             .write.mode("append").parquet(log)
         await_done(run_once())
