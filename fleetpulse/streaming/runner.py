@@ -125,14 +125,27 @@ def write_replay_log(raw: DataFrame, path: str, staging: str, slice_seconds: int
     """
     sl = F.floor(F.unix_seconds("timestamp") / F.lit(int(slice_seconds))).cast("long")
     raw.select("value", "topic", "timestamp", sl.alias("slice")).write.partitionBy("slice").parquet(staging)
-    staged = raw.sparkSession.read.parquet(staging)
+    staged = _read_staged(raw.sparkSession, staging)
     slices = _staged_slices(staged)
     for s in slices:
         (staged.filter(F.col("slice") == s).select("value", "topic", "timestamp")
          .coalesce(1).write.mode("append").parquet(path))
+    if not slices:
+        # No input: still create the (empty) log, so a stream can start on it.
+        raw.select("value", "topic", "timestamp").limit(0).write.mode("append").parquet(path)
     return len(slices)
 
 
+def _read_staged(spark: SparkSession, staging: str) -> DataFrame:
+    """The staged log with a fixed schema (works for an empty staging too)."""
+    from pyspark.sql import types as T
+
+    from ..schemas import RAW_TOPIC
+
+    schema = T.StructType(list(RAW_TOPIC.fields) + [T.StructField("slice", T.LongType())])
+    return spark.read.schema(schema).parquet(staging)
+
+
 def _staged_slices(staged: DataFrame) -> list:
     """Slice numbers of a staged log, from its partition folders (a file
     listing; no job, no data on the driver)."""
@@ -158,7 +171,7 @@ def backfill_by_slice(raw: DataFrame, log: str, staging: str, slice_seconds: int
     """
     sl = F.floor(F.unix_seconds("timestamp") / F.lit(int(slice_seconds))).cast("long")
     raw.select("value", "topic", "timestamp", sl.alias("slice")).write.partitionBy("slice").parquet(staging)
-    staged = raw.sparkSession.read.parquet(staging)
+    staged = _read_staged(raw.sparkSession, staging)
     runs = 0
     for s in _staged_slices(staged):
         staged.filter(F.col("slice") == s).select("value", "topic", "timestamp") \
