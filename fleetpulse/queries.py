@@ -31,9 +31,9 @@ def for_check(df: DataFrame) -> DataFrame:
     return df.selectExpr(*cols)
 
 
-def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _wide(spark: SparkSession, sf_dir: str, kinds: tuple | None = None) -> DataFrame:
     prepare_session(spark)
-    return fixture_events(spark, sf_dir)
+    return fixture_events(spark, sf_dir, kinds)
 
 
 # -- J2 -----------------------------------------------------------------------
@@ -52,7 +52,7 @@ def driver_stats_1d(spark, sf_dir):
 
 def _valid_kind(kind):
     def q(spark, sf_dir):
-        wide = validate.valid(_wide(spark, sf_dir))
+        wide = validate.valid(_wide(spark, sf_dir, kinds=(kind,)))
         return for_check(narrow(wide, kind, keep=("event_id",)))
     q.__name__ = f"{kind}_valid"
     return q
@@ -116,7 +116,7 @@ def window_event_counts(spark, sf_dir):
 # -- A3a-A3e, A4 ----------------------------------------------------------------
 
 def _totals_of(spark, sf_dir, kind, names):
-    wide = _wide(spark, sf_dir).filter(F.col("kind") == kind)
+    wide = _wide(spark, sf_dir, kinds=(kind,))
     es = stats.event_stats(wide, P1D)
     t = aggregate.window_totals(es, P1D.interval)
     return t.select("driver_id", F.col("window.start").alias("interval_start"),

@@ -54,9 +54,13 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     return df
 
 
-def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fixture_events(spark: SparkSession, sf_dir: str, kinds: tuple | None = None) -> DataFrame:
     """The wide event frame of the fixture, with ``event_id`` and ``source_ts``.
 
+    ``kinds`` restricts it to some event kinds; the restriction is stated on
+    ``event_type`` so that it reaches the parquet scan (a filter on the
+    derived ``kind`` cannot be pushed through its CASE).
+
     One scan, two projections, all SQL expressions (one JVM call each).
     The session zone is UTC (``prepare_session``), so ``ts`` (wall clock)
     casts to the instant it names.
@@ -68,7 +72,7 @@ def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
               f"WHEN 'error' THEN '{REASON_OF_TYPE['error']}' "
               f"WHEN 'click' THEN CASE WHEN event_id % 2 = 0 THEN '{CLICK_REASON_EVEN}' "
               f"ELSE '{CLICK_REASON_ODD}' END END")
-    types = ", ".join(f"'{t}'" for t in KIND_OF_TYPE)
+    types = ", ".join(f"'{t}'" for t, k in KIND_OF_TYPE.items() if kinds is None or k in kinds)
     base = (spark.read.parquet(events_path(sf_dir))
             .select("event_id", "ts", "user_id", "event_type", "value", "props")
             .filter(f"event_type IN ({types})")
