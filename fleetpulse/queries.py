@@ -153,9 +153,10 @@ CORRUPT_MOD = 40
 CORRUPT_BYTES_HEX = "FFFF"
 
 
-def encoded_fixture(spark, sf_dir, params=P10M):
+def encoded_fixture(spark, sf_dir, params=P10M, kinds=None):
     """The fixture as raw topic rows (E2), with the planted corrupt payloads."""
-    raw = topics.encode_events(spread_small_input(_wide(spark, sf_dir)), params, keep=("event_id",))
+    raw = topics.encode_events(spread_small_input(_wide(spark, sf_dir, kinds)), params,
+                               keep=("event_id",))
     bad = F.col("event_id") % CORRUPT_MOD == 0
     return raw.withColumn("value", F.when(bad, F.unhex(F.lit(CORRUPT_BYTES_HEX)))
                           .otherwise(F.col("value")))
@@ -163,7 +164,7 @@ def encoded_fixture(spark, sf_dir, params=P10M):
 
 def _decode_kind(kind):
     def q(spark, sf_dir):
-        raw = encoded_fixture(spark, sf_dir)
+        raw = encoded_fixture(spark, sf_dir, kinds=(kind,))
         wide = topics.decode_events(raw, P10M, keep=("event_id",))
         return for_check(narrow(wide, kind, keep=("event_id",)))
     q.__name__ = f"decode_{kind}"
