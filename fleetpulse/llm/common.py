@@ -16,8 +16,14 @@ from ..config import prepare_session, run_dir
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+#: Whole texts cross to Python in batches of this many bytes: one batch is held
+#: on either side of the pipe for each running task.
+BATCH_BYTES = 4 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare_session(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

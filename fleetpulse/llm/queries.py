@@ -110,7 +110,7 @@ d AS (
   SELECT page_id, strlen(body) AS n, sha1(body) AS hex, max(page_id) OVER (PARTITION BY sha1(body)) AS winner FROM p),
 b AS (  -- base 32 of the 20 digest bytes, five bits at a time
   SELECT page_id, n, winner,
-    list_aggregate(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
       1 + (((('0x' || substr(hex || '00', CAST(1 + 2 * (i * 5 // 8) AS BIGINT), 4))::BIGINT
         >> CAST(11 - (i * 5 % 8) AS BIGINT)) & 31)::BIGINT), 1)), 'string_agg', '') AS digest
   FROM d)
