@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LONG, field, map_arrow
+from .common import LONG, Scratch, field, map_arrow
 
 MIN_SITES = 10
 MIN_CHARS = 5
@@ -79,7 +79,9 @@ def clean(df: DataFrame, text_col: str = "text", site_col: str = "source",
     row is known by a hash of its whole text, and copies share one answer.
     """
     if boilerplate is None:
-        boilerplate = boilerplate_lines(df, text_col, site_col, min_sites, min_chars)
+        # As a written table it meets the lines as a plain shuffle, which AQE can split.
+        boilerplate = Scratch(df.sparkSession, "line-spread").write(
+            boilerplate_lines(df, text_col, site_col, min_sites, min_chars), "boilerplate")
     names = [c for c in df.columns if c not in ("n_lines", "n_removed")]
     at = names.index(text_col)
     rows = df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
