@@ -24,6 +24,9 @@ Anchors of more than ``HEAVY`` documents (edges of a passage that a third of
 the corpus repeats) have many distinct contexts.  Their windows are dealt out
 in groups of ``HEAVY_GROUP`` starts, by the longer bytes those have in common.
 
+Exact copies are combined before any shuffle: of equal texts that meet in one
+task only that with the smallest doc_id goes on, the others are repeated
+whole.  Chunks are dealt by text, so what copies remain meet there.
 Documents are written once, bucketed by chunk; the passes over them need no
 further shuffle of texts.  What moves between chunks and shards is packed.
 
@@ -40,10 +43,11 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import textops
 from .common import BINARY, INT, LONG, STRING, Scratch, field, map_arrow, runs
@@ -52,10 +56,12 @@ MIN_BYTES = 50
 HEAVY = 1024
 HEAVY_GROUP = 4
 CHUNK_BYTES = 4 << 20
+BLOCK = 128 << 10
 PIECE = 250_000
 LAST = np.int64(2**63 - 1)
 _TOP = np.uint64(0xFFFFFFFF00000000)
 _LOW = np.uint64(0xFFFFFFFF)
+_ORDER = np.uint64(0xD6E8FEB86659FD93)
 
 
 # -- anchors and contexts of one block ------------------------------------------
@@ -73,8 +79,11 @@ class Block:
         self.at = np.zeros(0, np.int64)
         if n < size:
             return
-        h = self.hash(np.arange(n - k + 1), np.arange(k, n + 1))
-        low = (h & _TOP) | np.arange(len(h), dtype=np.uint64)
+        h = self.total[k:] - self.total[:-k]
+        h *= self.inv[:n - k + 1]
+        low = h * _ORDER  # the order of k-mers: high bits of a product, then place
+        low &= _TOP
+        low |= np.arange(len(h), dtype=np.uint64)
         span, width = 1, size - k + 1
         while span < width:
             step = min(span, width - span)
@@ -88,7 +97,7 @@ class Block:
         place = (low & _LOW).astype(np.int64)[np.cumsum(valid) > 0]
         self.at = place[np.r_[True, place[1:] != place[:-1]]] if len(place) else place
         self.doc = np.searchsorted(off, self.at, "right") - 1
-        self.anchor = h[self.at]
+        self.anchor = textops.mix(h[self.at])
 
     def hash(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return textops.mix((self.total[b] - self.total[a]) * self.inv[a])
@@ -119,9 +128,17 @@ def _print(anchor: np.ndarray, buckets: int) -> np.ndarray:
     return (anchor & ~np.uint64(0xFFFFF)) | (anchor % np.uint64(buckets))
 
 
-def _texts(table: pa.Table) -> tuple[pa.Array, np.ndarray]:
-    ids = table["doc_id"].to_pylist()
-    return table["text"], np.array([LAST if i is None else i for i in ids], np.int64)
+def _distinct_texts(table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct texts of a chunk, the least doc_id of each, and each row's text
+    (-1: a copy that was settled before)."""
+    text = pc.fill_null(table["text"].combine_chunks(), "")
+    ids = np.array([LAST if i is None else i for i in table["doc_id"].to_pylist()], np.int64)
+    code = text.dictionary_encode()
+    which = code.indices.to_numpy().astype(np.int64)
+    which[table["copied"].is_valid().to_numpy()] = -1
+    least = np.full(len(code.dictionary), LAST, np.int64)
+    np.minimum.at(least, which[which >= 0], ids[which >= 0])
+    return code.dictionary, least, which
 
 
 # -- expansion ------------------------------------------------------------------
@@ -255,6 +272,34 @@ def _table(rows: list, fields: list[T.StructField]) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
+def _settle_copies(docs: DataFrame, chunks: int, size: int) -> DataFrame:
+    """chunk, doc_id, text, copied: of rows with equal texts in one task those with a
+    larger doc_id than one before keep only their size (``copied``)."""
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("k1"),
+                       F.xxhash64(F.lit(2), F.col("text")).alias("k2"), F.xxhash64("doc_id").alias("u"))
+
+    def run(batches):
+        seen: dict = {}
+        for b in batches:
+            n = pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist()
+            ids, k1, k2, u = (b.column(i).to_pylist() for i in (0, 2, 3, 4))
+            copied, chunk = [], []
+            for i, x, y, other, m in zip(ids, k1, k2, u, n, strict=True):
+                i = int(LAST) if i is None else i
+                least = seen.get((x, y))
+                copy = m >= size and least is not None and least < i
+                if least is None or i < least:
+                    seen[x, y] = i
+                copied.append(m if copy else None)
+                chunk.append((other if copy else x) % chunks)
+            copied = pa.array(copied, pa.int64())
+            yield [pa.array(chunk, pa.int32()), b.column(0),
+                   pc.if_else(copied.is_valid(), pa.scalar(None, b.column(1).type), b.column(1)), copied]
+
+    return map_arrow(rows, rows.columns, [field("chunk", INT), field("doc_id", LONG), field("text", STRING),
+                                          field("copied", LONG)], run)
+
+
 def _fingerprints(docs: DataFrame, buckets: int, size: int) -> DataFrame:
     """bucket, chunk, prints: 6 bytes per distinct anchor of the chunk (44 bits of hash,
     4 bits for the logarithm of its documents)."""
@@ -263,8 +308,8 @@ def _fingerprints(docs: DataFrame, buckets: int, size: int) -> DataFrame:
     def run(batches):
         for t in runs(batches, 1):
             rows, found = [], []
-            texts, _ = _texts(t)
-            for _, _, data, off in textops.blocks(texts):
+            texts, _, _ = _distinct_texts(t)
+            for _, _, data, off in textops.blocks(texts, block_bytes=BLOCK):
                 b = Block(data, off, size)
                 if len(b.at):
                     # once per document: its anchors, sorted, without repeats
@@ -279,7 +324,7 @@ def _fingerprints(docs: DataFrame, buckets: int, size: int) -> DataFrame:
             out = _table(rows, fields)
             yield out.combine_chunks().to_batches()[0].columns if out.num_rows else out.columns
 
-    return map_arrow(docs, ["chunk", "doc_id", "text"], fields, run)
+    return map_arrow(docs, ["chunk", "doc_id", "text", "copied"], fields, run)
 
 
 def _unpack(prints: list) -> tuple[np.ndarray, np.ndarray]:
@@ -338,9 +383,9 @@ def _contexts(docs: DataFrame, shared: DataFrame, buckets: int, shards: int, siz
         if left.num_rows and right.num_rows:
             chunk = left["chunk"][0].as_py()
             light, heavy = _keys(right, "shared"), _keys(right, "heavy")
-            texts, ids = _texts(left)
+            texts, ids, _ = _distinct_texts(left)
             parts = []
-            for i, _, data, off in textops.blocks(texts):
+            for i, _, data, off in textops.blocks(texts, block_bytes=BLOCK):
                 b = Block(data, off, size)
                 if not len(b.at):
                     continue
@@ -439,14 +484,13 @@ def _removed(docs: DataFrame, results: DataFrame, buckets: int, size: int, keep_
     fields = OUT + ([field("kept", BINARY)] if keep_text else [])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        texts, ids = _texts(left)
-        null = [i is None for i in left["doc_id"].to_pylist()]
+        texts, ids, which = _distinct_texts(left)
         heavy = _keys(right, "heavy")
         flat = lambda c, kind: np.frombuffer(b"".join(x or b"" for x in right[c].to_pylist()), kind)
         known, owners, masks = flat("hashes", np.uint64), flat("owners", np.int64), flat("masks", np.uint64)
         o = np.argsort(known)
         known, owners, masks = known[o], owners[o], masks[o]
-        held = [(i, data, off) for i, _, data, off in textops.blocks(texts)]
+        held = [(i, data, off) for i, _, data, off in textops.blocks(texts, block_bytes=BLOCK)]
         # The chunk's own least doc_id per context stands where a shard had nothing to add.
         found = []
         for i, data, off in held:
@@ -464,8 +508,8 @@ def _removed(docs: DataFrame, results: DataFrame, buckets: int, size: int, keep_
             o = np.lexsort((owner, ctx))
             head = np.r_[True, ctx[o][1:] != ctx[o][:-1]]
             own_ctx, own_least = ctx[o][head], owner[o][head]
-        rows = []
-        for (i, data, off), x in zip(held, found, strict=True):
+        done = []  # of each distinct text
+        for (_, data, off), x in zip(held, found, strict=True):
             n = len(data)
             change = np.zeros(n + 1, np.int32)
             if x is not None:
@@ -495,8 +539,13 @@ def _removed(docs: DataFrame, results: DataFrame, buckets: int, size: int, keep_
             for j, (r, s) in enumerate(zip(per(gone), per(begins), strict=True)):
                 a, z = int(off[j]), int(off[j + 1])
                 kept = data[a:z][~gone[a:z]].tobytes() if r else data[a:z].tobytes()
-                rows.append((None if null[i + j] else int(ids[i + j]), z - a, r, s, hashlib.sha256(kept).hexdigest(),
-                             *([kept] if keep_text else [])))
+                done.append((z - a, r, s, hashlib.sha256(kept).hexdigest(), *([kept] if keep_text else [])))
+        nothing = (hashlib.sha256(b"").hexdigest(), *([b""] if keep_text else []))
+        rows = []
+        for i, k, m in zip(left["doc_id"].to_pylist(), which.tolist(), left["copied"].to_pylist(), strict=True):
+            n = m if k < 0 else done[k][0]
+            later = k < 0 or (LAST if i is None else i) > ids[k]
+            rows.append((i, n, n, 1, *nothing) if later and n >= size else (i, *done[k]))
         return _table(rows, fields)
 
     return docs.groupBy("chunk").cogroup(results.groupBy("chunk")).applyInArrow(run, T.StructType(fields))
@@ -518,9 +567,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     buckets = min(max(8, 2 * files), 1 << 20)
     shards = max(8, 4 * files)
 
-    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")
     name = f"bwt_{uuid.uuid4().hex[:12]}"
-    (docs.withColumn("chunk", chunk).repartition(files, "chunk").write.bucketBy(files, "chunk")
+    (_settle_copies(docs, chunks, min_bytes).repartition(files, "chunk").write.bucketBy(files, "chunk")
      .sortBy("chunk").option("path", scratch.path("docs")).option("compression", "zstd")
      .format("parquet").saveAsTable(name))
     docs = spark.table(name)
