@@ -449,16 +449,20 @@ def _resolved(contexts: DataFrame, size: int) -> DataFrame:
             which[o] = np.cumsum(head) - 1
             one = o[head]
             least, mask = owner[one], np.zeros(len(one), np.uint64)
+            # A context alone with its key shares no window with a different one.
+            keys = key[one]
+            same = keys[1:] == keys[:-1]
+            work = np.flatnonzero(np.r_[False, same] | np.r_[same, False])
             # Pieces end where the key changes, so windows that may be equal stay together.
-            size_, keys = length[one] + 1, key[one]
-            last = np.r_[keys[1:] != keys[:-1], True]
-            filled, a = np.cumsum(size_), 0
-            while a < len(one):
+            last = np.r_[keys[work][1:] != keys[work][:-1], True]
+            filled, a = np.cumsum(length[one[work]] + 1), 0
+            while a < len(work):
                 z = int(np.searchsorted(filled, (filled[a - 1] if a else 0) + PIECE))
-                z = min(max(z, a), len(one) - 1)
+                z = min(max(z, a), len(work) - 1)
                 z = z + int(np.argmax(last[z:])) + 1
-                at, _ = _ranges(start[one[a:z]], start[one[a:z]] + length[one[a:z]])
-                mask[a:z] = expand(raw[at], length[one[a:z]], least[a:z], size)
+                piece = work[a:z]
+                at, _ = _ranges(start[one[piece]], start[one[piece]] + length[one[piece]])
+                mask[piece] = expand(raw[at], length[one[piece]], least[piece], size)
                 a = z
             known = (least[which] < owner) | (mask[which] != 0)
             rows = []
