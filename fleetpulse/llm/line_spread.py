@@ -78,9 +78,11 @@ def clean(df: DataFrame, text_col: str = "text", site_col: str = "source",
     whose hot keys AQE splits.  What to cut comes back per distinct text: a
     row is known by a hash of its whole text, and copies share one answer.
     """
+    # Written tables meet the lines and the rows as plain shuffles, whose hot
+    # lines and hot texts AQE can split.
+    scratch = Scratch(df.sparkSession, "line-spread")
     if boilerplate is None:
-        # As a written table it meets the lines as a plain shuffle, which AQE can split.
-        boilerplate = Scratch(df.sparkSession, "line-spread").write(
+        boilerplate = scratch.write(
             boilerplate_lines(df, text_col, site_col, min_sites, min_chars), "boilerplate")
     names = [c for c in df.columns if c not in ("n_lines", "n_removed")]
     at = names.index(text_col)
@@ -91,6 +93,7 @@ def clean(df: DataFrame, text_col: str = "text", site_col: str = "source",
            .where(_counts("line", min_chars)).select("k1", "k2", *_hashes("line"))
            .join(boilerplate, ["h1", "h2"], "left_semi")
            .groupBy("k1", "k2").agg(F.collect_set("h1").alias("cut")))
+    hit = scratch.write(hit, "hit")
     joined = rows.join(hit, ["k1", "k2"], "left").select(
         *rows.columns[:-2], "cut",
         F.when(F.col("cut").isNotNull(), F.transform(F.split(text, "\n", -1), lambda x: F.xxhash64(x))).alias("h"))
