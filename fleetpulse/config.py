@@ -27,8 +27,6 @@ TOPIC_STATS = "output/driver_stats"
 DEFAULT_INTERVAL_SECONDS = 600
 # Permitted backward skew between arrival time and event time (seconds).
 ALLOWED_SKEW_SECONDS = 20
-# Allowed lateness after a window has closed (seconds).
-ALLOWED_LATENESS_SECONDS = 0
 
 
 @dataclass(frozen=True)
@@ -97,7 +95,7 @@ def ship_package(spark: SparkSession) -> None:
     """
     sc = spark.sparkContext
     data, digest = _package_zip()
-    key = (id(sc), digest)
+    key = (sc.applicationId, digest)
     if key in _SHIPPED:
         return
     target = f"{shared_dir(spark)}/fleetpulse/pyfiles/fleetpulse-{digest}.zip"
@@ -148,8 +146,10 @@ def _package_zip() -> tuple:
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:
-    """Apply SESSION_CONF to a running session (runtime SQL settings only) and
-    ship this package to the executors."""
+    """Apply SESSION_CONF to a running session and ship this package to the
+    executors through the shared folder.  Where the session names no
+    checkpoint folder (a ``local[...]`` master only), ``shared_dir`` sets
+    ``spark.checkpoint.dir`` and the context's checkpoint folder too."""
     for k, v in SESSION_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
@@ -187,14 +187,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (or the SparkContext checkpoint dir);
-    only when neither is set (unit tests on a laptop) is a local folder made
-    and registered.
+    Read from ``spark.checkpoint.dir`` (or the SparkContext checkpoint dir).
+    When neither is set, a local folder is made and registered, but only
+    under a ``local[...]`` master, where driver and executors are one
+    process; on a cluster executors would not see it, so this raises.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that driver and executors share "
+                               f"(master {master} has no default)")
         d = tempfile.mkdtemp(prefix="fleetpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

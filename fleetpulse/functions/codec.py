@@ -9,7 +9,9 @@ and everything else stay JVM expressions.
 
 Decode is chosen by topic, never by trial (a rating and a tip have the same
 wire layout).  A payload that does not parse yields ``decode_ok = false``;
-callers count and drop it.
+callers count and drop it.  So does a payload with an instant outside the
+Timestamp range (years 1 to 9999, nanos 0 to 999,999,999): it has no instant
+that could place it, and must not stop a stream.
 """
 
 from __future__ import annotations
@@ -43,6 +45,9 @@ WIRE = {
 MESSAGE_OF_KIND = {"rated": "DriverRated", "tipped": "DriverTipped",
                    "journey": "JourneyFinished", "stats": "DriverStats"}
 UINT32_MAX = 4294967295
+# Range of google.protobuf.Timestamp: 0001-01-01T00:00:00Z to 9999-12-31T23:59:59.999999999Z.
+MIN_SECONDS, MAX_SECONDS = -62135596800, 253402300799
+MAX_NANOS = 999999999
 _PACKAGE = "fleetpulse.wire"
 
 _CLASSES = None
@@ -99,12 +104,25 @@ def _field_types() -> dict:
     return out
 
 
+def _readers(kind: str, columns: list) -> tuple[list, list]:
+    """Accessors of one message: its instants (all, for the range check) and
+    the other wanted fields, as (name, output column, type)."""
+    instants, plain = [], []
+    for name, _, ftype in WIRE[MESSAGE_OF_KIND[kind]]:
+        if ftype == "ts":
+            c = name + "_ms"
+            instants.append((name, c if c in columns else None))
+        elif name in columns:
+            plain.append((name, ftype == "enum"))
+    return instants, plain
+
+
 def _decode_batches(batches, topic_kind, columns, keep):
     import pyarrow as pa
     from google.protobuf.message import DecodeError
 
-    classes = message_classes()
-    layouts = {k: WIRE[MESSAGE_OF_KIND[k]] for k in set(topic_kind.values())}
+    classes = {k: message_classes()[MESSAGE_OF_KIND[k]] for k in set(topic_kind.values())}
+    readers = {k: _readers(k, columns) for k in classes}
     arrow = {"str": pa.string(), "u32": pa.int64(), "f32": pa.float32(), "ts": pa.int64(),
              "enum": pa.string()}
     col_kind = {}
@@ -120,30 +138,37 @@ def _decode_batches(batches, topic_kind, columns, keep):
             kind = topic_kind.get(topic)
             if kind is None or payload is None:
                 continue
-            msg = classes[MESSAGE_OF_KIND[kind]]()
+            msg = classes[kind]()
             try:
                 msg.ParseFromString(payload)
             except (DecodeError, ValueError, RuntimeError):
                 continue
-            kinds[i], ok[i] = kind, True
-            for name, _, ftype in layouts[kind]:
-                if ftype == "ts":
-                    if msg.HasField(name):
-                        t = getattr(msg, name)
-                        # Milliseconds, sub-millisecond digits dropped.
-                        out[name + "_ms"][i] = t.seconds * 1000 + t.nanos // 1_000_000
-                elif ftype == "enum":
-                    n = getattr(msg, name)
-                    out[name][i] = FINISH_REASONS[n] if 0 <= n < len(FINISH_REASONS) else UNRECOGNIZED
-                else:
-                    out[name][i] = getattr(msg, name)
+            instants, plain = readers[kind]
+            times = []
+            for name, c in instants:
+                if msg.HasField(name):
+                    t = getattr(msg, name)
+                    if not (MIN_SECONDS <= t.seconds <= MAX_SECONDS and 0 <= t.nanos <= MAX_NANOS):
+                        break
+                    # Milliseconds, sub-millisecond digits dropped.
+                    times.append((c, t.seconds * 1000 + t.nanos // 1_000_000))
+            else:
+                kinds[i], ok[i] = kind, True
+                for c, ms in times:
+                    if c is not None:
+                        out[c][i] = ms
+                for name, enum in plain:
+                    v = getattr(msg, name)
+                    if enum:
+                        v = FINISH_REASONS[v] if 0 <= v < len(FINISH_REASONS) else UNRECOGNIZED
+                    out[name][i] = v
         arrays = [pa.array(kinds, pa.string()), pa.array(ok, pa.bool_())]
         arrays += [pa.array(out[c], arrow[col_kind[c]]) for c in columns]
         arrays += [batch.column(k) for k in keep]
         yield pa.RecordBatch.from_arrays(arrays, ["kind", "decode_ok", *columns, *keep])
 
 
-def decode(raw: DataFrame, topic_kind: dict, keep: tuple = ()) -> DataFrame:
+def decode(raw: DataFrame, topic_kind: dict, keep: tuple = (), skip: tuple = ()) -> DataFrame:
     """Decode ``(value, topic, timestamp, *keep)`` rows by topic.
 
     ``topic_kind`` maps topic names to 'rated' / 'tipped' / 'journey' /
@@ -151,7 +176,8 @@ def decode(raw: DataFrame, topic_kind: dict, keep: tuple = ()) -> DataFrame:
     (timestamps as instants, null when not set), ``source_ts`` (the row's
     arrival time) and the ``keep`` columns.  Rows of other topics or with
     malformed payloads come back with ``decode_ok = false``.  ``topic`` is
-    always carried through.
+    always carried through.  ``skip`` names fields the caller does not need;
+    they are parsed but never leave Python.
     """
     ship_package(raw.sparkSession)
     kinds = set(topic_kind.values())
@@ -161,7 +187,7 @@ def decode(raw: DataFrame, topic_kind: dict, keep: tuple = ()) -> DataFrame:
         if k in kinds:
             for name, _, ftype in WIRE[MESSAGE_OF_KIND[k]]:
                 c = name + "_ms" if ftype == "ts" else name
-                if c not in columns:
+                if c not in columns and name not in skip:
                     columns.append(c)
     keep = tuple(k for k in keep if k != "topic")
     keep_all = ("topic", "__arrival_us", *keep)

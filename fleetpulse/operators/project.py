@@ -29,7 +29,7 @@ def total_sql() -> dict:
         "total_price": {"journey": f"coalesce(price, {zero})"},
         "total_tips": {"tipped": f"coalesce(amount, {zero})"},
         "number_of_ratings": {"rated": "1L"},
-        "total_rating": {"rated": f"coalesce(rating, {zero})"},
+        "total_rating": {"rated": "rating"},
     }
     return {name: f"{per_kind_sql(spec[name], otherwise=zero)} AS {name}" for name in TOTALS}
 

@@ -148,7 +148,7 @@ feed AS (
         'finish_reason', finish_reason, 'started_at', {_ts("started_at")},
         'ended_at', {_ts("ended_at")}, 'distance', distance, 'price', price)
     END AS VARCHAR) AS payload
-  FROM wide WHERE event_id % 40 <> 0
+  FROM wide
   UNION ALL
   SELECT 'output/driver_stats', 'DriverStats', driver_id, interval_start,
     CAST(json_object('driver_id', driver_id, 'interval_start', {_ts("interval_start")},
@@ -164,6 +164,7 @@ SELECT * FROM feed
 ORACLE_SQL = {
     "driver_stats_10m": _with(_stats("kept", 600)),
     "driver_stats_1d": _with(_stats("kept", 86400)),
+    "driver_stats_typed_10m": _with(_stats("kept", 600)),
     "rated_valid": _with(f"SELECT source_ts, {_RATED_COLS} FROM valid WHERE kind = 'rated'"),
     "tipped_valid": _with(f"SELECT source_ts, {_TIPPED_COLS} FROM valid WHERE kind = 'tipped'"),
     "journey_valid": _with(f"SELECT source_ts, {_JOURNEY_COLS} FROM valid WHERE kind = 'journey'"),
@@ -199,11 +200,11 @@ FROM kept GROUP BY 1, 2
 """),
     "tip_totals": _totals("tipped", 86400, ["total_tips"]),
     "decode_rated": _with(f"SELECT source_ts, {_RATED_COLS} FROM wide "
-                          "WHERE kind = 'rated' AND event_id % 40 <> 0"),
+                          "WHERE kind = 'rated'"),
     "decode_tipped": _with(f"SELECT source_ts, {_TIPPED_COLS} FROM wide "
-                           "WHERE kind = 'tipped' AND event_id % 40 <> 0"),
+                           "WHERE kind = 'tipped'"),
     "decode_journey": _with(f"SELECT source_ts, {_JOURNEY_COLS} FROM wide "
-                            "WHERE kind = 'journey' AND event_id % 40 <> 0"),
+                            "WHERE kind = 'journey'"),
     "stats_codec_roundtrip": _with(_stats("kept", 600)),
     "json_lake_roundtrip": _with("""
 SELECT kind, driver_id, rider_id, journey_id, rating, rated_at, amount, tipped_at,
@@ -211,9 +212,24 @@ SELECT kind, driver_id, rider_id, journey_id, rating, rated_at, amount, tipped_a
 FROM valid
 """),
     "history_driver_stats": _with(_stats("es", 600)),
-    # Streams read the encoded log, where every 40th payload is corrupt.
-    "stream_driver_stats": _with(_stats("(SELECT * FROM kept WHERE event_id % 40 <> 0)", 600)),
-    "stream_update_totals": _with(_stats("(SELECT * FROM kept WHERE event_id % 40 <> 0)", 600)),
-    "pane_deltas_total": _with(_stats("(SELECT * FROM kept WHERE event_id % 40 <> 0)", 600)),
+    # The corrupt payloads of the encoded log are extra rows: no event is lost.
+    "stream_driver_stats": _with(_stats("kept", 600)),
+    "stream_update_totals": _with(_stats("kept", 600)),
+    # The end-of-input marker is one payload more, and one event seen.
+    "stream_metrics": _with(f"""
+SELECT (SELECT count(*) + count(*) FILTER (event_id % 40 = 0) + 1 FROM wide) AS payloads,
+  (SELECT count(*) FROM wide WHERE event_id % 40 = 0) AS malformed,
+  (SELECT count(*) + 1 FROM es) AS seen,
+  (SELECT count(*) FROM es WHERE NOT (event_time >= source_ts - INTERVAL 20 SECOND)) AS dropped_for_skew,
+  CAST(0 AS BIGINT) AS late_rows,
+  (SELECT count(*) FROM (SELECT DISTINCT driver_id, {_start(600)} AS s FROM kept)) AS closed_windows
+"""),
+    # Late events count only in windows the first run left open.
+    "stream_late_dropped": _with(f"""
+, mark AS (SELECT max(event_time) - INTERVAL 20 SECOND AS w FROM kept WHERE event_id % 10 <> 3),
+counted AS (SELECT kept.* FROM kept, mark WHERE event_id % 10 <> 3 OR {_end(600)} > w)
+{_stats("counted", 600)}
+"""),
+    "pane_deltas_total": _with(_stats("kept", 600)),
     "decoded_feed": "WITH " + FIXTURE.strip() + _FEED,
 }

@@ -1,9 +1,9 @@
 """Rebuild driver statistics from the JSON lake (batch).
 
 As in the reference, the history job neither validates nor applies the skew
-filter (lake rows carry no arrival time).  A record without its instant
-cannot be placed in an interval: the job fails on it, as the reference's
-decoder does, rather than dropping it.
+filter (lake rows carry no arrival time).  An incomplete record fails the job
+in the lake reader, as the reference's decoder does, rather than being dropped
+or counted as 0.
 """
 
 from __future__ import annotations
@@ -35,12 +35,12 @@ def history_stats(wide: DataFrame, params: StatsParams = HISTORY_PARAMS) -> Data
 
 
 def rebuild_stats(spark: SparkSession, lake_root: str, out_path: str | None = None,
-                  params: StatsParams = HISTORY_PARAMS) -> DataFrame:
+                  params: StatsParams = HISTORY_PARAMS, mode: str = "errorifexists") -> DataFrame:
     """Read the lake, aggregate, and (with ``out_path``) write the results as
-    JSON (S4).  Returns the result DataFrame (re-read from ``out_path`` when
+    JSON (S4); ``mode="overwrite"`` replaces an earlier run's.  Returns the result DataFrame (re-read from ``out_path`` when
     written, so the caller does not recompute it)."""
     st = history_stats(read_history(spark, lake_root), params)
     if out_path is None:
         return st
-    write_lake(st, out_path, "stats")
+    write_lake(st, out_path, "stats", mode)
     return read_lake(spark, out_path, "stats")

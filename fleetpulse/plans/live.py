@@ -18,12 +18,14 @@ from ..sources.topics import decode_events, encode_stats
 # Names under which a running query reports its metrics (O1, B7 count).
 SKEW_METRICS = "skew"
 DECODE_METRICS = "decode"
+# Event fields no statistic reads.
+UNUSED = ("rider_id",)
 
 
 def live_stats(raw: DataFrame, params: StatsParams = StatsParams(), *,
                observe: bool = True) -> DataFrame:
     """Typed result rows of the live job (streaming or batch input)."""
-    wide = decode_events(raw, params, observation=DECODE_METRICS if observe else None)
+    wide = decode_events(raw, params, observation=DECODE_METRICS if observe else None, skip=UNUSED)
     return driver_stats(wide, params, watermark=raw.isStreaming,
                         observation=SKEW_METRICS if observe else None)
 
@@ -34,13 +36,14 @@ def live_job(raw: DataFrame, params: StatsParams = StatsParams()) -> DataFrame:
 
 
 def live_pane_deltas(raw: DataFrame, params: StatsParams = StatsParams(),
-                     delay_seconds: float | None = None) -> DataFrame:
+                     delay_seconds: float | None = None, poll_seconds: float | None = None) -> DataFrame:
     """The reference's live trigger - pane deltas fired ``delay_seconds``
-    (default: the interval) of processing time after each pane's first event."""
+    (default: the interval) of processing time after each pane's first event,
+    or when the window closes."""
     from ..streaming.panes import pane_deltas
 
-    wide = decode_events(raw, params, observation=DECODE_METRICS)
+    wide = decode_events(raw, params, observation=DECODE_METRICS, skip=UNUSED)
     es = event_stats(wide, params, observation=SKEW_METRICS)
     es = es.withWatermark("event_time", params.watermark)
     delay = params.interval_seconds if delay_seconds is None else delay_seconds
-    return pane_deltas(es, params, delay)
+    return pane_deltas(es, params, delay, poll_seconds)

@@ -13,10 +13,11 @@ from pyspark.sql import types as T
 
 from .config import StatsParams, prepare_session, run_dir
 from .operators import aggregate, skew, validate
-from .operators.events import narrow
+from .functions import codec
+from .operators.events import narrow, per_kind_sql, widen
 from .plans import feed, history, live, stats
 from .sources import lake, topics
-from .sources.fixtures import fixture_events, spread_small_input
+from .sources.fixtures import fixture_events, fixture_typed
 from .streaming import runner
 
 P10M = StatsParams(interval_seconds=600)
@@ -48,6 +49,13 @@ def driver_stats_1d(spark, sf_dir):
     return for_check(stats.driver_stats(_wide(spark, sf_dir), P1D))
 
 
+def driver_stats_typed_10m(spark, sf_dir):
+    """J2 through its three-input entry point: typed tables, one result."""
+    prepare_session(spark)
+    t = fixture_typed(spark, sf_dir)
+    return for_check(stats.driver_stats_typed(t["rated"], t["tipped"], t["journey"], P10M))
+
+
 # -- F1-F3 --------------------------------------------------------------------
 
 def _valid_kind(kind):
@@ -71,8 +79,10 @@ def rejects_by_reason(spark, sf_dir):
 # -- P1-P4, U1 ----------------------------------------------------------------
 
 def event_stats_union(spark, sf_dir):
-    """Validated events in the common shape, all kinds in one bag."""
-    es = stats.event_stats(_wide(spark, sf_dir), skew_check=False, keep=("event_id",))
+    """Validated events in the common shape: three typed tables in one bag."""
+    prepare_session(spark)
+    wide = widen(fixture_typed(spark, sf_dir), keep=("event_id",))
+    es = stats.event_stats(wide, skew_check=False, keep=("event_id",))
     return for_check(es)
 
 
@@ -147,19 +157,35 @@ def tip_totals(spark, sf_dir):
 
 # -- D1-D5, E1-E4 ------------------------------------------------------------
 
-# Fixed value of the fault injection: payloads of every 40th event are
-# replaced by two 0xFF bytes (not a protobuf message); all rows are decoded.
+# Fault injection: beside every 40th event an extra payload arrives on the same
+# topic that is not a valid message: two 0xFF bytes (no protobuf message), or
+# a message whose instants lie far outside the Timestamp range.
 CORRUPT_MOD = 40
 CORRUPT_BYTES_HEX = "FFFF"
+BAD_SECONDS = 10**15
+
+
+def _bad_instant_hex(kind: str) -> str:
+    """A payload of the kind that parses, with instants out of range."""
+    msg = codec.message_classes()[codec.MESSAGE_OF_KIND[kind]]()
+    for name, _, ftype in codec.WIRE[codec.MESSAGE_OF_KIND[kind]]:
+        if ftype == "ts":
+            getattr(msg, name).seconds = BAD_SECONDS
+        elif ftype == "str":
+            setattr(msg, name, "x")
+    return msg.SerializeToString().hex()
 
 
 def encoded_fixture(spark, sf_dir, params=P10M, kinds=None):
-    """The fixture as raw topic rows (E2), with the planted corrupt payloads."""
-    raw = topics.encode_events(spread_small_input(_wide(spark, sf_dir, kinds)), params,
-                               keep=("event_id",))
-    bad = F.col("event_id") % CORRUPT_MOD == 0
-    return raw.withColumn("value", F.when(bad, F.unhex(F.lit(CORRUPT_BYTES_HEX)))
-                          .otherwise(F.col("value")))
+    """The fixture as raw topic rows (E2), and the planted corrupt payloads."""
+    wide = _wide(spark, sf_dir, kinds)
+    raw = topics.encode_events(wide, params, keep=("event_id",))
+    topic = per_kind_sql({k: f"'{params.topics[k]}'" for k in topics.INPUT_KINDS})
+    bad = per_kind_sql({k: f"unhex('{_bad_instant_hex(k)}')" for k in topics.INPUT_KINDS})
+    planted = wide.where(f"event_id % {CORRUPT_MOD} = 0").selectExpr(
+        f"CASE WHEN event_id % {2 * CORRUPT_MOD} = 0 THEN unhex('{CORRUPT_BYTES_HEX}') ELSE {bad} END AS value",
+        f"{topic} AS topic", "source_ts AS timestamp", "event_id")
+    return raw.unionByName(planted)
 
 
 def _decode_kind(kind):
@@ -179,7 +205,7 @@ decode_journey = _decode_kind("journey")
 def stats_codec_roundtrip(spark, sf_dir):
     """Result rows -> output-topic payloads (E1, E3) -> decoded again."""
     st = stats.driver_stats(_wide(spark, sf_dir), P10M)
-    raw = topics.encode_stats(spread_small_input(st), P10M)
+    raw = topics.encode_stats(st, P10M)
     back = topics.decode_stats(raw, P10M)
     return for_check(back.drop("source_ts"))
 
@@ -210,68 +236,122 @@ def history_driver_stats(spark, sf_dir):
 
 # -- S1, S2, T2, W3-W4, W6, J1 ------------------------------------------------
 
-# Arrival slices of the replayed log: one micro-batch per week of arrivals.
+# Arrival slices of the replay: one run per week of arrivals.
 ARRIVAL_SLICE_SECONDS = 7 * 86400
-STREAM_TIMEOUT_S = 900
-
-
-def replayed_fixture(spark, sf_dir, base, marker: bool) -> str:
-    """The encoded fixture (with corrupt payloads) as a topic log in arrival order."""
-    log = f"{base}/topic-log"
-    runner.write_replay_log(encoded_fixture(spark, sf_dir).drop("event_id"), log,
-                            f"{base}/staging", ARRIVAL_SLICE_SECONDS)
-    if marker:
-        topics.write_topic_log(runner.end_of_input(spark, P10M).coalesce(1), log)
-    return log
 
 
 def _state_partitions(spark) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+def _replay(spark, sf_dir, base, start, marker: bool) -> None:
+    """The encoded fixture (with corrupt payloads) through ``start(source)``, one
+    availableNow run per arrival slice from one checkpoint."""
+    def run_once():
+        return start(topics.read_topic_log(spark, f"{base}/topic-log", stream=True))
+
+    runner.backfill_by_slice(encoded_fixture(spark, sf_dir).drop("event_id"), f"{base}/topic-log",
+                             f"{base}/staging", ARRIVAL_SLICE_SECONDS, run_once,
+                             end_marker=runner.end_of_input(spark, P10M) if marker else None)
+    runner.remove_folder(spark, f"{base}/topic-log")
+
+
+def _start_live(spark, base, job=live.live_job):
+    def start(src):
+        return runner.start_append(job(src, P10M), f"{base}/out", f"{base}/checkpoint",
+                                   state_partitions=_state_partitions(spark))
+    return start
+
+
 def stream_driver_stats(spark, sf_dir):
     """J1 end to end: payload log -> streaming job (append) -> payload sink -> decoded."""
     base = run_dir(spark, "live")
-    log = replayed_fixture(spark, sf_dir, base, marker=True)
-    src = topics.read_topic_log(spark, log, stream=True, max_files_per_trigger=1)
-    q = runner.start_append(live.live_job(src, P10M), f"{base}/out", f"{base}/checkpoint",
-                            state_partitions=_state_partitions(spark))
-    runner.await_done(q, STREAM_TIMEOUT_S)
+    _replay(spark, sf_dir, base, _start_live(spark, base), marker=True)
     out = topics.decode_stats(topics.read_topic_log(spark, f"{base}/out"), P10M)
     return for_check(out.drop("source_ts"))
 
 
+def stream_metrics(spark, sf_dir):
+    """O1-O3: the totals the live job reports over all its micro-batches."""
+    base, totals, started = run_dir(spark, "metrics"), runner.Totals(), []
+    live_start = _start_live(spark, base)
+
+    def start(src):
+        if started:
+            totals.update(started[-1])
+        started.append(live_start(src))
+        return started[-1]
+
+    _replay(spark, sf_dir, base, start, marker=True)
+    totals.update(started[-1])
+    names = ("payloads", "malformed", "seen", "dropped_for_skew", "late_rows", "closed_windows")
+    row = tuple(int(totals.counts[n]) for n in names)
+    return spark.createDataFrame([row], ", ".join(f"{n} long" for n in names))
+
+
 def stream_update_totals(spark, sf_dir):
     """Running totals in update mode; the last emission per key."""
-    base = run_dir(spark, "update")
-    log = replayed_fixture(spark, sf_dir, base, marker=False)
-    src = topics.read_topic_log(spark, log, stream=True, max_files_per_trigger=1)
-    q = runner.start_update(live.live_stats(src, P10M), f"{base}/updates", f"{base}/checkpoint",
-                            state_partitions=_state_partitions(spark))
-    runner.await_done(q, STREAM_TIMEOUT_S)
+    base, run = run_dir(spark, "update"), []
+
+    def start(src):
+        # Batch ids go on across the runs of one checkpoint.
+        run.append(runner.start_update(live.live_stats(src, P10M), f"{base}/updates", f"{base}/checkpoint",
+                                       state_partitions=_state_partitions(spark)))
+        return run[-1]
+
+    _replay(spark, sf_dir, base, start, marker=False)
     upd = spark.read.parquet(f"{base}/updates")
     return for_check(runner.last_per_key(upd, ["driver_id", "interval_start", "interval_end"]))
 
 
+# -- W3 ------------------------------------------------------------------------
+
+LATE_MOD, LATE_REST = 10, 3   # events that arrive only after all others
+
+
+def stream_late_dropped(spark, sf_dir):
+    """Every tenth event comes in a second run from the same checkpoint.  Its
+    window has closed by then unless the watermark of the first run is before
+    the window's end; closed windows do not change."""
+    base = run_dir(spark, "late")
+    wide = _wide(spark, sf_dir)
+    late = F.col("event_id") % LATE_MOD == LATE_REST
+    log = f"{base}/topic-log"
+    for part, marker in ((wide.where(~late), False), (wide.where(late), True)):
+        topics.write_topic_log(topics.encode_events(part, P10M), log)
+        runner.await_done(_start_live(spark, base)(topics.read_topic_log(spark, log, stream=True)))
+        if marker:
+            topics.write_topic_log(runner.end_of_input(spark, P10M), log)
+            runner.await_done(_start_live(spark, base)(topics.read_topic_log(spark, log, stream=True)))
+    runner.remove_folder(spark, log)
+    out = topics.decode_stats(topics.read_topic_log(spark, f"{base}/out"), P10M)
+    return for_check(out.drop("source_ts"))
+
+
 # -- W5 ------------------------------------------------------------------------
 
 PANE_DELAY_SECONDS = 2       # short pane delay for a finite replay
-PANE_TRIGGER = "1 second"
+PANE_TRIGGER = "2 seconds"
 
 
 def pane_deltas_total(spark, sf_dir):
-    """Pane deltas of the live trigger, summed per key (= final totals)."""
+    """Pane deltas of the live trigger, summed per key (= final totals).
+
+    The query keeps running while its timers fire, so the log (written at its
+    natural parallelism) is read by one processing-time query until every
+    row is read and no pane is pending."""
     from .streaming import panes
 
     base = run_dir(spark, "panes")
-    log = replayed_fixture(spark, sf_dir, base, marker=False)
-    n_rows = topics.read_topic_log(spark, log).count()
-    src = topics.read_topic_log(spark, log, stream=True, max_files_per_trigger=1)
-    deltas = live.live_pane_deltas(src, P10M, PANE_DELAY_SECONDS)
+    log = f"{base}/topic-log"
+    topics.write_topic_log(encoded_fixture(spark, sf_dir), log)
+    n_rows = topics.read_topic_log(spark, log).count()   # parquet footers
+    deltas = live.live_pane_deltas(topics.read_topic_log(spark, log, stream=True), P10M, PANE_DELAY_SECONDS)
     q = runner.start_append(deltas, f"{base}/deltas", f"{base}/checkpoint",
                             trigger={"processingTime": PANE_TRIGGER},
                             state_partitions=_state_partitions(spark))
-    runner.await_quiet(q, n_rows, STREAM_TIMEOUT_S)
+    runner.await_quiet(q, n_rows)
+    runner.remove_folder(spark, log)
     return for_check(panes.sum_deltas(spark.read.parquet(f"{base}/deltas")))
 
 
@@ -280,14 +360,14 @@ def pane_deltas_total(spark, sf_dir):
 def decoded_feed(spark, sf_dir):
     """The input topics and the output topic in one log, decoded by topic."""
     events_raw = encoded_fixture(spark, sf_dir).drop("event_id")
-    stats_raw = topics.encode_stats(
-        spread_small_input(stats.driver_stats(_wide(spark, sf_dir), P10M)), P10M)
+    stats_raw = topics.encode_stats(stats.driver_stats(_wide(spark, sf_dir), P10M), P10M)
     return for_check(feed.decoded_feed(events_raw.unionByName(stats_raw), P10M))
 
 
 QUERIES = {
     "driver_stats_10m": driver_stats_10m,
     "driver_stats_1d": driver_stats_1d,
+    "driver_stats_typed_10m": driver_stats_typed_10m,
     "rated_valid": rated_valid,
     "tipped_valid": tipped_valid,
     "journey_valid": journey_valid,
@@ -307,6 +387,8 @@ QUERIES = {
     "json_lake_roundtrip": json_lake_roundtrip,
     "history_driver_stats": history_driver_stats,
     "stream_driver_stats": stream_driver_stats,
+    "stream_metrics": stream_metrics,
+    "stream_late_dropped": stream_late_dropped,
     "stream_update_totals": stream_update_totals,
     "pane_deltas_total": pane_deltas_total,
     "decoded_feed": decoded_feed,

@@ -36,10 +36,6 @@ SOURCE_TS = "source_ts"
 TOTALS = ("total_drop_offs", "total_driver_cancels", "total_distance",
           "total_price", "total_tips", "number_of_ratings", "total_rating")
 
-# Common shape of every event after projection.
-EVENT_STATS = _struct(("driver_id", S), ("event_time", TS),
-                      *[(c, L) for c in TOTALS])
-
 # Result: one row per driver and interval.
 DRIVER_STATS = _struct(("driver_id", S), ("interval_start", TS), ("interval_end", TS),
                        ("total_drop_offs", L), ("total_driver_cancels", L),
@@ -66,8 +62,6 @@ LAKE_NAMES = {
     "total_driver_cancels": "totalDriverCancels", "total_distance": "totalDistance",
     "total_price": "totalPrice", "total_tips": "totalTips", "avg_rating": "avgRating",
 }
-LAKE_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-
 
 def lake_schema(schema: T.StructType) -> T.StructType:
     """The camelCase JSON-lake form of a typed schema."""

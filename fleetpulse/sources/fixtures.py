@@ -8,6 +8,7 @@ deterministic and mirrored in the DuckDB oracle (``__spark_entry__``).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+
 from ..operators.events import narrow
 
 # Fixed values of the mapping -------------------------------------------------
@@ -33,27 +34,6 @@ def events_path(sf_dir: str) -> str:
     return f"{sf_dir.rstrip('/')}/events.parquet"
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Spread an under-partitioned scan over the cluster's cores.
-
-    A parquet row group is the smallest unit a scan can split; each given
-    table is one file with one row group, so without this every step before
-    the first shuffle runs in one task.  That is cheap for JVM expressions
-    (measured: an extra exchange costs about what it saves) but not for the
-    Python codec, so the codec paths call this before encoding.  Only when
-    the input has fewer partitions than the default parallelism is a
-    round-robin repartition added; an input of that size is by definition
-    small, and a large input (many files or row groups) is left exactly as
-    scanned - no extra shuffle.
-    """
-    if df.isStreaming:
-        return df
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
 def fixture_events(spark: SparkSession, sf_dir: str, kinds: tuple | None = None) -> DataFrame:
     """The wide event frame of the fixture, with ``event_id`` and ``source_ts``.
 

@@ -62,17 +62,19 @@ def write_topic_log(raw: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def decode_events(raw: DataFrame, params: StatsParams = StatsParams(), keep: tuple = (),
-                  observation: Observation | str | None = None) -> DataFrame:
+                  observation: Observation | str | None = None, skip: tuple = ()) -> DataFrame:
     """Raw rows of the input topics -> the wide event frame.
 
     Malformed payloads are dropped (the reference drops them silently); with
-    ``observation`` the number of rows read and dropped is reported.
+    ``observation`` the number of rows read and dropped is reported.  Fields
+    named in ``skip`` are left out of the frame.
     """
-    dec = codec.decode(raw, input_topics(params), keep=keep)
+    dec = codec.decode(raw, input_topics(params), keep=keep, skip=skip)
     if observation is not None:
         dec = dec.observe(observation, F.count(F.lit(1)).alias("payloads"),
                           F.count_if(~F.col("decode_ok")).alias("malformed"))
-    return dec.filter(F.col("decode_ok")).select(*keep, "kind", *WIDE_FIELDS, SOURCE_TS)
+    fields = [f for f in WIDE_FIELDS if f not in skip]
+    return dec.filter(F.col("decode_ok")).select(*keep, "kind", *fields, SOURCE_TS)
 
 
 def decode_stats(raw: DataFrame, params: StatsParams = StatsParams(), keep: tuple = ()) -> DataFrame:

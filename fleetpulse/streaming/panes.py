@@ -8,7 +8,9 @@ arrived since the previous firing.  Allowed lateness is zero.
 Here this is a ``transformWithState`` processor keyed by (driver, window):
 value state = the seven running sums of the open pane; the pane's first row
 registers a processing-time timer at now + delay; the timer emits the pane
-and clears it.  Spark does not drop late rows in processing-time mode, so the
+and clears it.  A pane that is pending when the watermark passes its window
+end is the window's closing pane and does not wait for its delay: timers
+look at the watermark every ``poll_ms`` (at most the delay) and fire then.  Spark does not drop late rows in processing-time mode, so the
 handler drops rows whose window the watermark has already passed.  Keys are
 (driver, window) instead of the reference's one key per window, so a busy
 window is spread over the cluster.  The sum of a key's deltas equals its
@@ -26,7 +28,7 @@ from ..config import StatsParams, ship_package
 from ..operators.aggregate import average_rating, tumbling
 from ..schemas import TOTALS
 
-PANE_STATE = T.StructType([T.StructField(c, T.LongType()) for c in TOTALS])
+PANE_STATE = T.StructType([T.StructField(c, T.LongType()) for c in (*TOTALS, "due_ms")])
 DELTA_OUT = T.StructType(
     [T.StructField("driver_id", T.StringType()),
      T.StructField("interval_start_ms", T.LongType()),
@@ -37,10 +39,12 @@ DELTA_OUT = T.StructType(
 
 class PaneDeltas(StatefulProcessor):
     """Per (driver, window): accumulate a pane, fire it ``delay_ms`` after its
-    first element (processing time), then start a new pane."""
+    first element (processing time) or once its window has closed, then
+    start a new pane."""
 
-    def __init__(self, delay_ms: int):
+    def __init__(self, delay_ms: int, poll_ms: int):
         self.delay_ms = int(delay_ms)
+        self.poll_ms = min(int(poll_ms), self.delay_ms)
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -48,7 +52,7 @@ class PaneDeltas(StatefulProcessor):
 
     # Every state access is a call to the JVM state server: at most get +
     # update (+ registerTimer for a new pane) per key and batch, get + clear
-    # per fired pane.
+    # per fired pane, get + registerTimer per look at the watermark.
     def handleInputRows(self, key, rows, timerValues):
         interval_end_ms = key[2]
         if interval_end_ms <= timerValues.getCurrentWatermarkInMs():
@@ -56,19 +60,26 @@ class PaneDeltas(StatefulProcessor):
                 pass
             return iter([])
         current = self.pane.get()
-        sums = [0] * len(TOTALS) if current is None else list(current)
+        if current is None:
+            now = timerValues.getCurrentProcessingTimeInMs()
+            sums = [0] * len(TOTALS) + [now + self.delay_ms]
+            self.handle.registerTimer(now + self.poll_ms)
+        else:
+            sums = list(current)
         for r in rows:
             for i, c in enumerate(TOTALS):
                 sums[i] += r[c]
         self.pane.update(tuple(sums))
-        if current is None:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.delay_ms)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         sums = self.pane.get()
         if sums is None:
             return iter([])
+        now, due = expiredTimerInfo.getExpiryTimeInMs(), sums[len(TOTALS)]
+        if now < due and key[2] > timerValues.getCurrentWatermarkInMs():
+            self.handle.registerTimer(min(due, timerValues.getCurrentProcessingTimeInMs() + self.poll_ms))
+            return iter([])
         self.pane.clear()
         out = dict(zip(TOTALS, sums))
         return iter([Row(driver_id=key[0], interval_start_ms=key[1], interval_end_ms=key[2],
@@ -81,17 +92,35 @@ class PaneDeltas(StatefulProcessor):
 PANE_KEYS = ("driver_id", "interval_start_ms", "interval_end_ms")
 
 
-def _combine_batches(batches):
-    """Map-side combine: sum the totals per key inside each Arrow batch."""
+# Keys a task holds before it sends its partial sums on.
+COMBINE_KEYS = 50_000
+
+
+def _combine_batches(batches, max_keys: int = COMBINE_KEYS):
+    """Map-side combine: sum the totals per key over the batches of a task.
+
+    Holds at most ``max_keys`` keys and one batch; beyond that the partial
+    sums are sent on and collected anew."""
     import pyarrow as pa
 
+    names = [*PANE_KEYS, *TOTALS]
+
+    def combined(parts):
+        g = pa.concat_tables(parts).group_by(list(PANE_KEYS)).aggregate([(c, "sum") for c in TOTALS])
+        return pa.Table.from_arrays(
+            [g.column(k) for k in PANE_KEYS] + [g.column(f"{c}_sum") for c in TOTALS], names=names)
+
+    held = None
     for b in batches:
         if b.num_rows == 0:
             continue
-        g = pa.Table.from_batches([b]).group_by(list(PANE_KEYS)).aggregate(
-            [(c, "sum") for c in TOTALS])
-        cols = [g.column(k) for k in PANE_KEYS] + [g.column(f"{c}_sum") for c in TOTALS]
-        yield from pa.Table.from_arrays(cols, names=[*PANE_KEYS, *TOTALS]).to_batches()
+        t = pa.Table.from_batches([b]).select(names)
+        held = combined([t] if held is None else [held, t])
+        if held.num_rows >= max_keys:
+            yield from held.to_batches()
+            held = None
+    if held is not None:
+        yield from held.to_batches()
 
 
 def _pickle_by_value() -> None:
@@ -104,8 +133,13 @@ def _pickle_by_value() -> None:
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def pane_deltas(event_stats: DataFrame, params: StatsParams, delay_seconds: float) -> DataFrame:
-    """Delta rows of every fired pane (streaming input with a watermark)."""
+def pane_deltas(event_stats: DataFrame, params: StatsParams, delay_seconds: float,
+                poll_seconds: float | None = None) -> DataFrame:
+    """Delta rows of every fired pane (streaming input with a watermark).
+
+    ``poll_seconds`` (default: a tenth of the delay, one second at least) is
+    how often a pending pane looks whether its window has closed."""
+    poll = max(1.0, delay_seconds / 10) if poll_seconds is None else poll_seconds
     ship_package(event_stats.sparkSession)
     _pickle_by_value()
     w = tumbling(params.interval)
@@ -115,11 +149,11 @@ def pane_deltas(event_stats: DataFrame, params: StatsParams, delay_seconds: floa
         F.unix_millis(w.end).alias("interval_end_ms"),
         *TOTALS)
     # Pre-aggregate before the shuffle: the stateful operator gets at most one
-    # row per key and Arrow batch, so a driver holding a third of all events
+    # row per key and task (or COMBINE_KEYS keys), so a driver holding a third of all events
     # sends a few partial rows, not a third of the rows, to its task.
     combined = keyed.mapInArrow(_combine_batches, keyed.schema)
     out = combined.groupBy(*PANE_KEYS).transformWithState(
-        PaneDeltas(int(delay_seconds * 1000)), DELTA_OUT, "Append", "ProcessingTime")
+        PaneDeltas(int(delay_seconds * 1000), int(poll * 1000)), DELTA_OUT, "Append", "ProcessingTime")
     return out.select(
         "driver_id",
         F.timestamp_millis("interval_start_ms").alias("interval_start"),

@@ -6,15 +6,14 @@
   every micro-batch that changes it (W6); the parquet sink takes append only,
   so update mode goes through ``foreachBatch`` and keeps the batch id, and
   ``last_per_key`` reads the final value back.
-* ``write_replay_log``: turns a batch of raw rows into a topic log whose files
-  arrive in arrival-time order, one micro-batch per slice - the stand-in for
-  a broker in tests.  ``backfill_by_slice`` does the same at any scale: one
-  ``availableNow`` run per slice from the same checkpoint.
+* ``backfill_by_slice``: replays a batch of raw rows in arrival order, one
+  ``availableNow`` run per arrival slice from the same checkpoint.
 * ``end_of_input``: a marker that moves the watermark past every real window
   (the reference's test does the same by advancing its watermark to
-  infinity).  Its own window never closes, so it never reaches the output.
-* ``progress_report``: watermark, state size, rows dropped as late and the
-  observed metrics of the last micro-batch (O1-O3).
+  infinity).  Its own window never closes, so it never reaches the output.  A
+  checkpoint that has seen it is finished: all later input would be late.
+* ``Totals`` / ``watch``: skew drops, malformed payloads, late rows and closed
+  windows summed over all micro-batches, and the watermark (O1-O3).
 
 Every checkpoint and sink lives in the shared folder (config.run_dir).
 """
@@ -22,6 +21,7 @@ Every checkpoint and sink lives in the shared folder (config.run_dir).
 from __future__ import annotations
 
 import contextlib
+import time
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,12 +83,11 @@ def start_append(df: DataFrame, sink: str | None, checkpoint: str, *, fmt: str =
 
 def start_update(df: DataFrame, sink: str, checkpoint: str, *, trigger: dict | None = None,
                  state_partitions: int | None = None) -> StreamingQuery:
-    """Running totals (update mode): every changed key per micro-batch, appended
-    to parquet with its ``batch_id``.  A re-run batch writes the same rows
-    again under the same id, which ``last_per_key`` tolerates."""
+    """Running totals (update mode): every changed key per micro-batch, in a
+    ``batch_id=`` folder of its own.  A re-run batch overwrites its folder."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(sink)
+        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     spark = df.sparkSession
     with session_conf(spark, _state_conf(spark, state_partitions)):
@@ -98,66 +97,44 @@ def start_update(df: DataFrame, sink: str, checkpoint: str, *, trigger: dict | N
 
 
 def last_per_key(updates: DataFrame, keys: list) -> DataFrame:
-    """Latest emission of every key of an update-mode log (max ``batch_id``)."""
+    """Latest emission of every key of an update-mode log (max ``batch_id``).
+
+    A key has one row per batch, so the columns' maxima by batch belong to
+    the same row; fixed-width columns keep the aggregation hash-based."""
     vals = [c for c in updates.columns if c not in keys and c != "batch_id"]
-    latest = F.max_by(F.struct(*vals), F.col("batch_id")).alias("v")
-    return updates.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"v.{c}").alias(c) for c in vals])
+    return updates.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in vals])
 
 
-def await_done(q: StreamingQuery, timeout_s: float = 600) -> None:
-    """Wait for a finite (availableNow) run; raise its error or a timeout."""
-    finished = q.awaitTermination(timeout_s)
+def await_done(q: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for a finite (availableNow) run; raise its error.  Without a
+    ``timeout_s`` it waits as long as the run takes."""
+    finished = q.awaitTermination(timeout_s) if timeout_s else (q.awaitTermination() or True)
     if not finished:
-        q.stop()
+        stop_idle(q)
         raise TimeoutError(f"streaming query {q.name or q.id} did not finish in {timeout_s}s")
     if q.exception() is not None:
         raise q.exception()
 
 
-def write_replay_log(raw: DataFrame, path: str, staging: str, slice_seconds: int) -> int:
-    """Write raw topic rows as a log read in arrival order.
-
-    Rows are staged once (partitioned by arrival slice), then each slice is
-    appended as one file, oldest first, so a file source with
-    ``maxFilesPerTrigger=1`` replays the slices as successive micro-batches:
-    arrivals never go back in time between batches.  Returns the number of
-    slices.
-    """
-    sl = F.floor(F.unix_seconds("timestamp") / F.lit(int(slice_seconds))).cast("long")
-    raw.select("value", "topic", "timestamp", sl.alias("slice")).write.partitionBy("slice").parquet(staging)
-    staged = _read_staged(raw.sparkSession, staging)
-    slices = _staged_slices(staged)
-    for s in slices:
-        (staged.filter(F.col("slice") == s).select("value", "topic", "timestamp")
-         .coalesce(1).write.mode("append").parquet(path))
-    if not slices:
-        # No input: still create the (empty) log, so a stream can start on it.
-        raw.select("value", "topic", "timestamp").limit(0).write.mode("append").parquet(path)
-    return len(slices)
-
-
-def _read_staged(spark: SparkSession, staging: str) -> DataFrame:
-    """The staged log with a fixed schema (works for an empty staging too)."""
-    from pyspark.sql import types as T
-
-    from ..schemas import RAW_TOPIC
-
-    schema = T.StructType(list(RAW_TOPIC.fields) + [T.StructField("slice", T.LongType())])
-    return spark.read.schema(schema).parquet(staging)
-
+def stop_idle(q: StreamingQuery, poll_s: float = 0.02, tries: int = 500) -> None:
+    """Stop a query between two triggers, so that no batch is cut off."""
+    for _ in range(tries):
+        if not q.isActive or not q.status["isTriggerActive"]:
+            break
+        time.sleep(poll_s)
+    q.stop()
 
-def _staged_slices(staged: DataFrame) -> list:
-    """Slice numbers of a staged log, from its partition folders (a file
-    listing; no job, no data on the driver)."""
-    import re
 
-    found = {int(m.group(1)) for f in staged.inputFiles()
-             for m in [re.search(r"/slice=(-?\d+)/", f)] if m}
-    return sorted(found)
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop's FileSystem (any store)."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def backfill_by_slice(raw: DataFrame, log: str, staging: str, slice_seconds: int,
-                      run_once, end_marker: DataFrame | None = None) -> int:
+                      run_once, end_marker: DataFrame | None = None,
+                      after_slice: int | None = None) -> int:
     """Replay raw topic rows slice by slice, at any scale.
 
     Each arrival slice is appended to the log at its natural parallelism
@@ -165,15 +142,28 @@ def backfill_by_slice(raw: DataFrame, log: str, staging: str, slice_seconds: int
     ``availableNow`` trigger from the same checkpoint and waits for it, so
     every run sees only arrivals later than the previous run's.  Ordering
     comes from the runs, not from file timestamps, and every slice
-    boundary is a restart from the checkpoint.  ``end_marker`` (e.g.
-    ``end_of_input``) is appended before one last run.  Returns the number of
-    runs.
+    boundary is a restart from the checkpoint.  Returns the number of runs.
+
+    ``end_marker`` (``end_of_input``) is appended before one last run.  It ends
+    the checkpoint: the watermark is then past every real window and any
+    later row would be late, so a log that holds the marker is refused.
+
+    A backfill that failed is resumed with ``after_slice``, the last slice
+    number that was done (slice = epoch seconds div ``slice_seconds``); the
+    staged copy is written anew, and removed at the end.
     """
+    spark = raw.sparkSession
+    if _ended(spark, log):
+        raise ValueError(f"{log} holds the end-of-input marker; start a new log and checkpoint")
     sl = F.floor(F.unix_seconds("timestamp") / F.lit(int(slice_seconds))).cast("long")
-    raw.select("value", "topic", "timestamp", sl.alias("slice")).write.partitionBy("slice").parquet(staging)
-    staged = _read_staged(raw.sparkSession, staging)
+    (raw.select("value", "topic", "timestamp", sl.alias("slice"))
+     .write.mode("overwrite").partitionBy("slice").parquet(staging))
+    staged = _read_staged(spark, staging)
     runs = 0
-    for s in _staged_slices(staged):
+    # One number per slice comes to the driver.
+    for s in sorted(r[0] for r in staged.select("slice").distinct().collect()):
+        if after_slice is not None and s <= after_slice:
+            continue
         staged.filter(F.col("slice") == s).select("value", "topic", "timestamp") \
             .write.mode("append").parquet(log)
         await_done(run_once())
@@ -182,9 +172,34 @@ def backfill_by_slice(raw: DataFrame, log: str, staging: str, slice_seconds: int
         end_marker.select("value", "topic", "timestamp").write.mode("append").parquet(log)
         await_done(run_once())
         runs += 1
+    if not runs:
+        # No input: still create the (empty) log, so a stream can start on it.
+        raw.select("value", "topic", "timestamp").limit(0).write.mode("append").parquet(log)
+    remove_folder(spark, staging)
     return runs
 
 
+def _ended(spark: SparkSession, log: str) -> bool:
+    from ..schemas import RAW_TOPIC
+
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(log)
+    if not p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p):
+        return False
+    return not (spark.read.schema(RAW_TOPIC).parquet(log)
+                .filter(F.col("timestamp") >= F.lit(END_OF_INPUT_AT)).isEmpty())
+
+
+def _read_staged(spark: SparkSession, staging: str) -> DataFrame:
+    """The staged log with a fixed schema (works for an empty staging too)."""
+    from pyspark.sql import types as T
+
+    from ..schemas import RAW_TOPIC
+
+    schema = T.StructType(list(RAW_TOPIC.fields) + [T.StructField("slice", T.LongType())])
+    return spark.read.schema(schema).parquet(staging)
+
+
 def end_of_input(spark: SparkSession, params: StatsParams = StatsParams()) -> DataFrame:
     """The end-of-input marker as one raw topic row: a valid rating far in the
     future.  A single control record, so it is serialized right here with
@@ -218,26 +233,81 @@ def progress_report(q: StreamingQuery) -> dict:
     }
 
 
-def await_quiet(q: StreamingQuery, total_input_rows: int, timeout_s: float = 600,
-                poll_s: float = 0.5) -> dict:
-    """Wait until a processing-time query has read ``total_input_rows`` rows
-    and its state is empty (every pane fired), then stop it.  Returns the
-    last progress report.  Polls progress only; no data reaches the driver."""
-    import time
+class Totals:
+    """O1-O3 over all micro-batches of a query (and of later runs of it).
+
+    ``update`` takes the batches finished since the last call from the
+    query's recent progress, so call it at least once per hundred batches.
+    ``late_rows`` counts the rows that reach the state operator: partial
+    sums per key and task, not single events.
+    """
+
+    FIELDS = ("payloads", "malformed", "seen", "dropped_for_skew", "late_rows", "closed_windows",
+              "input_rows", "batches")
 
-    seen: dict = {}
-    deadline = time.time() + timeout_s
-    while time.time() < deadline:
+    def __init__(self) -> None:
+        self.counts = dict.fromkeys(self.FIELDS, 0)
+        self.watermark = None
+        self._done: set = set()
+
+    def update(self, q: StreamingQuery) -> bool:
+        """Add what is new; whether anything was."""
+        before = self.counts["batches"]
+        for p in q.recentProgress:
+            key = (p["runId"], p["batchId"])
+            if key in self._done or "addBatch" not in p["durationMs"]:
+                continue  # counted, or a trigger that found nothing to do
+            self._done.add(key)
+            c = self.counts
+            c["batches"] += 1
+            c["input_rows"] += p["numInputRows"]
+            for o in p["stateOperators"] or []:
+                c["late_rows"] += o["numRowsDroppedByWatermark"]
+                c["closed_windows"] += o["numRowsRemoved"]
+            for m in (p["observedMetrics"] or {}).values():
+                for k, v in (m.asDict() if hasattr(m, "asDict") else dict(m)).items():
+                    if k in c:
+                        c[k] += v or 0
+            self.watermark = (p["eventTime"] or {}).get("watermark") or self.watermark
+        return self.counts["batches"] > before
+
+    def report(self) -> str:
+        return " ".join(f"{k}={v}" for k, v in self.counts.items()) + f" watermark={self.watermark}"
+
+
+def watch(q: StreamingQuery, totals: Totals | None = None, report=print, poll_s: float = 1.0) -> Totals:
+    """Wait for the query and report its totals whenever a batch has ended."""
+    totals = totals or Totals()
+    while True:
+        ended = q.awaitTermination(poll_s)
+        if totals.update(q) and report is not None:
+            report(totals.report())
+        if ended:
+            if q.exception() is not None:
+                raise q.exception()
+            return totals
+
+
+def await_quiet(q: StreamingQuery, total_input_rows: int, timeout_s: float | None = None,
+                poll_s: float = 0.2) -> dict:
+    """Wait until a processing-time query has read ``total_input_rows`` rows
+    and its state is empty (every pane fired), then stop it between triggers.
+    Returns the last progress report.  Polls progress only; no data reaches
+    the driver.  Without ``timeout_s`` it waits as long as the query lives."""
+    totals = Totals()
+    deadline = time.time() + timeout_s if timeout_s else None
+    while deadline is None or time.time() < deadline:
         if q.exception() is not None:
             raise q.exception()
-        for p in q.recentProgress:
-            seen[p["batchId"]] = p.get("numInputRows", 0)
+        if not q.isActive:
+            raise RuntimeError(f"query {q.id} was stopped with input or state left")
+        totals.update(q)
         last = q.lastProgress
-        if last is not None and sum(seen.values()) >= total_input_rows:
+        if last is not None and totals.counts["input_rows"] >= total_input_rows:
             rep = progress_report(q)
             if last.get("numInputRows", 0) == 0 and rep["state_rows"] == 0:
-                q.stop()
+                stop_idle(q)
                 return rep
         time.sleep(poll_s)
-    q.stop()
+    stop_idle(q)
     raise TimeoutError(f"query {q.id} still had input or state after {timeout_s}s")
