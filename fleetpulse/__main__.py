@@ -1,10 +1,14 @@
 """Command-line jobs (the reference's live job, history rebuild and tail tool).
 
-    python -m fleetpulse live    --source DIR | --kafka HOSTS  --sink DIR --checkpoint DIR
-                                 [--mode final|running|panes] [--interval 600] [--trigger "1 minute"]
+    python -m fleetpulse live    --source DIR | --kafka HOSTS  --sink DIR | --sink-kafka HOSTS
+                                 --checkpoint DIR [--mode final|running|panes] [--interval 600]
+                                 [--trigger "1 minute"] [--topic rated=NAME ...]
     python -m fleetpulse history --lake ROOT [--out DIR] [--interval 600]
     python -m fleetpulse feed    --source DIR | --kafka HOSTS  --sink DIR --checkpoint DIR
 
+The live job reads the three input topics, the feed those and the output topic.
+On Kafka a topic's default name has dots for the slashes Kafka forbids.
+
 Under spark-submit the session comes from the submitter's settings; the
 shared folder for state defaults to ``spark.checkpoint.dir``.
 """
@@ -17,15 +21,30 @@ import sys
 from .config import StatsParams, build_session, run_dir
 
 
+def topic_names(a) -> dict:
+    """Topic of each kind: the defaults (dots for slashes on Kafka), then ``--topic``."""
+    names = dict(StatsParams().topics)
+    if getattr(a, "kafka", None) or getattr(a, "sink_kafka", None):
+        names = {k: v.replace("/", ".") for k, v in names.items()}
+    for pair in getattr(a, "topic", None) or []:
+        kind, eq, name = pair.partition("=")
+        if not eq or kind not in names or not name:
+            raise SystemExit(f"--topic takes KIND=NAME with KIND one of {', '.join(names)}: {pair}")
+        names[kind] = name
+    return names
+
+
 def _params(a) -> StatsParams:
-    return StatsParams(interval_seconds=a.interval, skew_seconds=a.skew, watermark_seconds=a.skew)
+    return StatsParams(interval_seconds=a.interval, skew_seconds=a.skew, watermark_seconds=a.skew,
+                       topics=topic_names(a))
 
 
-def _source(spark, a, params):
+def _source(spark, a, params, names):
     from .sources import topics
 
     if a.kafka:
-        return topics.read_kafka(spark, a.kafka, list(params.topics.values()), stream=True)
+        return topics.read_kafka(spark, a.kafka, names, stream=True,
+                                 max_offsets_per_trigger=a.max_offsets_per_trigger)
     return topics.read_topic_log(spark, a.source, stream=True,
                                  max_files_per_trigger=a.max_files_per_trigger)
 
@@ -36,14 +55,18 @@ def _trigger(a) -> dict:
 
 def cmd_live(spark, a) -> int:
     from .plans import live
+    from .sources import topics
     from .streaming import runner
 
     params = _params(a)
-    src = _source(spark, a, params)
+    src = _source(spark, a, params, list(topics.input_topics(params)))
     checkpoint = a.checkpoint or run_dir(spark, "live-checkpoint")
-    if a.mode == "final":       # J1: final rows, encoded, to the output topic log
+    if a.mode == "final":       # J1: final rows, encoded, to the output topic (log)
+        kafka = {"fmt": "kafka", "options": {"kafka.bootstrap.servers": a.sink_kafka}} if a.sink_kafka else {}
         q = runner.start_append(live.live_job(src, params), a.sink, checkpoint,
-                                trigger=_trigger(a), state_partitions=a.state_partitions)
+                                trigger=_trigger(a), state_partitions=a.state_partitions, **kafka)
+    elif a.sink_kafka:
+        raise SystemExit("--sink-kafka takes the encoded rows of --mode final")
     elif a.mode == "running":   # W6: running totals per micro-batch
         q = runner.start_update(live.live_stats(src, params), a.sink, checkpoint,
                                 trigger=_trigger(a), state_partitions=a.state_partitions)
@@ -51,7 +74,7 @@ def cmd_live(spark, a) -> int:
         q = runner.start_append(live.live_pane_deltas(src, params, a.pane_delay), a.sink,
                                 checkpoint, trigger={"processingTime": a.trigger},
                                 state_partitions=a.state_partitions)
-    q.awaitTermination()
+    runner.watch(q)             # O1-O3: totals after every batch
     return 0
 
 
@@ -60,7 +83,7 @@ def cmd_history(spark, a) -> int:
     from .sources import lake
 
     out = a.out or lake.lake_path(a.lake, "stats")
-    history.rebuild_stats(spark, a.lake, out, _params(a))
+    history.rebuild_stats(spark, a.lake, out, _params(a), mode="overwrite" if a.overwrite else "errorifexists")
     return 0
 
 
@@ -69,10 +92,10 @@ def cmd_feed(spark, a) -> int:
     from .streaming import runner
 
     params = _params(a)
-    src = _source(spark, a, params)
+    src = _source(spark, a, params, list(params.topics.values()))
     checkpoint = a.checkpoint or run_dir(spark, "feed-checkpoint")
     q = runner.start_append(feed.decoded_feed(src, params), a.sink, checkpoint, trigger=_trigger(a))
-    q.awaitTermination()
+    runner.watch(q)
     return 0
 
 
@@ -84,11 +107,17 @@ def parser() -> argparse.ArgumentParser:
         sp.add_argument("--interval", type=int, default=600, help="aggregation interval, seconds")
         sp.add_argument("--skew", type=int, default=20, help="allowed skew = watermark delay, seconds")
 
-    def streaming(sp):
+    def streaming(sp, kafka_sink=False):
         g = sp.add_mutually_exclusive_group(required=True)
         g.add_argument("--source", help="topic log folder (parquet value/topic/timestamp)")
         g.add_argument("--kafka", help="Kafka bootstrap servers (needs spark-sql-kafka)")
-        sp.add_argument("--sink", required=True)
+        out = sp.add_mutually_exclusive_group(required=True)
+        out.add_argument("--sink", help="folder of the results")
+        if kafka_sink:
+            out.add_argument("--sink-kafka", help="Kafka bootstrap servers; the output topic names the sink")
+        sp.add_argument("--topic", action="append", metavar="KIND=NAME",
+                        help="topic of a kind: rated, tipped, journey, stats")
+        sp.add_argument("--max-offsets-per-trigger", type=int)
         sp.add_argument("--checkpoint")
         sp.add_argument("--trigger", default="1 minute")
         sp.add_argument("--once", action="store_true", help="process what is there, then stop")
@@ -97,7 +126,7 @@ def parser() -> argparse.ArgumentParser:
 
     live_p = sub.add_parser("live", help="J1 live job")
     common(live_p)
-    streaming(live_p)
+    streaming(live_p, kafka_sink=True)
     live_p.add_argument("--mode", choices=["final", "running", "panes"], default="final")
     live_p.add_argument("--pane-delay", type=float, default=None,
                         help="panes: processing-time delay after a pane's first event (default: interval)")
@@ -106,6 +135,7 @@ def parser() -> argparse.ArgumentParser:
     common(hist_p)
     hist_p.add_argument("--lake", required=True)
     hist_p.add_argument("--out")
+    hist_p.add_argument("--overwrite", action="store_true", help="replace an earlier run's results")
 
     feed_p = sub.add_parser("feed", help="J4 decoded feed of the topics")
     common(feed_p)

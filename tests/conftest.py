@@ -27,7 +27,7 @@ def spark():
 
 
 def golden_frames(spark):
-    """The reference's unit-test input (three typed streams)."""
+    """The golden input of the specification (three typed streams)."""
     from fleetpulse import schemas as S
 
     rated = spark.createDataFrame([
@@ -48,6 +48,7 @@ def golden_frames(spark):
     return rated, tipped, journeys
 
 
+# The golden result rows.
 GOLDEN = sorted([
     ("driver-1", at(0), at(10), 2, 1, 3, 30, 6, 3.0),
     ("driver-2", at(0), at(10), 0, 0, 0, 0, 0, 5.0),

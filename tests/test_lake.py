@@ -64,7 +64,7 @@ def test_history_fails_on_a_record_without_instant(spark):
     d = lake.lake_path(root, "tipped")
     with open(os.path.join(d, "part-extra.json"), "w") as fh:
         fh.write('{"driverId":"d","riderId":"r","journeyId":"j","amount":3}\n')
-    with pytest.raises(Exception, match="without its instant"):
+    with pytest.raises(Exception, match="not complete and well-typed"):
         history.rebuild_stats(spark, root, None, StatsParams(interval_seconds=10)).collect()
 
 
@@ -75,3 +75,56 @@ def test_history_command_line(spark):
     assert main(["history", "--lake", root, "--interval", "10"]) == 0
     out = lake.read_lake(spark, lake.lake_path(root, "stats"), "stats")
     assert utc_rows(out) == GOLDEN
+
+
+RECORDS = {
+    "rated": {"driverId": "d", "riderId": "r", "journeyId": "j", "rating": 3,
+              "ratedAt": "2020-01-01T00:00:05.000Z"},
+    "tipped": {"driverId": "d", "riderId": "r", "journeyId": "j", "amount": 3,
+               "tippedAt": "2020-01-01T00:00:05.000Z"},
+    "journey": {"driverId": "d", "riderId": "r", "journeyId": "j", "finishReason": "DROP_OFF",
+                "startedAt": "2020-01-01T00:00:00.000Z", "endedAt": "2020-01-01T00:00:05.000Z",
+                "distance": 1, "price": 2},
+}
+
+
+def _lake_file(spark, kind, *records):
+    d = lake.lake_path(run_dir(spark, "test-lake-one"), kind)
+    os.makedirs(d)
+    with open(os.path.join(d, "part-0.json"), "w") as fh:
+        fh.writelines(json.dumps(r) + "\n" for r in records)
+    return d
+
+
+@pytest.mark.parametrize("kind,name", [(k, n) for k, r in RECORDS.items() for n in r])
+def test_every_field_is_required_and_typed(spark, kind, name):
+    """One column is enough to read: a missing or wrong other field fails the job."""
+    record = RECORDS[kind]
+    wrong = {"x": 1} if isinstance(record[name], str) else "three"
+    for bad in ({k: v for k, v in record.items() if k != name}, {**record, name: None}, {**record, name: wrong}):
+        d = _lake_file(spark, kind, record, bad)
+        with pytest.raises(Exception):
+            lake.read_lake(spark, d, kind).select("journey_id").collect()
+
+
+def test_instants_with_any_number_of_fraction_digits(spark):
+    digits = ["", ".1", ".123", ".123456", ".123456789"]
+    d = _lake_file(spark, "rated", *[
+        {**RECORDS["rated"], "ratedAt": f"2020-01-01T00:00:05{x}Z", "rating": i} for i, x in enumerate(digits)])
+    got = {r.rating: r.rated_at.microsecond for r in lake.read_lake(spark, d, "rated").collect()}
+    assert got == {0: 0, 1: 100_000, 2: 123_000, 3: 123_000, 4: 123_000}
+
+
+def test_an_instant_without_zone_or_time_fails(spark):
+    for text in ("2020-01-01", "2020-01-01T00:00:05", "2020-01-01T25:00:05Z", ""):
+        d = _lake_file(spark, "rated", {**RECORDS["rated"], "ratedAt": text})
+        with pytest.raises(Exception):
+            lake.read_lake(spark, d, "rated").collect()
+
+
+def test_history_rerun_with_overwrite(spark):
+    root = _write_golden_lake(spark)
+    for mode in ("errorifexists", "overwrite"):
+        out = history.rebuild_stats(spark, root, lake.lake_path(root, "stats"),
+                                    StatsParams(interval_seconds=10), mode)
+    assert utc_rows(out) == GOLDEN

@@ -41,6 +41,10 @@ def test_live_job_gives_golden_rows_once_input_ends(spark):
     assert utc_rows(out) == GOLDEN
     # O2/O3: the last (no-data) batch closed all three windows past the watermark
     rep = runner.progress_report(q)
+    totals = runner.Totals()
+    totals.update(q)
+    assert totals.counts["closed_windows"] == 3 and totals.counts["late_rows"] == 0
+    assert totals.counts["payloads"] == 10 and totals.counts["malformed"] == 0
     assert rep["closed_windows"] == 3 and rep["state_rows"] >= 1   # the marker's window stays open
     assert rep["watermark"].startswith("8999-12-31T23:59:40")
 
@@ -220,3 +224,114 @@ def test_backfill_by_slice_restarts_per_slice(spark):
     assert runs == 3
     got = topics.decode_stats(topics.read_topic_log(spark, out), P10S).drop("source_ts")
     assert utc_rows(got) == GOLDEN
+
+
+def test_closing_pane_does_not_wait_for_its_delay(spark):
+    """A pane pending when the watermark passes its window fires then: the delay
+    is ten minutes, the test ends in seconds."""
+    base = run_dir(spark, "test-closing")
+    log, out = f"{base}/log", f"{base}/deltas"
+    rows = _rated(spark, [("d1", "r", "j", 4, at(5), at(5)), ("d1", "r", "j", 5, at(100), at(100))])
+    topics.write_topic_log(_encoded(spark, {"rated": rows}).coalesce(1), log)
+    src = topics.read_topic_log(spark, log, stream=True)
+    q = runner.start_append(live.live_pane_deltas(src, P10S, delay_seconds=600, poll_seconds=0.5), out,
+                            f"{base}/ckpt", trigger={"processingTime": "1 second"}, state_partitions=2)
+    deadline, got = time.time() + 90, []
+    while not got and time.time() < deadline:
+        time.sleep(0.5)
+        try:
+            got = spark.read.parquet(out).collect()
+        except Exception:  # noqa: BLE001 - sink not written yet
+            pass
+    runner.stop_idle(q)
+    # [0, 10) closed at watermark 80 s; [100, 110) is still open and pending
+    assert [(r.number_of_ratings, r.total_rating) for r in got] == [(1, 4)]
+
+
+def test_instants_out_of_range_do_not_stop_the_stream(spark):
+    """Payloads that parse but whose instants lie outside the Timestamp range are
+    malformed; the good rows beside them are counted."""
+    from fleetpulse.functions.codec import message_classes
+
+    base = run_dir(spark, "test-range")
+    bad = []
+    for seconds, nanos in [(10**13, 0), (10**15, 0), (10**18, 0), (-10**18, 0), (253402300800, 0),
+                           (0, -1), (0, 10**9)]:
+        m = message_classes()["DriverRated"](driver_id="d", rider_id="r", journey_id="j", rating=1)
+        m.rated_at.seconds, m.rated_at.nanos = seconds, nanos
+        bad.append((m.SerializeToString(), "input/driver_rated", at(0)))
+    good = _encoded(spark, {"rated": _rated(spark, [("d", "r", "j", 3, at(0), at(0))])})
+    topics.write_topic_log(good.unionByName(spark.createDataFrame(bad, S.RAW_TOPIC)).coalesce(1), f"{base}/log")
+    src = topics.read_topic_log(spark, f"{base}/log", stream=True)
+    q = runner.start_update(live.live_stats(src, P10S), f"{base}/upd", f"{base}/ckpt", state_partitions=2)
+    runner.await_done(q)
+    totals = runner.Totals()
+    totals.update(q)
+    assert totals.counts["payloads"] == len(bad) + 1 and totals.counts["malformed"] == len(bad)
+    assert [r.avg_rating for r in spark.read.parquet(f"{base}/upd").collect()] == [3.0]
+
+
+def test_a_repeated_update_batch_overwrites_its_folder(spark):
+    base = run_dir(spark, "test-update-again")
+    r, _, _ = _arrive_at_event_time(*golden_frames(spark))
+    topics.write_topic_log(_encoded(spark, {"rated": r}).coalesce(1), f"{base}/log")
+    for ckpt in ("a", "b"):      # two checkpoints: batch 0 is written twice to one sink
+        src = topics.read_topic_log(spark, f"{base}/log", stream=True)
+        runner.await_done(runner.start_update(live.live_stats(src, P10S), f"{base}/upd", f"{base}/{ckpt}",
+                                              state_partitions=2))
+    upd = spark.read.parquet(f"{base}/upd")
+    assert upd.filter("batch_id = 0").count() == 2
+
+
+def test_backfill_refuses_a_log_that_has_ended(spark):
+    import pytest
+
+    base = run_dir(spark, "test-ended")
+    topics.write_topic_log(runner.end_of_input(spark, P10S), f"{base}/log")
+    raw = topics.read_topic_log(spark, f"{base}/log")
+    with pytest.raises(ValueError, match="end-of-input"):
+        runner.backfill_by_slice(raw, f"{base}/log", f"{base}/staging", 5, lambda: None)
+
+
+def test_kafka_arguments():
+    from fleetpulse.__main__ import _params, parser
+    from fleetpulse.sources.topics import input_topics
+
+    a = parser().parse_args(["live", "--kafka", "h:1", "--sink-kafka", "h:2", "--topic", "rated=my.rated"])
+    p = _params(a)
+    assert list(input_topics(p)) == ["my.rated", "input.driver_tipped", "input.journey_finished"]
+    assert p.topics["stats"] == "output.driver_stats" and a.sink_kafka == "h:2" and a.sink is None
+    b = parser().parse_args(["feed", "--source", "/x", "--sink", "/y"])
+    assert _params(b).topics["rated"] == "input/driver_rated"
+
+
+def test_kafka_reader_and_live_subscription(monkeypatch):
+    """The options handed to the reader; no broker is started."""
+    from types import SimpleNamespace
+
+    from fleetpulse import __main__ as M
+
+    seen = {}
+
+    class Reader:
+        def format(self, f):
+            seen["format"] = f
+            return self
+
+        def option(self, k, v):
+            seen[k] = v
+            return self
+
+        def load(self):
+            return self
+
+        def select(self, *cols):
+            seen["columns"] = cols
+            return self
+
+    a = M.parser().parse_args(["live", "--kafka", "h:1", "--sink", "/o", "--max-offsets-per-trigger", "7"])
+    p = M._params(a)
+    M._source(SimpleNamespace(readStream=Reader()), a, p, list(topics.input_topics(p)))
+    assert seen["format"] == "kafka" and seen["kafka.bootstrap.servers"] == "h:1"
+    assert seen["subscribe"] == "input.driver_rated,input.driver_tipped,input.journey_finished"
+    assert seen["maxOffsetsPerTrigger"] == 7 and seen["columns"] == ("value", "topic", "timestamp")

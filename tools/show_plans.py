@@ -3,7 +3,7 @@
     python tools/show_plans.py [sf_dir]
 
 Batch and history plans come from ``explain()``; the live and pane plans
-from a short streaming run over a small encoded slice of the fixture.
+from a short streaming run over the whole encoded fixture of the smallest table.
 """
 
 from __future__ import annotations
@@ -35,14 +35,14 @@ def main(argv) -> int:
 
     base = run_dir(spark, "plans")
     log = f"{base}/log"
-    # A small slice of the encoded fixture is enough to show the stream plans.
-    topics.write_topic_log(Q.encoded_fixture(spark, sf).drop("event_id").limit(1000), log)
+    small = os.path.join(os.path.dirname(sf.rstrip("/")), "sf0.001")
+    topics.write_topic_log(Q.encoded_fixture(spark, small).drop("event_id"), log)
 
     print("## J1 live job (append)")
     src = topics.read_topic_log(spark, log, stream=True)
     q = runner.start_append(live.live_job(src, Q.P10M), f"{base}/out", f"{base}/ck",
                             state_partitions=8)
-    runner.await_done(q, 300)
+    runner.await_done(q)
     q.explain()
 
     print("## W5 pane deltas")
@@ -54,7 +54,7 @@ def main(argv) -> int:
     while q2.lastProgress is None and time.time() < deadline:
         time.sleep(0.5)
     q2.explain()
-    q2.stop()
+    runner.stop_idle(q2)
     spark.stop()
     return 0
 
