@@ -321,8 +321,8 @@ def _fingerprints(docs: DataFrame, buckets: int, size: int) -> DataFrame:
                 entry = (a >> np.uint64(20) << np.uint64(4)) | np.minimum(np.log2(n), 15).astype(np.uint64)
                 six = entry[:, None].view(np.uint8)[:, :6]
                 _pack(rows, (a % np.uint64(buckets)).astype(np.int64), [six], t["chunk"][0].as_py())
-            out = _table(rows, fields)
-            yield out.combine_chunks().to_batches()[0].columns if out.num_rows else out.columns
+            if rows:
+                yield _table(rows, fields).combine_chunks().to_batches()[0].columns
 
     return map_arrow(docs, ["chunk", "doc_id", "text", "copied"], fields, run)
 

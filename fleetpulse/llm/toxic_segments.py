@@ -326,7 +326,9 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, id_col
     # K: as many clean texts have a segment as the law expects of the segments seen.
     best = [(max(r["segments"]), r["n"]) for r in clean if r["segments"]]
     expected = sum(n * math.exp(-model.lam * s) for s, n in best)
-    model.k = min(1.0, max(1e-4, len(best) / expected)) if expected > 0 else 1.0
+    # Where no clean text has one: half a text, at the mean positive weight.
+    seen, expected = (len(best), expected) if best else (0.5, total * math.exp(-model.lam * (hits[-1] - DRIFT)))
+    model.k = min(1.0, max(1e-4, seen / expected))
     x = np.array([math.log1p(model.evidence([(0, 0, s) for s in r["segments"]], r["n"])) for r in got])
     y = np.array([r["toxic"] for r in got], dtype=float)
     model.bias, model.slope = _logistic(x, y)

@@ -143,6 +143,9 @@ def _parse(data, at: int) -> tuple[dict, bytes, int]:
 
 def _record(head: dict, block: bytes) -> dict:
     """A checked record; raises when its digests or its HTTP header do not hold."""
+    for name in ("warc-type", "warc-record-id", "warc-date"):
+        if name not in head:
+            raise ValueError(f"no {name} header")
     kind, want = head.get("warc-type"), head.get("warc-payload-digest", "").removeprefix("sha1:")
     if (whole := head.get("warc-block-digest", "").removeprefix("sha1:")) and whole != base32(hashlib.sha1(block).digest()):
         raise ValueError("block digest differs")
