@@ -114,7 +114,8 @@ def _combine_batches(batches, max_keys: int = COMBINE_KEYS):
     for b in batches:
         if b.num_rows == 0:
             continue
-        t = pa.Table.from_batches([b]).select(names)
+        # Plain arrays: a batch's fields may be declared not null, the sums are not.
+        t = pa.Table.from_arrays([b.column(n) for n in names], names=names)
         held = combined([t] if held is None else [held, t])
         if held.num_rows >= max_keys:
             yield from held.to_batches()

@@ -205,6 +205,11 @@ def test_pane_input_is_combined_per_key_before_the_shuffle():
         **{c: [1] * (n + 1) for c in panes.TOTALS}})
     out = pa.Table.from_batches(list(panes._combine_batches([batch]))).to_pylist()
     assert sorted((r["driver_id"], r["total_rating"]) for r in out) == [("cold", 1), ("hot", n)]
+    # ... and over the batches of a task, whose fields Spark declares not null
+    strict = batch.cast(pa.schema([f.with_nullable(f.name not in panes.TOTALS) for f in batch.schema]))
+    out = pa.Table.from_batches(list(panes._combine_batches([strict, batch, strict]))).to_pylist()
+    assert sorted((r["driver_id"], r["total_rating"]) for r in out) == [("cold", 3), ("hot", 3 * n)]
+    assert len(list(panes._combine_batches([strict, strict], max_keys=1))) == 2
 
 
 def test_backfill_by_slice_restarts_per_slice(spark):
