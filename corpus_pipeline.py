@@ -36,11 +36,17 @@ def cut_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each class; rows without an id stay."""
+    """The document with the least doc_id of each class.
+
+    Rows without an id stay; equal rows are one document and stay or go
+    together; of different texts under one doc_id each is judged on its own.
+    """
     table(spark, sf_dir, "documents")
-    classes = lsh_forest.near_duplicates(docs.select("doc_id", "text"))
-    gone = classes.where("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    classes = lsh_forest.keyed(docs.select("doc_id", "text"))
+    gone = classes.where("doc_id <> class_id").select(
+        F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    same = (docs["doc_id"] == gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_key"])
+    return docs.join(gone, same, "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,8 @@ of them; a bucket with the same members as another is verified once.
 Defined cases: null, empty and blank texts have no shingle: a class of their
 own each, no links; a text of 1 to ``WIDTH`` - 1 words has one shingle, all of
 its words; copies are members of one class and count as links of each
-other; rows that repeat a doc_id count each; a null doc_id takes part with
+other; rows that repeat a doc_id count each, and different texts under the
+least doc_id of two classes make these one class; a null doc_id takes part with
 its text, but names no class.  Only the two named columns are read.
 """
 
@@ -191,6 +192,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     recall: float = RECALL, width: int = WIDTH) -> DataFrame:
     """doc_id, class_id (least doc_id linked to it by a chain of links), n_links
     (other rows with similarity >= threshold), copies (rows with the same shingle set)."""
+    return keyed(df, id_col, text_col, threshold, recall, width).drop("text_key")
+
+
+def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+          recall: float = RECALL, width: int = WIDTH) -> DataFrame:
+    """``near_duplicates`` plus ``text_key`` (``xxhash64`` of the text), which tells
+    rows apart that have one doc_id but different texts."""
     spark = df.sparkSession
     scratch = Scratch(spark, "lsh-forest")
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -236,9 +244,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
               .select("d1", "d2", F.coalesce("root", "rep").alias("class_id"),
                       (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                       F.col("weight").alias("copies")))
-    out = some.select("doc_id", "d1", "d2").join(groups, ["d1", "d2"]).select("doc_id", "class_id", "n_links", "copies")
-    alone = signed.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
-                                         F.lit(1).cast("long").alias("copies"))
+    out = some.select("doc_id", F.col("tkey").alias("text_key"), "d1", "d2").join(groups, ["d1", "d2"]).drop("d1", "d2")
+    alone = signed.where("n = 0").select(
+        "doc_id", F.col("tkey").alias("text_key"), F.col("doc_id").alias("class_id"),
+        F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("copies"))
     result = scratch.write(out.unionByName(alone), "result")
     for name in ("signed", "forest", "texts"):
         scratch.drop(name)

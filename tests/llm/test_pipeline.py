@@ -48,3 +48,12 @@ def test_odd_rows_and_empty_documents(spark):
             assert frame.columns == rows.columns
         assert frame.count() == n   # the copy with doc_id 3 goes
         assert P.mix_sources(spark, frame, SF001).count() <= n
+
+
+def test_a_different_text_under_a_repeated_id_stays(spark):
+    docs = table(spark, SF001, "documents")
+    one, other = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = spark.createDataFrame([(4, one, "en", "s", 1), (5, one, "en", "s", 1), (5, other, "en", "s", 1),
+                                  (None, one, "en", "s", 1)], docs.schema)
+    left = P.drop_near_duplicates(spark, rows, SF001).collect()
+    assert {(r.doc_id, r.text) for r in left} == {(4, one), (5, other), (None, one)}
