@@ -257,6 +257,22 @@ def test_op6_edges(odd, none, spark):
     assert line_crf.quality(none, None).collect() == []
 
 
+def test_op6_long_texts_train_in_bounded_pieces():
+    rows = lambda n: np.arange(n, dtype=np.float32)[:, None]
+    assert line_crf.pieces(rows(0)) == []
+    for n in (1, 256, 257, 2048):
+        got = line_crf.pieces(rows(n))
+        assert np.concatenate(got)[:, 0].tolist() == list(range(n)) and max(map(len, got)) <= 256
+    got = line_crf.pieces(rows(100_000))
+    assert [len(p) for p in got] == [256] * 8 and got[0][0, 0] == 0 and got[-1][-1, 0] == 99_999
+    # A document cut into pieces weighs as much as a whole one.
+    rng = np.random.default_rng(3)
+    good, bad = (rng.normal(m, 1, (300, line_crf.N_FEATURES)) for m in (1, -1))
+    one = line_crf.train([good, bad], [1, 0], steps=60)
+    cut = line_crf.train([*np.array_split(good, 3), bad], [1, 1, 1, 0], steps=60, sizes=[300] * 4)
+    assert np.allclose(one[0], cut[0], atol=0.05)
+
+
 def test_viterbi_is_the_best_path():
     from itertools import product
 
