@@ -3,11 +3,12 @@
 Words are lower-cased runs of letters, digits and non-ASCII characters.  A
 mask names the positions of a window that count; the others may differ.  Each
 benchmark item and each document is hashed under every mask at every word,
-equal hashes are joined, and each hit is verified: along its diagonal the
-best overlap is the highest-scoring run of aligned words (equal +1, different
--``PENALTY``).  A document is contaminated by an item when that run has at
-least ``min_overlap`` words (or the whole item, if shorter, down to
-``MIN_ITEM`` words) and ``min_identity`` of them are equal.
+equal hashes are joined, and each hit is verified: along its diagonal an
+overlap is any run of aligned words that starts and ends on an equal word, has
+at least ``min_overlap`` words and ``min_identity`` of them equal, or the whole
+item (of ``MIN_ITEM`` words or more) with that share equal.  A document is
+contaminated by an item that has an overlap with it; of overlaps within one
+another the longest is reported.
 
 Seeds of the benchmark are broadcast only while their counted number is at
 most ``max_broadcast_seeds`` (24 bytes each); beyond it both sides meet in a
@@ -37,7 +38,6 @@ SPAN = len(MASKS[0])
 MIN_ITEM = 5
 MIN_OVERLAP = 13
 MIN_IDENTITY = 0.8
-PENALTY = 2
 MAX_BROADCAST_SEEDS = 2_000_000
 
 #: Letters, digits and all non-ASCII bytes make words.
@@ -57,30 +57,29 @@ def seeds(h: np.ndarray, counts: np.ndarray, short: tuple[int, ...]):
         yield got ^ textops.BYTE_VALUE[100 + n], at
 
 
-def best_run(same: np.ndarray, penalty: int = PENALTY) -> tuple[int, int, int]:
-    """Highest-scoring run of a 0/1 match vector: first, end, matches."""
-    best, total, start, low, first, end = 0, 0, 0, 0, 0, 0
-    for i, x in enumerate(same.tolist()):
-        total += 1 if x else -penalty
-        if total <= low:
-            low, start = total, i + 1
-        elif total - low > best:
-            best, first, end = total - low, start, i + 1
-    return first, end, int(same[first:end].sum())
+def runs(same: np.ndarray, least: int, min_identity: float) -> list[tuple[int, int]]:
+    """First, end of the runs of a 0/1 match vector that start and end on a match, have
+    ``least`` places and ``min_identity`` of them equal, and lie in no other such run."""
+    first = np.flatnonzero(same)
+    end = first + 1
+    score = np.r_[0, np.cumsum(same)] - min_identity * np.arange(len(same) + 1)
+    tail = np.maximum.accumulate(score[end][::-1])  # of the last end, the last two, ...
+    last = end[len(end) - 1 - np.searchsorted(tail, score[first] - 1e-6, "left")]
+    first, last = first[last - first >= least], last[last - first >= least]
+    new = np.flatnonzero(np.diff(np.maximum.accumulate(last), prepend=-1) > 0)
+    return list(zip(first[new].tolist(), last[new].tolist(), strict=True))
 
 
 def verify(doc: np.ndarray, item: np.ndarray, diagonal: int, min_overlap: int,
-           min_identity: float) -> tuple[int, int] | None:
-    """(first document word, words) of the overlap on a diagonal, if it is one."""
+           min_identity: float) -> list[tuple[int, int]]:
+    """(first document word, words) of the overlaps on a diagonal."""
     lo, hi = max(0, diagonal), min(len(doc), diagonal + len(item))
     if hi <= lo:
-        return None
+        return []
     same = doc[lo:hi] == item[lo - diagonal:hi - diagonal]
-    first, end, equal = best_run(same)
-    n = end - first
-    if n < min(min_overlap, len(item)) or equal < min_identity * n:
-        return None
-    return lo + first, n
+    if len(same) == len(item) and same.sum() >= min_identity * len(item) - 1e-6:
+        return [(lo, len(item))]
+    return [(lo + first, end - first) for first, end in runs(same, min(min_overlap, len(item)), min_identity)]
 
 
 def item_words(texts: list) -> list[np.ndarray]:
@@ -133,11 +132,11 @@ class Index:
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
 
-def _fold(n: int, found: list[tuple[int, object, int, int, int]]) -> list:
-    """Per-text columns from (text, item id, first, words, diagonal) overlaps."""
+def _fold(n: int, found: list[tuple[int, object, int, int]]) -> list:
+    """Per-text columns from (text, item id, first, words) overlaps."""
     best: list = [{} for _ in range(n)]
     spans: list = [[] for _ in range(n)]
-    for text, item, first, words, _ in found:
+    for text, item, first, words in found:
         best[text][item] = max(words, best[text].get(item, 0))
         spans[text].append((first, first + words))
     top, size, covered = [], [], []
@@ -182,10 +181,9 @@ def mark(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col:
             h = textops.word_hashes(data, s, e)
             edges = np.r_[0, np.cumsum(counts)]
             for text, k, diagonal in ix.hits(h, counts).tolist():
-                got = verify(h[edges[text]:edges[text + 1]], ix.words[k], diagonal,
-                             min_overlap, min_identity)
-                if got:
-                    found.append((i + text, ix.ids[k], *got, diagonal))
+                for first, n in verify(h[edges[text]:edges[text + 1]], ix.words[k], diagonal,
+                                       min_overlap, min_identity):
+                    found.append((i + text, ix.ids[k], first, n))
         return _fold(len(texts), found)
 
     return append_arrow(df, text_col, FIELDS, fn)
@@ -220,10 +218,10 @@ def _mark_shuffled(df: DataFrame, items: DataFrame, text_col: str, min_overlap:
     def check(batches):
         for b in batches:
             docs, its = item_words(b.column(2).to_pylist()), item_words(b.column(4).to_pylist())
-            got = [verify(d, w, g, min_overlap, min_identity) if len(w) >= MIN_ITEM else None
-                   for d, w, g in zip(docs, its, b.column(5).to_pylist(), strict=True)]
-            yield [b.column(0), b.column(1), b.column(3),
-                   pa.array([g and g[0] for g in got], pa.int64()), pa.array([g and g[1] for g in got], pa.int64())]
+            got = [(i, *run) for i, (d, w, g) in enumerate(zip(docs, its, b.column(5).to_pylist(), strict=True))
+                   if len(w) >= MIN_ITEM for run in verify(d, w, g, min_overlap, min_identity)]
+            at, first, n = (pa.array([g[k] for g in got], pa.int64()) for k in range(3))
+            yield [*[b.column(k).take(at) for k in (0, 1, 3)], first, n]
 
     left = map_arrow(texts, ["k1", "k2", "text"], [field("k1", LONG), field("k2", LONG), field("seed", LONG),
                                                    field("p", LONG)], emit)
@@ -234,7 +232,7 @@ def _mark_shuffled(df: DataFrame, items: DataFrame, text_col: str, min_overlap:
     full = (pairs.join(one, ["k1", "k2"]).join(items.withColumnRenamed("text", "item_text"), "item")
             .select("k1", "k2", "text", "item", "item_text", "diagonal"))
     over = map_arrow(full, full.columns, [field("k1", LONG), field("k2", LONG), field("item", LONG),
-                                          field("first", LONG), field("words", LONG)], check).where("words IS NOT NULL")
+                                          field("first", LONG), field("words", LONG)], check)
     # Overlaps of one text: at most its words times the benchmark, gathered per text.
     folded = over.groupBy("k1", "k2").agg(F.collect_list(F.struct("item", "first", "words")).alias("o"))
     fields = [field("k1", LONG), field("k2", LONG), *FIELDS]
@@ -242,7 +240,7 @@ def _mark_shuffled(df: DataFrame, items: DataFrame, text_col: str, min_overlap:
     def fold(batches):
         for b in batches:
             rows = b.column(2).to_pylist()
-            found = [(i, x["item"], x["first"], x["words"], 0) for i, o in enumerate(rows) for x in o]
+            found = [(i, x["item"], x["first"], x["words"]) for i, o in enumerate(rows) for x in o]
             yield [b.column(0), b.column(1), *_fold(len(rows), found)]
 
     marks = map_arrow(folded, folded.columns, fields, fold)

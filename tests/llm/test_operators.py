@@ -337,6 +337,29 @@ def test_op8_finds_every_planted_passage(spark):
     assert want and want <= got
 
 
+def test_op8_runs_equal_brute_force():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        same = rng.random(int(rng.integers(1, 70))) < rng.choice([0.3, 0.7, 0.8, 0.9])
+        n = len(same)
+        good = [(i, j) for i in range(n) for j in range(i + 13, n + 1)
+                if same[i] and same[j - 1] and 5 * int(same[i:j].sum()) >= 4 * (j - i)]
+        want = [(i, j) for i, j in good if not any(a <= i and j <= b and (a, b) != (i, j) for a, b in good)]
+        assert spaced_seeds.runs(same, 13, 0.8) == want
+
+
+@pytest.mark.parametrize("limit", [spaced_seeds.MAX_BROADCAST_SEEDS, 0])
+def test_op8_weak_words_beside_a_run_do_not_undo_it(spark, limit):
+    long, short = [f"item{i}" for i in range(63)], [f"short{i}" for i in range(15)]
+    weak = [w if i < 13 or i % 10 in (0, 1, 2, 4, 5, 7, 8) else f"x{i}" for i, w in enumerate(long)]
+    items = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(short))], "item_id long, text string")
+    rows = [(1, " ".join(weak))] + [(10 + k, " ".join(["so", *short[:k], "x", *short[k + 1:], "end"])) for k in (2, 12)]
+    df = spark.createDataFrame([*rows, (2, " ".join(long[:12] + ["x"] * 20))], "doc_id long, text string")
+    got = {r.doc_id: r for r in spaced_seeds.mark(df, items, max_broadcast_seeds=limit).collect()}
+    assert got[1].items == [1] and 13 <= got[1].best_overlap < 63 and not got[2].contaminated
+    assert all(got[10 + k].items == [2] and got[10 + k].best_overlap == 15 for k in (2, 12))
+
+
 def test_op8_empty_tables(spark, odd, none):
     items = spark.createDataFrame(BENCH, "item_id long, text string")
     assert spaced_seeds.mark(none, items).collect() == []
