@@ -3,9 +3,12 @@
 Sources get word targets from weights.  A target holds some whole epochs of
 its source, and a remaining budget smaller than the source.  For that budget
 the documents of a source are counted by exact length; a share of every
-length is taken outright, a seeded pass brings the rest below
-``WINDOW`` words, and a bounded-knapsack dynamic program over the remaining
-counts finds the selection whose sum is the budget, or the nearest below.
+length is taken outright and a seeded pass adds one more of each, again and
+again over the documents that still fit, until the rest is at most ``WINDOW``
+words; a bounded-knapsack dynamic program over the remaining counts then finds
+the selection whose sum is the rest, or the nearest below.  Where more than
+``WINDOW`` words are missing and only longer documents remain, one of them
+replaces shorter ones.
 The documents of each length are then chosen by a seeded hash of their id.
 
 Nothing is gathered per document: the program sees one row per length, and
@@ -71,15 +74,37 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int = S
     take = np.array([int(c) * budget // total for c in counts.tolist()], np.int64)
     left = budget - int((sizes * take).sum())
     order = np.random.default_rng(seed).permutation(len(sizes))
-    for i in order.tolist():  # one more of each length, in seeded order, while it fits
-        if left <= WINDOW:
+    while left > WINDOW:
+        before = left
+        for i in order.tolist():  # one more of each length, in seeded order, while it fits
+            if left <= WINDOW:
+                break
+            if take[i] < counts[i] and sizes[i] <= left:
+                take[i] += 1
+                left -= int(sizes[i])
+        if left == before:
             break
-        if take[i] < counts[i] and sizes[i] <= left:
-            take[i] += 1
-            left -= int(sizes[i])
+        # Lengths that did not fit are out: a share again of those that do.
+        free = np.where(sizes <= left, counts - take, 0)
+        total = max(left, int((sizes * free).sum()))
+        if total:
+            more = np.array([int(c) * left // total for c in free.tolist()], np.int64)
+            take += more
+            left -= int((sizes * more).sum())
     rest = [i for i in order.tolist() if take[i] < counts[i] and sizes[i] <= left]
     more = subset([int(sizes[i]) for i in rest], [int(counts[i] - take[i]) for i in rest], min(left, WINDOW))
     take[rest] += np.array(more, np.int64)
+    left = budget - int((sizes * take).sum())
+    longer = sizes[(take < counts) & (sizes > left)]
+    if left > WINDOW and len(longer):  # one longer document for shorter ones given back
+        size = longer.min()
+        short = sizes < size
+        held = int((sizes * take)[short].sum())
+        if held >= size - left:
+            swap = take + (sizes == size)
+            swap[short] = fit_budget(sizes[short], take[short], held - int(size - left), seed)
+            if (sizes * swap).sum() > (sizes * take).sum():
+                take = swap
     return take
 
 

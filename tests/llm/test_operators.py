@@ -216,6 +216,18 @@ def test_subset_and_budget():
         assert (full <= counts).all() and (full * sizes).sum() <= budget
 
 
+def test_budget_is_met_beside_documents_longer_than_the_window():
+    for sizes, counts, budget in (([300, 3_000_000], [10_000, 1], 3_000_000),
+                                  ([300, 70_000], [10_000, 1], 1_500_000),
+                                  ([*range(200, 400), 400_000], [50] * 200 + [5], 2_500_000),
+                                  ([*range(200, 400), 400_000], [50] * 200 + [5], 4_900_000),
+                                  ([100, 90_000, 1_000_000], [30_000, 20, 3], 5_700_000)):
+        take = budget_mix.fit_budget(np.array(sizes), np.array(counts), budget)
+        assert (take >= 0).all() and (take <= counts).all() and (take * sizes).sum() == budget
+    take = budget_mix.fit_budget(np.array([7, 400_000]), np.array([100, 3]), 300_000)
+    assert take.tolist() == [100, 0]
+
+
 def test_op5_edges_and_hot_length(spark, odd, none):
     got = budget_mix.mix(odd).collect()
     assert ids(got) == ALL and all(r.taken <= 2 * r.size for r in got)
