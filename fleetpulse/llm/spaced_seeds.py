@@ -31,10 +31,11 @@ from pyspark.sql import types as T
 from . import textops
 from .common import BOOL, INT, LONG, append_arrow, field, map_arrow
 
-#: Masks over eleven words, eight of which count: a window with substitutions
-#: is still found when they fall on positions that one of the masks ignores.
-MASKS = ("11101100111", "11011101011", "11110011101")
-SPAN = len(MASKS[0])
+#: Masks in which six words count.  Every run of 13 words or more that starts
+#: and ends on an equal word and has 80 % of them equal shows at least one of
+#: them, wherever its substitutions stand (tests/llm walks all such runs).
+MASKS = ("111111", "1011000111", "10110111", "11100010011")
+SPAN = max(map(len, MASKS))
 MIN_ITEM = 5
 MIN_OVERLAP = 13
 MIN_IDENTITY = 0.8
@@ -50,7 +51,7 @@ def seeds(h: np.ndarray, counts: np.ndarray, short: tuple[int, ...]):
     """(hash, first word) of every window under every mask, and of whole runs
     of the ``short`` lengths; the mask's number is part of the hash."""
     for i, cares in enumerate(_CARES):
-        got, at, _ = textops.window_hashes(h, counts, SPAN, cares)
+        got, at, _ = textops.window_hashes(h, counts, len(MASKS[i]), cares)
         yield got ^ textops.BYTE_VALUE[i], at
     for n in short:
         got, at, _ = textops.window_hashes(h, counts, n)

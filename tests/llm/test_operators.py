@@ -1,6 +1,7 @@
 """The ten operators against brute force, on edge cases and on empty tables."""
 
 import hashlib
+import itertools
 import os
 import re
 
@@ -372,6 +373,27 @@ def test_op8_weak_words_beside_a_run_do_not_undo_it(spark, limit):
     assert all(got[10 + k].items == [2] and got[10 + k].best_overlap == 15 for k in (2, 12))
 
 
+def test_op8_masks_miss_no_overlap_of_any_length():
+    """The best score (equal +1, changed -4: 80 % equal is 0) of the runs without a mask, by their last words."""
+    masks, n = [int(m, 2) for m in spaced_seeds.MASKS], 1 << (spaced_seeds.SPAN - 1)
+    window = (np.arange(n) << 1)[:, None] | np.array([1, 0])  # an equal word, a changed one
+    free = ~np.any([(window & m) == m for m in masks], axis=0)
+    score = np.full(n, -np.inf)
+    score[1] = 1  # a run starts on an equal word; before it nothing is known to be equal
+    for length in range(2, 2 * n):
+        new = np.full(n, -np.inf)
+        for k, gain in enumerate((1, -4)):
+            np.maximum.at(new, window[free[:, k], k] & (n - 1), score[free[:, k]] + gain)
+        score = new
+        assert length < 13 or score[1::2].max() < 0
+    # Whole items whose first or last words are changed.
+    for length in (13, 14, 15):
+        for gone in itertools.combinations(range(length), length // 5):
+            same = "".join("0" if i in gone else "1" for i in range(length))
+            assert any(int(same[i:i + len(m)], 2) & int(m, 2) == int(m, 2)
+                       for m in spaced_seeds.MASKS for i in range(length - len(m) + 1))
+
+
 def test_op8_empty_tables(spark, odd, none):
     items = spark.createDataFrame(BENCH, "item_id long, text string")
     assert spaced_seeds.mark(none, items).collect() == []
