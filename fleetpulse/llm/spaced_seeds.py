@@ -15,13 +15,16 @@ most ``max_broadcast_seeds`` (24 bytes each); beyond it both sides meet in a
 shuffled join on the hash, with the same verification.
 
 Defined cases: null or empty text has no words and is clean; items with fewer
-than ``MIN_ITEM`` words are ignored; an item shorter than a mask is sought as
-a whole run of words; equal items are all reported; an empty benchmark marks
+than ``MIN_ITEM`` words are ignored; an item shorter than ``MIN_OVERLAP`` is
+sought as a whole, under masks of its own length; equal items are all reported; an empty benchmark marks
 nothing; rows that repeat a doc_id are judged row by row.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,15 +50,40 @@ SEPARATOR = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _CARES = [tuple(i for i, c in enumerate(m) if c == "1") for m in MASKS]
 
 
+def whole_masks(n: int) -> list[tuple[int, ...]]:
+    """Places that count in an item of ``n`` < ``MIN_OVERLAP`` words sought as a whole.
+
+    ``MIN_IDENTITY`` allows k substitutions.  Of k + 2 groups of places they leave
+    at least two equal, and each two groups make a mask."""
+    k = n - math.ceil(MIN_IDENTITY * n - 1e-6)
+    groups = [range(n * i // (k + 2), n * (i + 1) // (k + 2)) for i in range(k + 2)]
+    return [(*a, *b) for a, b in itertools.combinations(groups, 2)]
+
+
 def seeds(h: np.ndarray, counts: np.ndarray, short: tuple[int, ...]):
-    """(hash, first word) of every window under every mask, and of whole runs
-    of the ``short`` lengths; the mask's number is part of the hash."""
+    """(hash, first word, length) of every window under every mask, and of whole
+    items of the ``short`` lengths; the mask is part of the hash.  The length is that
+    of the items sought so, 0 for those of ``MIN_OVERLAP`` words or more."""
     for i, cares in enumerate(_CARES):
         got, at, _ = textops.window_hashes(h, counts, len(MASKS[i]), cares)
-        yield got ^ textops.BYTE_VALUE[i], at
+        yield got ^ textops.BYTE_VALUE[i], at, 0
     for n in short:
-        got, at, _ = textops.window_hashes(h, counts, n)
-        yield got ^ textops.BYTE_VALUE[100 + n], at
+        for i, cares in enumerate(whole_masks(n)):
+            got, at, _ = textops.window_hashes(h, counts, n, cares)
+            yield got ^ textops.mix(textops.BYTE_VALUE[n:n + 1] + np.uint64(i)), at, n
+
+
+def item_seeds(h: np.ndarray, counts: np.ndarray, short: tuple[int, ...]):
+    """(hash, first word) of the seeds by which benchmark items are sought."""
+    row = textops.rows_of(counts)
+    for got, at, n in seeds(h, counts, short):
+        size = counts[row[at]]
+        mine = size == n if n else size >= MIN_OVERLAP
+        yield got[mine], at[mine]
+
+
+def short_lengths(sizes) -> tuple[int, ...]:
+    return tuple(sorted({n for n in sizes if MIN_ITEM <= n < MIN_OVERLAP}))
 
 
 def runs(same: np.ndarray, least: int, min_identity: float) -> list[tuple[int, int]]:
@@ -97,13 +125,12 @@ class Index:
     def __init__(self, ids: list, texts: list):
         self.ids = ids
         self.words = item_words(texts)
-        self.short = tuple(sorted({len(w) for w in self.words if MIN_ITEM <= len(w) < SPAN}))
+        self.short = short_lengths(len(w) for w in self.words)
         hashes, items, places = [], [], []
         for k, w in enumerate(self.words):
             if len(w) < MIN_ITEM:
                 continue
-            whole = (len(w),) if len(w) < SPAN else ()
-            for h, at in seeds(w, np.array([len(w)]), whole):
+            for h, at in item_seeds(w, np.array([len(w)]), short_lengths([len(w)])):
                 hashes.append(h)
                 items.append(np.full(len(h), k))
                 places.append(at)
@@ -118,7 +145,7 @@ class Index:
         """Distinct (text, item, diagonal) of the equal seeds of a block of texts."""
         first = np.cumsum(counts) - counts
         found = []
-        for got, at in seeds(h, counts, self.short):
+        for got, at, _ in seeds(h, counts, self.short):
             near = np.flatnonzero(self.bits[got & np.uint64((1 << 22) - 1)])
             lo = np.searchsorted(self.hash, got[near], "left")
             n = np.searchsorted(self.hash, got[near], "right") - lo
@@ -198,13 +225,13 @@ def _mark_shuffled(df: DataFrame, items: DataFrame, text_col: str, min_overlap:
     """
     key = lambda c: [F.xxhash64(c).alias("k1"), F.xxhash64(F.lit("2"), c).alias("k2")]
     texts = df.select(*key(F.col(text_col)), F.col(text_col).alias("text")).where("text IS NOT NULL")
-    short = tuple(sorted(
+    short = short_lengths(
         r[0] for r in map_arrow(items, ["text"], [field("n", INT)], lambda bs: (
             [pa.array([len(w) for w in item_words(b.column(0).to_pylist())], pa.int32())] for b in bs))
-        .where(f"n >= {MIN_ITEM} AND n < {SPAN}").distinct().collect()))  # at most SPAN - MIN_ITEM rows
+        .where(f"n >= {MIN_ITEM} AND n < {MIN_OVERLAP}").distinct().collect())  # at most MIN_OVERLAP - MIN_ITEM rows
 
-    def emit(batches):
-        """k1, k2, seed hash, first word."""
+    def emit(batches, make):
+        """The ids, seed hash, first word."""
         for b in batches:
             ids = b.columns[:-1]
             for i, _, data, off in textops.blocks(b.column(len(ids)), lower=True):
@@ -212,7 +239,7 @@ def _mark_shuffled(df: DataFrame, items: DataFrame, text_col: str, min_overlap:
                 h = textops.word_hashes(data, s, e)
                 row = textops.rows_of(counts)
                 place = np.arange(len(h)) - np.repeat(np.cumsum(counts) - counts, counts)
-                for got, at in seeds(h, counts, short):
+                for got, at, *_ in make(h, counts, short):
                     take = pa.array(i + row[at])
                     yield [*[c.take(take) for c in ids], pa.array(got.view(np.int64)), pa.array(place[at])]
 
@@ -225,8 +252,9 @@ def _mark_shuffled(df: DataFrame, items: DataFrame, text_col: str, min_overlap:
             yield [*[b.column(k).take(at) for k in (0, 1, 3)], first, n]
 
     left = map_arrow(texts, ["k1", "k2", "text"], [field("k1", LONG), field("k2", LONG), field("seed", LONG),
-                                                   field("p", LONG)], emit)
-    right = map_arrow(items, ["item", "text"], [field("item", LONG), field("seed", LONG), field("q", LONG)], emit)
+                                                   field("p", LONG)], lambda bs: emit(bs, seeds))
+    right = map_arrow(items, ["item", "text"], [field("item", LONG), field("seed", LONG), field("q", LONG)],
+                      lambda bs: emit(bs, item_seeds))
     pairs = (left.join(right, "seed").select("k1", "k2", "item", (F.col("p") - F.col("q")).alias("diagonal"))
              .distinct())
     one = texts.dropDuplicates(["k1", "k2"])

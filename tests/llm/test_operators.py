@@ -394,6 +394,24 @@ def test_op8_masks_miss_no_overlap_of_any_length():
                        for m in spaced_seeds.MASKS for i in range(length - len(m) + 1))
 
 
+def test_op8_short_items_are_found_alike_by_both_joins(spark):
+    for n in range(spaced_seeds.MIN_ITEM, spaced_seeds.MIN_OVERLAP):
+        for gone in itertools.combinations(range(n), n // 5):
+            assert any(not set(gone) & set(m) for m in spaced_seeds.whole_masks(n))
+    text = {n: [f"w{n}x{i}" for i in range(n)] for n in (5, 7, 10, 12, 20)}
+    items = spark.createDataFrame([(n, " ".join(w)) for n, w in text.items()], "item_id long, text string")
+    rows, want = [], {}
+    for n, w in text.items():
+        for k, gone in enumerate(itertools.combinations(range(n), n // 5) if n < 20 else [(3, 8, 9, 16)]):
+            rows.append((100 * n + k, " ".join(["so", *("x" if i in gone else x for i, x in enumerate(w)), "end"])))
+            want[100 * n + k] = [n]
+        rows.append((9000 + n, " ".join(["so", *w[:n * 4 // 5 - 1], "end"]))), want.update({9000 + n: [20] if n == 20 else []})
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for limit in (spaced_seeds.MAX_BROADCAST_SEEDS, 0):
+        got = spaced_seeds.mark(df, items, max_broadcast_seeds=limit).collect()
+        assert {r.doc_id: r.items for r in got} == want
+
+
 def test_op8_empty_tables(spark, odd, none):
     items = spark.createDataFrame(BENCH, "item_id long, text string")
     assert spaced_seeds.mark(none, items).collect() == []
