@@ -5,12 +5,10 @@ text of a class is compared.  Each class has ``TREES`` signatures of ``DEPTH``
 MinHash values, one per tree; a bucket is a node of a tree's sorted prefix
 trie, that is, the classes that share a signature prefix.
 
-The join starts with the longest prefix and verifies every pair of a bucket
-exactly, on the shingle sets.  The similarities of the verified links tell how
-many links the present prefix length must have missed (each weighs the
-inverse of its chance to be found).  The prefix is shortened until the
-estimated recall reaches ``recall``, and never below the length that gives this
-recall to a pair exactly on the threshold.
+Buckets are the nodes at the longest prefix that gives a pair exactly on the
+threshold a chance of ``recall`` to meet, so each link has at least this chance
+whatever the other rows are.  Every pair of a bucket is verified exactly, on
+the shingle sets.
 
 No pair is emitted.  A bucket larger than ``BLOCK`` classes is dealt out as
 pairs of blocks, so no task holds more than two blocks, and verified links
@@ -32,7 +30,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import textops
 from .common import BINARY, LONG, Scratch, field, map_arrow, runs
@@ -43,7 +40,6 @@ THRESHOLD = 0.8
 TREES, DEPTH = 24, 8
 RECALL = 0.9999
 BLOCK = 256
-BINS = 20
 _rng = np.random.Generator(np.random.PCG64(5))
 _XOR = _rng.integers(0, 2**32, TREES * DEPTH, dtype=np.uint32)
 _ODD = _rng.integers(0, 2**32, TREES * DEPTH, dtype=np.uint32) | np.uint32(1)
@@ -129,9 +125,9 @@ def common(keys: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def verify(keys: list[np.ndarray], bucket: int, mine: list[np.ndarray], prior: list[np.ndarray],
-           block: np.ndarray, across: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Link matrix and similarities of the pairs this bucket (and block pair) counts."""
+def verify(keys: list[np.ndarray], bucket: int, mine: list[np.ndarray], block: np.ndarray, across: bool,
+           threshold: float) -> np.ndarray:
+    """Link matrix of the pairs this bucket (and block pair) counts."""
     inter = common(keys)
     n = np.array([len(k) for k in keys], np.float32)
     union = n[:, None] + n[None, :] - inter
@@ -141,9 +137,7 @@ def verify(keys: list[np.ndarray], bucket: int, mine: list[np.ndarray], prior: l
         link &= block[:, None] != block[None, :]
     if link.any():
         link &= common([b[b < bucket] for b in mine]) == 0
-        if any(len(p) for p in prior):
-            link &= common(prior) == 0
-    return link, inter / np.maximum(union, 1)
+    return link
 
 
 def _roots(link: np.ndarray) -> np.ndarray:
@@ -159,7 +153,7 @@ def _roots(link: np.ndarray) -> np.ndarray:
 
 
 def _verified(groups: DataFrame, threshold: float, width: int) -> DataFrame:
-    """rep, links, root, hist of the linked classes of each (bucket, block pair)."""
+    """rep, links, root of the linked classes of each (bucket, block pair)."""
 
     def run(batches):
         for t in runs(batches, 3):
@@ -170,22 +164,18 @@ def _verified(groups: DataFrame, threshold: float, width: int) -> DataFrame:
             order = np.argsort(rep, kind="stable")
             rep, weight = rep[order], weight[order]
             t = t.take(pa.array(order))
-            lists = lambda c: [np.array(x or [], np.int64) for x in t[c].to_pylist()]
+            mine = [np.array(x, np.int64) for x in t["mine"].to_pylist()]
             across = t["i"][0].as_py() != t["j"][0].as_py()
-            link, sim = verify(sets(t["text"], width), t["bucket"][0].as_py(), lists("mine"), lists("prior"),
-                               t["block"].to_numpy(), across, threshold)
+            link = verify(sets(t["text"], width), t["bucket"][0].as_py(), mine, t["block"].to_numpy(), across,
+                          threshold)
             hit = np.flatnonzero(link.any(1))
             if not len(hit):
                 continue
             root = _roots(link)
-            found = sim[np.triu(link)]
-            hist = np.bincount(np.minimum((found - threshold) / (1 - threshold) * BINS, BINS - 1).astype(int)
-                               .clip(0), minlength=BINS).tolist()
             yield [pa.array(rep[hit]), pa.array((link.astype(np.float64) @ weight)[hit].astype(np.int64)),
-                   pa.array(rep[root[hit]]), pa.array([hist] + [None] * (len(hit) - 1), pa.list_(pa.int64()))]
+                   pa.array(rep[root[hit]])]
 
-    return map_arrow(groups, groups.columns, [field("rep", LONG), field("links", LONG), field("root", LONG),
-                                              field("hist", T.ArrayType(LONG))], run)
+    return map_arrow(groups, groups.columns, [field("rep", LONG), field("links", LONG), field("root", LONG)], run)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
@@ -213,30 +203,11 @@ def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresho
         some.select("doc_id", "tkey", "sig").dropDuplicates(["doc_id", "tkey"])
         .join(reps, ["doc_id", "tkey"]).select(F.col("doc_id").alias("rep"), "tkey", "weight", "sig"), "forest")
 
-    floor = next((d for d in range(DEPTH, 0, -1) if chance(threshold, d) >= recall), 1)
-    texts = scratch.write(_texts(docs, _members(forest, floor, None)[0], forest), "texts")
-    depth, prior, verified, seen, found = DEPTH, None, None, None, np.zeros(BINS)
-    mids = threshold + (np.arange(BINS) + 0.5) / BINS * (1 - threshold)
-    while True:
-        members, prints = _members(forest, depth, seen)
-        lists = scratch.write(members.groupBy("rep").agg(
-            F.collect_list(F.struct("bucket", "size")).alias("mine")), f"lists-{depth}")
-        got = scratch.write(_verified(_groups(lists, texts, prior), threshold, width), f"links-{depth}")
-        verified = got if verified is None else verified.unionByName(got)
-        row = got.agg(*[F.sum(F.col("hist")[i]).alias(f"h{i}") for i in range(BINS)]).first()
-        found = found + np.array([x or 0 for x in row], float)
-        # Links found, weighed by the inverse of their chance at this length.
-        true = found / np.array([chance(s, depth) for s in mids])
-        reach = lambda d: float(true @ np.array([chance(s, d) for s in mids])) / true.sum()  # noqa: E731, B023
-        if depth <= floor or (found.sum() and reach(depth) >= recall):
-            break
-        shorter = next((d for d in range(depth - 1, floor, -1) if found.sum() and reach(d) >= recall), floor)
-        own = lists.select("rep", F.col("mine.bucket").alias("prior"))
-        prior = own if prior is None else prior.unionByName(own).groupBy("rep").agg(
-            F.flatten(F.collect_list("prior")).alias("prior"))
-        prints = prints.select("size", "f1", "f2")
-        seen = scratch.write(prints if seen is None else seen.unionByName(prints), f"seen-{depth}")
-        depth = shorter
+    depth = next((d for d in range(DEPTH, 0, -1) if chance(threshold, d) >= recall), 1)
+    members = _members(forest, depth)
+    texts = scratch.write(_texts(docs, members, forest), "texts")
+    lists = scratch.write(members.groupBy("rep").agg(F.collect_list(F.struct("bucket", "size")).alias("mine")), "lists")
+    verified = scratch.write(_verified(_groups(lists, texts), threshold, width), "links")
 
     links = verified.groupBy("rep").agg(F.sum("links").alias("links"))
     root = components(verified.select(F.col("rep").alias("u"), F.col("root").alias("v")), scratch)
@@ -254,10 +225,9 @@ def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresho
     return result
 
 
-def _members(forest: DataFrame, depth: int, seen: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+def _members(forest: DataFrame, depth: int) -> DataFrame:
     """(bucket, rep, size) of the trie nodes of ``depth`` with several classes, one
-    node per distinct set of members; and the nodes themselves with the
-    order-free fingerprint of their members."""
+    node per distinct set of members, which an order-free fingerprint tells."""
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
     rows = (forest.select("rep", "sig", tree.alias("tree"))
             .select("rep", F.xxhash64(F.lit(depth), "tree", F.substring(
@@ -266,9 +236,7 @@ def _members(forest: DataFrame, depth: int, seen: DataFrame | None) -> tuple[Dat
                                         F.bit_xor(F.xxhash64("rep")).alias("f1"),
                                         F.bit_xor(F.xxhash64(F.lit(2), "rep")).alias("f2"))
              .where("size > 1").groupBy("size", "f1", "f2").agg(F.min("bucket").alias("bucket")))
-    if seen is not None:
-        nodes = nodes.join(seen, ["size", "f1", "f2"], "left_anti")
-    return rows.join(nodes.select("bucket", "size"), "bucket"), nodes
+    return rows.join(nodes.select("bucket", "size"), "bucket")
 
 
 def _texts(docs: DataFrame, members: DataFrame, forest: DataFrame) -> DataFrame:
@@ -278,16 +246,13 @@ def _texts(docs: DataFrame, members: DataFrame, forest: DataFrame) -> DataFrame:
             .join(wanted, ["rep", "tkey"]).dropDuplicates(["rep", "tkey"]).select("rep", "weight", "text"))
 
 
-def _groups(lists: DataFrame, texts: DataFrame, prior: DataFrame | None) -> DataFrame:
+def _groups(lists: DataFrame, texts: DataFrame) -> DataFrame:
     """Classes with their texts, dealt to (bucket, block i, block j), sorted."""
     rows = lists.join(texts, "rep")
-    rows = rows.join(prior, "rep", "left") if prior is not None else rows.withColumn(
-        "prior", F.lit(None).cast("array<bigint>"))
-    rows = rows.select("rep", "weight", "text", F.col("mine.bucket").alias("mine"), "prior",
-                       F.explode("mine").alias("m"))
+    rows = rows.select("rep", "weight", "text", F.col("mine.bucket").alias("mine"), F.explode("mine").alias("m"))
     n = F.ceil(F.col("m.size") / BLOCK).cast("int")
     rows = rows.select("*", F.pmod(F.xxhash64(F.lit(3), "rep"), n).cast("int").alias("block"), n.alias("n"))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("o"))
     return (rows.select(F.col("m.bucket").alias("bucket"), F.least("block", "o").alias("i"),
-                        F.greatest("block", "o").alias("j"), "rep", "weight", "block", "text", "mine", "prior")
+                        F.greatest("block", "o").alias("j"), "rep", "weight", "block", "text", "mine")
             .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"))

@@ -75,6 +75,20 @@ def test_op1_blocks_and_prefix_levels_lose_no_link(spark, monkeypatch):
     assert got == brute.near_duplicates(rows)
 
 
+def test_op1_a_hot_family_costs_no_other_link(spark):
+    """300 near copies, and 300 pairs exactly on the threshold."""
+    rng = np.random.default_rng(12)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(base[:i] + [f"edit{i}"] + base[i + 1:])) for i in range(300)]
+    for i in range(300):
+        w = [f"p{i}x{x}" for x in rng.integers(0, 10**9, 129)]
+        rows += [(1000 + 2 * i, " ".join(w[:104])), (1001 + 2 * i, " ".join(w))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in lsh_forest.near_duplicates(df).collect()}
+    assert all(got[1000 + 2 * i] == got[1001 + 2 * i] == (1000 + 2 * i, 1) for i in range(300))
+    assert all(got[i] == (0, 299) for i in range(300))
+
+
 def test_op1_edges(odd, none):
     got = lsh_forest.near_duplicates(odd).collect()
     assert ids(got) == ALL
