@@ -21,7 +21,7 @@ own each, no links; a text of 1 to ``WIDTH`` - 1 words has one shingle, all of
 its words; copies are members of one class and count as links of each
 other; rows that repeat a doc_id count each, and different texts under the
 least doc_id of two classes make these one class; a null doc_id takes part with
-its text, but names no class.  Only the two named columns are read.
+its text, but names no class: linked rows without any doc_id have a null class.  Only the two named columns are read.
 """
 
 from __future__ import annotations
@@ -194,14 +194,15 @@ def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresho
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = scratch.write(signatures(docs, width), "signed")
     some = signed.where("n > 0")
+    # A class is known by its least doc_id; one without any by its digest.
+    named = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "tkey")))
     classes = scratch.write(some.groupBy("d1", "d2").agg(
-        F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "tkey"))).alias("r"),
-        F.count(F.lit(1)).alias("weight")).selectExpr("d1", "d2", "r.doc_id AS rep", "r.tkey AS tkey", "weight"),
-        "classes")
-    reps = classes.where("rep IS NOT NULL").select(F.col("rep").alias("doc_id"), "tkey", "weight")
+        named.alias("r"), F.min("tkey").alias("t"), F.count(F.lit(1)).alias("weight")).select(
+            "d1", "d2", F.col("r.doc_id").alias("id"), F.coalesce("r.doc_id", F.xxhash64("d1", "d2")).alias("rep"),
+            F.coalesce("r.tkey", "t").alias("tkey"), "weight"), "classes")
     forest = scratch.write(
-        some.select("doc_id", "tkey", "sig").dropDuplicates(["doc_id", "tkey"])
-        .join(reps, ["doc_id", "tkey"]).select(F.col("doc_id").alias("rep"), "tkey", "weight", "sig"), "forest")
+        some.select("d1", "d2", "tkey", "sig").dropDuplicates(["d1", "d2", "tkey"])
+        .join(classes, ["d1", "d2", "tkey"]).select("rep", "id", "tkey", "weight", "sig"), "forest")
 
     depth = next((d for d in range(DEPTH, 0, -1) if chance(threshold, d) >= recall), 1)
     members = _members(forest, depth)
@@ -211,8 +212,11 @@ def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresho
 
     links = verified.groupBy("rep").agg(F.sum("links").alias("links"))
     root = components(verified.select(F.col("rep").alias("u"), F.col("root").alias("v")), scratch)
-    groups = (classes.join(links, "rep", "left").join(root.withColumnRenamed("node", "rep"), "rep", "left")
-              .select("d1", "d2", F.coalesce("root", "rep").alias("class_id"),
+    ids = classes.select(F.col("id").alias("node")).where("id IS NOT NULL")
+    names = root.join(ids, "node", "left_semi").groupBy("root").agg(F.min("node").alias("name"))
+    root = root.join(names, "root", "left").select(F.col("node").alias("rep"), "name", F.lit(True).alias("linked"))
+    groups = (classes.join(links, "rep", "left").join(root, "rep", "left")
+              .select("d1", "d2", F.when(F.col("linked"), F.col("name")).otherwise(F.col("id")).alias("class_id"),
                       (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                       F.col("weight").alias("copies")))
     out = some.select("doc_id", F.col("tkey").alias("text_key"), "d1", "d2").join(groups, ["d1", "d2"]).drop("d1", "d2")
@@ -241,9 +245,10 @@ def _members(forest: DataFrame, depth: int) -> DataFrame:
 
 def _texts(docs: DataFrame, members: DataFrame, forest: DataFrame) -> DataFrame:
     """rep, weight, text of the classes that share a bucket at the shortest prefix."""
-    wanted = forest.select("rep", "tkey", "weight").join(members.select("rep").distinct(), "rep", "left_semi")
-    return (docs.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("tkey"), "text")
-            .join(wanted, ["rep", "tkey"]).dropDuplicates(["rep", "tkey"]).select("rep", "weight", "text"))
+    wanted = forest.select("rep", "id", "tkey", "weight").join(members.select("rep").distinct(), "rep", "left_semi")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    return (rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["id"]) & (rows["key"] == wanted["tkey"]))
+            .dropDuplicates(["rep", "tkey"]).select("rep", "weight", "text"))
 
 
 def _groups(lists: DataFrame, texts: DataFrame) -> DataFrame:

@@ -89,6 +89,20 @@ def test_op1_a_hot_family_costs_no_other_link(spark):
     assert all(got[i] == (0, 299) for i in range(300))
 
 
+def test_op1_near_copies_without_an_id_take_part(spark):
+    w = [f"w{i}" for i in range(120)]
+    near = lambda k: " ".join([*w[:k], "edit", *w[k + 1:]])
+    lost = [f"v{i}" for i in range(60)]
+    rows = [(7, " ".join(w)), (None, near(40)), (None, near(40)), (9, near(119)), (None, "quite alone here"),
+            (None, " ".join(lost)), (None, " ".join([*lost, "more"])), (3, "another text of some words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.class_id, r.n_links, r.copies) for r in lsh_forest.near_duplicates(df).collect()]
+    key = lambda t: tuple((x is None, x or 0) for x in t)
+    assert sorted(got, key=key) == sorted([(7, 7, 3, 1), (9, 7, 3, 1), (None, 7, 3, 2), (None, 7, 3, 2),
+                                           (None, None, 0, 1), (None, None, 1, 1), (None, None, 1, 1), (3, 3, 0, 1)],
+                                          key=key)
+
+
 def test_op1_edges(odd, none):
     got = lsh_forest.near_duplicates(odd).collect()
     assert ids(got) == ALL
