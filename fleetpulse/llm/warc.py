@@ -37,6 +37,7 @@ ARCHIVE_BYTES = 8 << 20
 EPOCH = "1970-01-01T00:00:00Z"  # archives of the same pages are the same bytes
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _OPEN = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+_HEAD_END = re.compile(rb"\r\n\r\n|\r\nWARC/1\.[01]\r\n")  # a blank line, or the next record without one
 _STEP = 1 << 16
 
 
@@ -123,18 +124,18 @@ def _parse(data, at: int) -> tuple[dict, bytes, int]:
     m = _VERSION.match(data, at)
     if not m:
         raise ValueError("no version line")
-    end = bytes(data[m.end():m.end() + _STEP]).find(b"\r\n\r\n")
-    if end < 0:
+    end = _HEAD_END.search(data, m.end())
+    if not end or end[0] != b"\r\n\r\n":
         raise ValueError("headers do not end")
     head = {}
-    for line in bytes(data[m.end():m.end() + end]).split(b"\r\n"):
+    for line in bytes(data[m.end():end.start()]).split(b"\r\n"):
         k, colon, v = line.partition(b":")
         if not colon:
             raise ValueError("header without a colon")
         head[k.strip().lower().decode("latin-1")] = v.strip().decode("utf-8", "replace")
     if not re.fullmatch(r"\d+", head.get("content-length", "")):
         raise ValueError("no Content-Length")
-    start = m.end() + end + 4
+    start = end.end()
     stop = start + int(head["content-length"])
     if stop + 4 > len(data) or bytes(data[stop:stop + 4]) != b"\r\n\r\n":
         raise ValueError("block does not end where Content-Length says")

@@ -52,6 +52,17 @@ def test_a_wrong_digest_is_quarantined():
     assert [(r and r["id"], why) for _, _, r, why in got] == [(None, "payload digest differs"), (1, None)]
 
 
+@pytest.mark.parametrize("compress", [True, False])
+def test_headers_may_have_any_length(compress):
+    urls = ["http://x/" + "long path " * 9000, "http://x/WARC/1.1", "http://x/1"]
+    records = [warc.record(i, u, b"abc", hashlib.sha1(b"abc").digest(), compress=compress) for i, u in enumerate(urls)]
+    got = list(warc.salvage(b"".join(records)))
+    assert [(r and r["url"], why) for _, _, r, why in got] == [(u.replace(" ", "%20"), None) for u in urls]
+    if not compress:  # headers cut before their blank line end at the next version line
+        got = list(warc.salvage(records[0][:90_000] + b"\r\n" + records[2]))
+        assert [(r and r["id"], why) for _, _, r, why in got] == [(None, "headers do not end"), (2, None)]
+
+
 def test_members_are_plain_gzip():
     assert b"WARC-Type: response" in gzip.decompress(b"".join(parts(True)))
 
