@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (budget_mix, bwt_repeats, line_crf, line_spread, lsh_forest, preference, spaced_seeds, token_counts,
-               toxic_segments, warc)
+from . import (budget_mix, bwt_repeats, filter_audit, line_crf, line_spread, lsh_forest, preference, source_divergence,
+               spaced_seeds, style_tree, token_counts, toxic_segments, warc)
 from .common import Scratch, table
 
 
@@ -95,9 +95,25 @@ def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders: what each step keeps, removes and finds removed, per language."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return style_tree.extract(spark, table(spark, sf_dir, "pages"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources compared with each other and with their language, over the kept terms."""
+    return source_divergence.audit(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_warc_salvage, op3_token_counts, op4_toxic_segments, op5_budget_mix, op6_line_crf,
-    op7_preference_format, op8_spaced_seeds, op9_bwt_repeats, op10_line_spread)}
+    op7_preference_format, op8_spaced_seeds, op9_bwt_repeats, op10_line_spread,
+    op11_filter_audit, op12_style_tree, op13_source_divergence)}
 
 # -- SQL ------------------------------------------------------------------------
 
@@ -186,4 +202,78 @@ SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
        sha256(CASE WHEN cut THEN short ELSE text END) AS kept_sha256
 FROM xr"""
 
-ORACLE_SQL = {"op2_warc_salvage": _OP2, "op7_preference_format": _OP7, "op10_line_spread": _OP10}
+_OP11 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+first AS (SELECT t, min(doc_id) AS least FROM d GROUP BY t),
+flags AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+          100 * length(regexp_replace(d.t, '[^A-Z]', '', 'g')) > 10 * length(d.t),
+          regexp_matches(d.t, '[#$%&*|]'), coalesce(d.doc_id > least, false)] AS fails
+  FROM d JOIN first ON d.t = first.t LEFT JOIN flags ON d.doc_id = flags.doc_id),
+cells AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+l AS (SELECT unnest([1, 2, 3, 4, 5]) AS k),
+o AS (
+  SELECT [a.k, b.k, c.k, d.k, e.k] AS ks FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+s AS (
+  SELECT part, good, toxic, fails, n, ks, k AS step, ks[k] AS f,
+         list_bool_or(list_transform(ks[1:k - 1], lambda x: fails[x])) AS gone
+  FROM cells, o, l),
+r AS (
+  SELECT part, array_to_string(list_transform(ks, lambda x: chr(64 + x)), '') AS filter_order, step, f,
+         sum(CASE WHEN NOT coalesce(gone, false) AND NOT fails[f] THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN NOT coalesce(gone, false) AND fails[f] THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN coalesce(gone, false) AND fails[f] THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails[f] AND len(list_filter(fails, lambda x: x)) = 1 THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN good AND NOT coalesce(gone, false) AND fails[f] THEN n ELSE 0 END) AS good_lost,
+         sum(CASE WHEN toxic AND NOT coalesce(gone, false) AND fails[f] THEN n ELSE 0 END) AS toxic_lost
+  FROM s GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM r"""
+
+_OP13 = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+o AS (SELECT lang, source, r, unnest(ts) AS term FROM d),
+k AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= %d),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (
+  SELECT lang, source, coalesce(total, 0) AS total, coalesce(v, 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN v USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source) USING (lang, source)),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+         1 + CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 5) // (total + 5 * v) AS p
+  FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+q AS (
+  SELECT lang, term, 1 + CAST(1000000000 AS HUGEINT) * (n + 5) // (total + 5 * v) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term)
+  JOIN (SELECT lang, sum(total) AS total, max(v) AS v FROM g GROUP BY lang) USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang AS s0, x.source AS s1, y.source AS s2, sum(abs(x.p - y.p)) AS s FROM p x JOIN p y
+               ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL)
+    ON s0 = a.lang AND s1 = a.source AND s2 = b.source),
+above AS (
+  SELECT p.lang, source, term AS item, p - q AS value,
+         row_number() OVER (PARTITION BY p.lang, source ORDER BY p - q DESC, term) AS rank
+  FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pairs
+UNION ALL
+SELECT lang, source, 'term', item, CAST(value AS BIGINT), CAST(rank AS INTEGER) FROM above WHERE rank <= %d""" % (
+    source_divergence.MIN_DOCS, source_divergence.TOP_TERMS)
+
+ORACLE_SQL = {"op11_filter_audit": _OP11, "op13_source_divergence": _OP13, "op2_warc_salvage": _OP2, "op7_preference_format": _OP7, "op10_line_spread": _OP10}
