@@ -17,7 +17,8 @@ a turn; turns with equal numbers are ordered by role, then text (nulls
 first), and repeated rows stay; a pair with one side has no common turn and
 ``usable`` is false; so is it when a completion has nothing to train on, or
 the two are equal; rows with a null conversation id belong to no pair and
-are left out; an empty table gives no rows.
+are left out; a very long conversation costs in proportion to its length (one
+task holds it); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -51,17 +52,20 @@ def common_turns(a: Column, b: Column) -> Column:
 
 def completion(turns: Column) -> Column:
     """struct(text, spans): the rendered turns and the trained character ranges."""
-    start = F.struct(F.lit("").alias("text"), F.array().cast("array<struct<first:int,end:int>>").alias("spans"))
-
-    def step(acc, turn):
-        at = F.length(acc["text"]) + F.length(_header(turn))
-        span = F.struct(at.alias("first"), (at + F.length(_body(turn))).alias("end"))
+    # The fold sees lengths only; the text is joined once.
+    sizes = F.transform(turns, lambda t: F.struct(F.length(_header(t)).alias("head"), F.length(_body(t)).alias("body"),
+                                                  (t["role"] == "assistant").alias("trained")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,end:int>>").alias("spans"))
+
+    def step(acc, size):
+        first = acc["at"] + size["head"]
+        span = F.struct(first.alias("first"), (first + size["body"]).alias("end"))
         return F.struct(
-            F.concat(acc["text"], render(turn)).alias("text"),
-            F.when(turn["role"] == "assistant", F.concat(acc["spans"], F.array(span)))
-             .otherwise(acc["spans"]).alias("spans"))
+            (first + size["body"]).alias("at"),
+            F.when(size["trained"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
 
-    return F.aggregate(turns, start, step)
+    return F.struct(F.array_join(F.transform(turns, render), "").alias("text"),
+                    F.aggregate(sizes, start, step, lambda acc: acc["spans"]).alias("spans"))
 
 
 def format_pairs(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
