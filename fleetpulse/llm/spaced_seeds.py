@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textops
-from .common import BOOL, INT, LONG, append_arrow, field, map_arrow
+from .common import BOOL, INT, LONG, append_arrow, field, map_arrow, quoted
 
 #: Masks in which six words count.  Every run of 13 words or more that starts
 #: and ends on an equal word and has 80 % of them equal shows at least one of
@@ -225,6 +225,8 @@ def _mark_shuffled(df: DataFrame, items: DataFrame, text_col: str, min_overlap:
     """
     key = lambda c: [F.xxhash64(c).alias("k1"), F.xxhash64(F.lit("2"), c).alias("k2")]
     texts = df.select(*key(F.col(text_col)), F.col(text_col).alias("text")).where("text IS NOT NULL")
+    # One id may stand for several texts: an item is its id and its text.
+    items = items.withColumn("digest", F.xxhash64("text"))
     short = short_lengths(
         r[0] for r in map_arrow(items, ["text"], [field("n", INT)], lambda bs: (
             [pa.array([len(w) for w in item_words(b.column(0).to_pylist())], pa.int32())] for b in bs))
@@ -253,12 +255,12 @@ def _mark_shuffled(df: DataFrame, items: DataFrame, text_col: str, min_overlap:
 
     left = map_arrow(texts, ["k1", "k2", "text"], [field("k1", LONG), field("k2", LONG), field("seed", LONG),
                                                    field("p", LONG)], lambda bs: emit(bs, seeds))
-    right = map_arrow(items, ["item", "text"], [field("item", LONG), field("seed", LONG), field("q", LONG)],
-                      lambda bs: emit(bs, item_seeds))
-    pairs = (left.join(right, "seed").select("k1", "k2", "item", (F.col("p") - F.col("q")).alias("diagonal"))
+    right = map_arrow(items, ["item", "digest", "text"], [field("item", LONG), field("digest", LONG), field("seed", LONG),
+                                                field("q", LONG)], lambda bs: emit(bs, item_seeds))
+    pairs = (left.join(right, "seed").select("k1", "k2", "item", "digest", (F.col("p") - F.col("q")).alias("diagonal"))
              .distinct())
     one = texts.dropDuplicates(["k1", "k2"])
-    full = (pairs.join(one, ["k1", "k2"]).join(items.withColumnRenamed("text", "item_text"), "item")
+    full = (pairs.join(one, ["k1", "k2"]).join(items.withColumnRenamed("text", "item_text").distinct(), ["item", "digest"])
             .select("k1", "k2", "text", "item", "item_text", "diagonal"))
     over = map_arrow(full, full.columns, [field("k1", LONG), field("k2", LONG), field("item", LONG),
                                           field("first", LONG), field("words", LONG)], check)
@@ -274,13 +276,15 @@ def _mark_shuffled(df: DataFrame, items: DataFrame, text_col: str, min_overlap:
 
     marks = map_arrow(folded, folded.columns, fields, fold)
     fresh = [f.name for f in FIELDS]
-    marks = marks.select("k1", "k2", F.struct(*fresh).alias("__mark"))
-    rows = df.select(*[c for c in df.columns if c not in fresh], *[
-        c.alias(f"__{k}") for c, k in zip(key(F.col(text_col)), ("k1", "k2"), strict=True)])
-    out = rows.join(marks, (rows["__k1"] == marks["k1"]) & (rows["__k2"] == marks["k2"]), "left")
+    marks = marks.select("k1", "k2", F.struct(*fresh).alias("mark"))
+    names = [c for c in df.columns if c not in fresh]
+    # Columns travel under positional names, so no name of theirs can clash.
+    rows = df.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(names)], *key(quoted(text_col)))
+    out = rows.join(marks, ["k1", "k2"], "left")
     return out.select(
-        *[rows[c] for c in df.columns if c not in fresh],
-        F.coalesce("__mark.contaminated", F.lit(False)).alias("contaminated"),
-        F.coalesce("__mark.items", F.array().cast("array<bigint>")).alias("items"), "__mark.best_item",
-        F.coalesce("__mark.best_overlap", F.lit(0)).alias("best_overlap"),
-        F.coalesce("__mark.covered_words", F.lit(0).cast("long")).alias("covered_words"))
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(names)],
+        F.coalesce("mark.contaminated", F.lit(False)).alias("contaminated"),
+        F.coalesce("mark.items", F.array().cast("array<bigint>")).alias("items"),
+        F.col("mark.best_item").alias("best_item"),
+        F.coalesce("mark.best_overlap", F.lit(0)).alias("best_overlap"),
+        F.coalesce("mark.covered_words", F.lit(0).cast("long")).alias("covered_words"))
