@@ -9,7 +9,9 @@ words; a bounded-knapsack dynamic program over the remaining counts then finds
 the selection whose sum is the rest, or the nearest below.  Where more than
 ``WINDOW`` words are missing and only longer documents remain, one of them
 replaces shorter ones.
-The documents of each length are then chosen by a seeded hash of their id.
+The documents of each length are then chosen by a seeded hash of their whole
+row, so the order of the rows, a repeated or a missing id and a repeated task
+change nothing.
 
 Nothing is gathered per document: the program sees one row per length, and
 the choice among n equal lengths is made over ``CELLS`` hash cells with a
@@ -17,8 +19,8 @@ window of at most that many rows; only the cell on the boundary is ranked.
 
 Defined cases: null text has size 0; documents of size 0 are taken 0 words;
 a null source is a source of its own, last in order; a source without words
-has target 0; rows that repeat an id are rows of their own, and which of two
-equal rows is taken does not change the result; no rows give no rows.
+has target 0; rows that repeat an id are rows of their own, and only wholly
+equal rows are exchangeable; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, Scratch
+from .common import WORD_PATTERN, Scratch, quoted
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -152,11 +154,14 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     scratch = Scratch(df.sparkSession, "mix")
     fresh = ("size", "source_size", "target", "taken")
     names = [c for c in df.columns if c not in fresh]
+    # All columns that can be hashed, and which of them are null: xxhash64 passes over nulls.
+    plain = [quoted(f.name) for f in df.schema.fields if f.name in names and "map<" not in f.dataType.simpleString()]
+    whole = [*plain, *[c.isNull() for c in plain]]
     rows = df.select(
-        *[F.col(c).alias(f"c{i}") for i, c in enumerate(names)],
+        *[quoted(c).alias(f"c{i}") for i, c in enumerate(names)],
         F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("src"),
         F.col(source_col).isNull().alias("no_src"), (words(F.col(text_col)) if size is None else size).alias("size"),
-        F.xxhash64(F.lit(seed), F.col(id_col).cast("string")).alias("u"))
+        F.xxhash64(F.lit(seed), *whole).alias("u"), F.xxhash64(F.lit(~seed), *whole).alias("u2"))
     rows = rows.withColumn("cell", F.shiftrightunsigned("u", 64 - CELLS.bit_length() + 1).cast("int"))
     key = ["no_src", "src", "size"]
     cells = scratch.write(rows.groupBy(*key, "cell").agg(F.count(F.lit(1)).alias("n")), "cells")
@@ -183,7 +188,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
         cells.join(picks, key).withColumn("quota", F.least(F.greatest(F.col("k") - before, F.lit(0)), F.col("n")))
         .select(*key, "cell", "n", "quota", "epochs", "source_size", "target"), "quota")
     joined = rows.join(quota, [*key, "cell"])
-    rank = F.row_number().over(Window.partitionBy(*key, "cell").orderBy("u", F.col(f"c{names.index(id_col)}")))
+    rank = F.row_number().over(Window.partitionBy(*key, "cell").orderBy("u", "u2"))
     copies = F.col("epochs") + F.when(F.col("quota") >= F.col("n"), 1).when(F.col("quota") == 0, 0) \
         .otherwise((F.col("rank") <= F.col("quota")).cast("int"))
     return joined.withColumn("rank", rank).select(

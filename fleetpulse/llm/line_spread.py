@@ -9,9 +9,7 @@ it is clear: estimates up to ``min_sites / BAND`` are not boilerplate, those fro
 Lines are what ``\\n`` separates.  A line counts when it has at least
 ``min_chars`` characters and one that is not ASCII white space; its identity
 is a 128-bit hash of its bytes.  A boilerplate line is removed wherever it
-stands, except from a document that would lose more than ``max_share`` of its
-characters: such a document is a copy of a page, not a page with boilerplate,
-and is left whole for near-duplicate removal.
+stands; a document of nothing else becomes empty.
 
 Defined cases: null text has 0 lines and stays null; empty text is one empty
 line, never removed; a null site is a site of its own; rows that repeat a
@@ -25,11 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LONG, Scratch, field, map_arrow
+from .common import LONG, Scratch, field, map_arrow, quoted
 
 MIN_SITES = 10
 MIN_CHARS = 5
-MAX_SHARE = 0.5
 BAND = 2.0
 SKETCH_LG_K = 10
 
@@ -70,7 +67,7 @@ def boilerplate_lines(df: DataFrame, text_col: str = "text", site_col: str = "so
 
 
 def clean(df: DataFrame, text_col: str = "text", site_col: str = "source",
-          min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, max_share: float = MAX_SHARE,
+          min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS,
           boilerplate: DataFrame | None = None) -> DataFrame:
     """``df`` with boilerplate lines cut out of the text, plus ``n_lines`` and ``n_removed``.
 
@@ -86,7 +83,7 @@ def clean(df: DataFrame, text_col: str = "text", site_col: str = "source",
             boilerplate_lines(df, text_col, site_col, min_sites, min_chars), "boilerplate")
     names = [c for c in df.columns if c not in ("n_lines", "n_removed")]
     at = names.index(text_col)
-    rows = df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
+    rows = df.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(names)])
     text = F.col(f"c{at}")
     rows = rows.withColumns({"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit("2"), text)})
     hit = (rows.select("k1", "k2", F.explode(F.split(text, "\n", -1)).alias("line"))
@@ -110,9 +107,7 @@ def clean(df: DataFrame, text_col: str = "text", site_col: str = "source",
                     lines = t.split("\n")
                     keep = [x for x, y in zip(lines, h, strict=True)
                             if y not in bad or len(x) < min_chars]
-                    short = "\n".join(keep)
-                    if len(t) - len(short) <= max_share * len(t):
-                        t, k = short, n - len(keep)
+                    t, k = "\n".join(keep), n - len(keep)
                 out.append(t)
                 total.append(n)
                 removed.append(k)

@@ -60,7 +60,8 @@ def op4_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed to source targets: words taken of each."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    sized = docs.select("doc_id", "source", budget_mix.words(F.col("text")).alias("n"))
+    # The text's digest stands in for it where rows with one id and one size are ordered.
+    sized = docs.select("doc_id", "source", F.md5("text").alias("digest"), budget_mix.words(F.col("text")).alias("n"))
     return budget_mix.mix(sized, size=F.col("n")).select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -192,9 +193,9 @@ LINE_SPREAD_SQL = """
          coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (b.line IS NULL), '') AS short
   FROM {p}l l LEFT JOIN {p}b b ON l.line = b.line GROUP BY l.doc_id),
 {p}r AS (
-  SELECT d.*, c.n_lines, c.n_cut > 0 AND length(d.text) - length(c.short) <= %g * length(d.text) AS cut, c.n_cut, c.short
+  SELECT d.*, c.n_lines, c.n_cut > 0 AS cut, c.n_cut, c.short
   FROM {docs} d LEFT JOIN {p}c c USING (doc_id))""" % (
-    line_spread.MIN_CHARS, _SPACE, line_spread.MIN_SITES, line_spread.MAX_SHARE)
+    line_spread.MIN_CHARS, _SPACE, line_spread.MIN_SITES)
 
 _OP10 = "WITH " + LINE_SPREAD_SQL.format(p="x", docs="documents") + """
 SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,

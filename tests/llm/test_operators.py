@@ -27,7 +27,8 @@ DOCS = [
 #: Columns the operators' results use, with other meanings.
 CLASH = {"n_words": "'w'", "score": "'s'", "class_id": "true", "size": "'z'", "kept": "1", "contaminated": "'c'",
          "taken": "'t'", "n_removed": "'r'", "rank": "'k'", "cell": "'e'", "toxic": "'q'", "n_lines": "'l'",
-         "tkey": "0", "k1": "'x'", "chunk": "'y'", "left": "'f'"}
+         "tkey": "0", "k1": "'x'", "chunk": "'y'", "left": "'f'", "`a.b`": "'d'", "__k1": "'u'", "__mark": "'v'",
+         "mark": "'m'", "`c``d`": "'b'"}
 
 
 @pytest.fixture(scope="module")
@@ -134,12 +135,17 @@ def test_op3_equals_the_library(spark):
 
 def test_op3_special_strings_spaces_and_edges(spark, odd, none, monkeypatch):
     path = queries.tokenizer_path("byte_bpe_50k.json")
-    counter = token_counts.Counter(path, token_counts.prove(path))
+    counter = token_counts.Counter(path, token_counts.prove(path), token_counts.classes(path),
+                                   token_counts.classes(path, token_counts.LATIN))
     texts = ["a<|endoftext|> b<|endoftext|><|endoftext|>", "  two   spaces \n\n\n end  ", "it's we'll 'tis 's", "<|endoftext",
-             "x\x1cy\x85z", " nb", "tab\t\tnew\r\nline", "123 456,789!!", "été œuvre ſ", "ʼn", VOICE, LONG]
-    assert [counter.count(t) for t in texts] == _library_counts(texts)
+             "x\x1cy\x85z", " nb", "tab\t\tnew\r\nline", "123 456,789!!", "été œuvre ſ", "ʼn", VOICE, LONG,
+             "你好 世界 123", "Привет, мир! it's", "🙂🙂 x 🙂", "१२३ ४५", "é combining ﬁ Ⅳ ½", "a b　c d", "\U000E0001 tag",
+             "word's don't 'll", "x!!y ##z", " ", "\n", "", None]
+    assert counter.count(texts) == _library_counts(texts)
+    assert [counter.count([t])[0] for t in texts] == _library_counts(texts)
     monkeypatch.setattr(token_counts, "CACHE_LIMIT", 3)
-    assert counter.count(LONG) == _library_counts([LONG])[0]
+    for _ in range(3):
+        assert counter.count([LONG, VOICE]) == _library_counts([LONG, VOICE])
     got = token_counts.token_counts(spark, odd, path).collect()
     assert sorted(r.n_tokens for r in got) == sorted(_library_counts([d[1] for d in DOCS]))
     assert sorted(r.n_bytes for r in got) == sorted(len((d[1] or "").encode()) for d in DOCS)
@@ -264,6 +270,11 @@ def test_op5_edges_and_hot_length(spark, odd, none):
     assert budget_mix.mix(none).collect() == []
     hot = spark.createDataFrame([(i, "a b c", "s" if i % 3 else "t") for i in range(900)],
                                 "doc_id long, text string, source string")
+    same = [(i % 3 or None, f"a b c {i % 50}", "s", i) for i in range(300)]  # repeated and missing ids of one size
+    frames = [spark.createDataFrame(rows, "doc_id long, text string, source string, `a.b` long").repartition(n)
+              for rows, n in ((same, 1), (same[::-1], 3), (sorted(same, key=lambda r: r[3] * 7 % 31), 5))]
+    picks = [sorted((r["a.b"], r.taken) for r in budget_mix.mix(f).collect()) for f in frames]
+    assert picks[0] == picks[1] == picks[2] and len({t for _, t in picks[0]}) > 1
     rows = budget_mix.mix(hot).collect()
     for s, target in _targets({"s": 1800, "t": 900}).items():
         assert abs(sum(r.taken for r in rows if r.source == s) - target) <= 3
@@ -440,6 +451,16 @@ def test_op8_short_items_are_found_alike_by_both_joins(spark):
         assert {r.doc_id: r.items for r in got} == want
 
 
+def test_op8_repeated_item_ids(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(20)) for c in "uv")
+    items = spark.createDataFrame([(7, one), (7, two), (7, two), (8, one)], "item_id long, text string")
+    df = spark.createDataFrame([(1, one), (2, "so " + two), (3, "none of them")], "doc_id long, text string")
+    want = {1: ([7, 8], 20), 2: ([7], 20), 3: ([], 0)}
+    for limit in (spaced_seeds.MAX_BROADCAST_SEEDS, 0):
+        got = spaced_seeds.mark(df, items, max_broadcast_seeds=limit).collect()
+        assert {r.doc_id: (r["items"], r.best_overlap) for r in got} == want
+
+
 def test_op8_empty_tables(spark, odd, none):
     items = spark.createDataFrame(BENCH, "item_id long, text string")
     assert spaced_seeds.mark(none, items).collect() == []
@@ -505,13 +526,15 @@ def test_op10_spread_band_and_edges(spark, odd, none):
         if i % 20 < 9:
             lines.insert(1, "on nine sites only")
         rows.append((i, "\n".join(lines), site))
-    rows.append((100, "everywhere the same", "s0"))  # nothing else: a copy, left whole
+    rows.append((100, "everywhere the same", "s0"))  # nothing else: an empty text is left
+    rows.append((101, "\n".join(["everywhere the same", "on ten sites exactly"] * 5 + ["mine"]), "s0"))
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r.doc_id: r for r in line_spread.clean(df).collect()}
-    for i, text, _ in rows[:-1]:
+    for i, text, _ in rows[:-2]:
         want = [x for x in text.split("\n") if x not in ("everywhere the same", "on ten sites exactly")]
         assert got[i].text.split("\n") == want and got[i].n_removed == text.count("\n") + 1 - len(want)
-    assert got[100].text == "everywhere the same" and got[100].n_removed == 0
+    assert got[100].text == "" and got[100].n_removed == 1
+    assert got[101].text == "mine" and got[101].n_removed == 10
     out = line_spread.clean(odd).collect()
     assert ids(out) == ALL and {r.n_lines for r in out if r.doc_id == 3} == {0} and out[0].score == "s"
     assert line_spread.clean(none).collect() == []
