@@ -128,3 +128,14 @@ def test_history_rerun_with_overwrite(spark):
         out = history.rebuild_stats(spark, root, lake.lake_path(root, "stats"),
                                     StatsParams(interval_seconds=10), mode)
     assert utc_rows(out) == GOLDEN
+
+
+def test_each_line_is_parsed_once(spark, tmp_path):
+    """At most one from_json per read in the physical plan, whatever columns are used."""
+    for kind in ("rated", "tipped", "journey"):
+        path = str(tmp_path / kind)
+        lake.write_lake(spark.createDataFrame([], lake.SCHEMA_OF[kind]), path, kind)
+        df = lake.read_lake(spark, path, kind)
+        for frame in (df, df.select("driver_id"), df.groupBy("driver_id").count()):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("from_json(") <= 1, plan
