@@ -1,11 +1,13 @@
 """Protobuf wire codec for the topics (D1-D5, E1-E4), as Arrow batch passes.
 
-No protobuf jar is on the classpath, so ``from_protobuf`` is not available;
-the messages are described here in Python (``FileDescriptorProto``) and
-parsed / serialized by the protobuf runtime inside ``mapInArrow``: one Arrow
-batch in, one Arrow batch out, no shuffle, run where the rows are.  The
-Python side only turns bytes into plain ints and strings; instants, checks
-and everything else stay JVM expressions.
+No protobuf jar is on the classpath, so ``from_protobuf`` is not available.
+The bytes of a whole Arrow batch are parsed and written column by column
+(``wire``: numpy, in lockstep over the payloads) inside ``mapInArrow``: one
+Arrow batch in, one Arrow batch out, no shuffle, run where the rows are.  The
+Python side only turns bytes into ints and strings; instants, checks and
+everything else stay JVM expressions.  The messages are described here
+(``WIRE``); the protobuf runtime, built from the same description, reads the
+rare payload with groups and is what the tests compare with.
 
 Decode is chosen by topic, never by trial (a rating and a tip have the same
 wire layout).  A payload that does not parse yields ``decode_ok = false``;
@@ -104,66 +106,118 @@ def _field_types() -> dict:
     return out
 
 
-def _readers(kind: str, columns: list) -> tuple[list, list]:
-    """Accessors of one message: its instants (all, for the range check) and
-    the other wanted fields, as (name, output column, type)."""
-    instants, plain = [], []
+ARROW_TYPE = {"str": "string", "u32": "int64", "f32": "float", "ts": "int64", "enum": "string"}
+
+
+def _out(name: str, kind: str) -> str:
+    return name + "_ms" if kind == "ts" else name
+
+
+def _by_runtime(kind: str, payload: bytes, columns: list) -> dict | None:
+    """One payload through the protobuf runtime: the wanted columns, None if it is refused.
+
+    Only payloads with groups come here, which no message of ours has.
+    """
+    from google.protobuf.message import DecodeError
+
+    msg = message_classes()[MESSAGE_OF_KIND[kind]]()
+    try:
+        msg.ParseFromString(payload)
+    except (DecodeError, ValueError, RuntimeError):
+        return None
+    out = {}
     for name, _, ftype in WIRE[MESSAGE_OF_KIND[kind]]:
+        v = getattr(msg, name)
         if ftype == "ts":
-            c = name + "_ms"
-            instants.append((name, c if c in columns else None))
-        elif name in columns:
-            plain.append((name, ftype == "enum"))
-    return instants, plain
+            if not msg.HasField(name):
+                v = None
+            elif not (MIN_SECONDS <= v.seconds <= MAX_SECONDS and 0 <= v.nanos <= MAX_NANOS):
+                return None
+            else:
+                v = v.seconds * 1000 + v.nanos // 1_000_000
+        elif ftype == "enum":
+            v = FINISH_REASONS[v] if 0 <= v < len(FINISH_REASONS) else UNRECOGNIZED
+        if _out(name, ftype) in columns:
+            out[_out(name, ftype)] = v
+    return out
+
+
+def decode_columns(values, topics, topic_kind: dict, columns: list):
+    """kind, decode_ok and ``columns`` of a batch of payloads, as Arrow arrays."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from . import wire
+
+    n = len(values)
+    raw, start, end, valid = wire.flat(values)
+    names, kinds = list(topic_kind), sorted(set(topic_kind.values()))
+    where = pc.fill_null(pc.index_in(topics, value_set=pa.array(names, topics.type)), -1).to_numpy(zero_copy_only=False)
+    kind_of = np.array([*(kinds.index(topic_kind[t]) for t in names), -1])[where]
+    ok, by_runtime = np.zeros(n, bool), {}
+    ftypes = {_out(f, t): t for k in kinds for f, _, t in WIRE[MESSAGE_OF_KIND[k]]}
+    has = {c: np.zeros(n, bool) for c in columns}
+    first = {c: start.copy() for c in columns if ftypes[c] == "str"}
+    size = {c: np.zeros(n, np.int64) for c in first}
+    number = {c: np.zeros(n, np.float32 if ftypes[c] == "f32" else np.int64) for c in columns if c not in first}
+    for k, kind in enumerate(kinds):
+        rows = np.flatnonzero(valid & (kind_of == k))
+        layout = WIRE[MESSAGE_OF_KIND[kind]]
+        got = wire.parse(raw, start[rows], end[rows], {num: t for _, num, t in layout})
+        good = got.ok & ~got.groups
+        instants = {}
+        for _, num, t in layout:
+            if t == "ts":
+                # Milliseconds, sub-millisecond digits dropped; nanos is an int32.
+                s, ns = got.values[num].view(np.int64), got.nanos[num].astype(np.uint32).view(np.int32).astype(np.int64)
+                good &= ~got.has[num] | ((s >= MIN_SECONDS) & (s <= MAX_SECONDS) & (ns >= 0) & (ns <= MAX_NANOS))
+                instants[num] = s, ns
+        for r in np.flatnonzero(got.groups & got.ok).tolist():
+            by_runtime[int(rows[r])] = _by_runtime(kind, raw[start[rows[r]]:end[rows[r]]].tobytes(), columns)
+        at = rows[good]
+        ok[at] = True
+        for f, num, t in layout:
+            c = _out(f, t)
+            if c not in has:
+                continue
+            has[c][at] = got.has[num][good] if t == "ts" else True
+            if t == "str":
+                first[c][at], size[c][at] = got.starts[num][good], got.sizes[num][good]
+            elif t == "ts":
+                s, ns = (x[good] for x in instants[num])
+                number[c][at] = np.where(got.has[num][good], s, 0) * 1000 + ns // 1_000_000
+            elif t == "f32":
+                number[c][at] = got.values[num][good].astype(np.uint32).view(np.float32)
+            else:
+                number[c][at] = got.values[num][good] & np.uint64(UINT32_MAX)
+    reasons = pa.array([*FINISH_REASONS, UNRECOGNIZED], pa.string())
+    arrays = {}
+    for c in columns:
+        if c in first:
+            arrays[c] = wire.cut(raw, first[c], size[c], has[c], pa.string())
+        elif ftypes[c] == "enum":
+            arrays[c] = reasons.take(pa.array(np.minimum(number[c], len(FINISH_REASONS)), mask=~has[c]))
+        else:
+            arrays[c] = pa.array(number[c], ARROW_TYPE[ftypes[c]], mask=~has[c])
+    kind_column = pa.array(kinds, pa.string()).take(pa.array(np.maximum(kind_of, 0), mask=~ok)) if kinds else None
+    arrays = {"kind": kind_column, "decode_ok": pa.array(ok), **arrays}
+    refused = {r for r, got in by_runtime.items() if got is None}
+    rest = sorted(set(by_runtime) - refused)
+    if rest:
+        mask = np.zeros(n, bool)
+        mask[rest] = True
+        extra = {c: [by_runtime[r].get(c) for r in rest] for c in columns}
+        extra |= {"kind": [kinds[kind_of[r]] for r in rest], "decode_ok": [True] * len(rest)}
+        arrays = {c: pc.replace_with_mask(a, pa.array(mask), pa.array(extra[c], a.type)) for c, a in arrays.items()}
+    return list(arrays.values())
 
 
 def _decode_batches(batches, topic_kind, columns, keep):
     import pyarrow as pa
-    from google.protobuf.message import DecodeError
 
-    classes = {k: message_classes()[MESSAGE_OF_KIND[k]] for k in set(topic_kind.values())}
-    readers = {k: _readers(k, columns) for k in classes}
-    arrow = {"str": pa.string(), "u32": pa.int64(), "f32": pa.float32(), "ts": pa.int64(),
-             "enum": pa.string()}
-    col_kind = {}
-    for fields in WIRE.values():
-        for name, _, kind in fields:
-            col_kind[name + "_ms" if kind == "ts" else name] = kind
     for batch in batches:
-        values = batch.column("value").to_pylist()
-        topics = batch.column("topic").to_pylist()
-        out = {c: [None] * len(values) for c in columns}
-        kinds, ok = [None] * len(values), [False] * len(values)
-        for i, (payload, topic) in enumerate(zip(values, topics)):
-            kind = topic_kind.get(topic)
-            if kind is None or payload is None:
-                continue
-            msg = classes[kind]()
-            try:
-                msg.ParseFromString(payload)
-            except (DecodeError, ValueError, RuntimeError):
-                continue
-            instants, plain = readers[kind]
-            times = []
-            for name, c in instants:
-                if msg.HasField(name):
-                    t = getattr(msg, name)
-                    if not (MIN_SECONDS <= t.seconds <= MAX_SECONDS and 0 <= t.nanos <= MAX_NANOS):
-                        break
-                    # Milliseconds, sub-millisecond digits dropped.
-                    times.append((c, t.seconds * 1000 + t.nanos // 1_000_000))
-            else:
-                kinds[i], ok[i] = kind, True
-                for c, ms in times:
-                    if c is not None:
-                        out[c][i] = ms
-                for name, enum in plain:
-                    v = getattr(msg, name)
-                    if enum:
-                        v = FINISH_REASONS[v] if 0 <= v < len(FINISH_REASONS) else UNRECOGNIZED
-                    out[name][i] = v
-        arrays = [pa.array(kinds, pa.string()), pa.array(ok, pa.bool_())]
-        arrays += [pa.array(out[c], arrow[col_kind[c]]) for c in columns]
+        arrays = decode_columns(batch.column("value"), batch.column("topic"), topic_kind, columns)
         arrays += [batch.column(k) for k in keep]
         yield pa.RecordBatch.from_arrays(arrays, ["kind", "decode_ok", *columns, *keep])
 
@@ -214,37 +268,48 @@ def decode(raw: DataFrame, topic_kind: dict, keep: tuple = (), skip: tuple = ())
 # Encode
 # ---------------------------------------------------------------------------
 
+def encode_columns(batch, kind_fixed: str | None, topic_of_kind: dict) -> list:
+    """value and topic of a batch of rows, as Arrow arrays."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from . import wire
+
+    n = batch.num_rows
+    known = list(MESSAGE_OF_KIND) if kind_fixed is None else [kind_fixed]
+    code = np.zeros(n, np.int64) if kind_fixed is not None else pc.fill_null(
+        pc.index_in(batch.column("kind"), value_set=pa.array(known, batch.column("kind").type)), -1
+    ).to_numpy(zero_copy_only=False)
+    if (code < 0).any():
+        raise ValueError(f"rows of an unknown kind: {set(batch.column('kind').to_pylist()) - set(known)}")
+
+    def column(name: str, ftype: str, rows: np.ndarray):
+        c = batch.column(_out(name, ftype))
+        if ftype == "str":
+            raw, first, last, valid = wire.flat(c)
+            return raw, first[rows], last[rows], valid[rows]
+        if ftype == "enum":
+            c = pc.index_in(c, value_set=pa.array(FINISH_REASONS, c.type))
+        valid = ~np.asarray(c.is_null())
+        # E3, floor form: nanos always in [0, 10^9).
+        return pc.fill_null(c, 0).to_numpy(zero_copy_only=False)[rows], valid[rows]
+
+    messages = []
+    for k, kind in enumerate(known):
+        rows = np.flatnonzero(code == k)
+        if len(rows):
+            messages.append((rows, [wire.Field(num, t, column(name, t, rows))
+                                    for name, num, t in WIRE[MESSAGE_OF_KIND[kind]]]))
+    topics = pa.array([topic_of_kind.get(k) for k in known], pa.string())
+    return [wire.serialize(n, messages), topics.take(pa.array(code))]
+
+
 def _encode_batches(batches, kind_fixed, topic_of_kind, keep):
     import pyarrow as pa
 
-    classes = message_classes()
     for batch in batches:
-        cols = {name: batch.column(name).to_pylist() for name in batch.schema.names}
-        n = batch.num_rows
-        kinds = cols["kind"] if kind_fixed is None else [kind_fixed] * n
-        values, topics = [None] * n, [None] * n
-        for i in range(n):
-            kind = kinds[i]
-            msg = classes[MESSAGE_OF_KIND[kind]]()
-            for name, _, ftype in WIRE[MESSAGE_OF_KIND[kind]]:
-                if ftype == "ts":
-                    ms = cols[name + "_ms"][i]
-                    if ms is not None:
-                        # E3, floor form: nanos always in [0, 10^9).
-                        t = getattr(msg, name)
-                        t.seconds, t.nanos = ms // 1000, (ms % 1000) * 1_000_000
-                        t.SetInParent()
-                    continue
-                v = cols[name][i]
-                if v is None:
-                    continue
-                if ftype == "enum":
-                    v = FINISH_REASONS.index(v)
-                setattr(msg, name, v)
-            values[i] = msg.SerializeToString()
-            topics[i] = topic_of_kind[kind]
-        arrays = [pa.array(values, pa.binary()), pa.array(topics, pa.string())]
-        arrays += [batch.column(k) for k in keep]
+        arrays = [*encode_columns(batch, kind_fixed, topic_of_kind), *[batch.column(k) for k in keep]]
         yield pa.RecordBatch.from_arrays(arrays, ["value", "topic", *keep])
 
 
