@@ -16,7 +16,7 @@ from .operators import aggregate, skew, validate
 from .functions import codec
 from .operators.events import narrow, per_kind_sql, widen
 from .plans import feed, history, live, stats
-from .sources import lake, topics
+from .sources import lake, topic_source, topics
 from .sources.fixtures import fixture_events, fixture_typed
 from .streaming import runner
 
@@ -244,9 +244,28 @@ def _state_partitions(spark) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+#: One query runs through the whole log; its source ends a batch with every slice.
+RUN_ON = {"processingTime": "0 seconds"}
+
+
 def _replay(spark, sf_dir, base, start, marker: bool) -> None:
-    """The encoded fixture (with corrupt payloads) through ``start(source)``, one
-    availableNow run per arrival slice from one checkpoint."""
+    """The encoded fixture (with corrupt payloads) through ``start(source)``: one
+    query over a sliced log, one micro-batch per arrival slice."""
+    if not topic_source.openable(base):
+        _replay_by_runs(spark, sf_dir, base, start, marker)
+        return
+    log = f"{base}/topic-log"
+    topic_source.write_slices(encoded_fixture(spark, sf_dir).drop("event_id"), log, ARRIVAL_SLICE_SECONDS)
+    if marker:
+        topic_source.write_slices(runner.end_of_input(spark, P10M), log, ARRIVAL_SLICE_SECONDS)
+    topic_source.close_log(log)
+    runner.finish(start(topic_source.read_slices(spark, log, f"{base}/positions"), RUN_ON))
+    runner.remove_folder(spark, log)
+
+
+def _replay_by_runs(spark, sf_dir, base, start, marker: bool) -> None:
+    """The same where only Spark can open the store: one availableNow run per
+    arrival slice from one checkpoint."""
     def run_once():
         return start(topics.read_topic_log(spark, f"{base}/topic-log", stream=True))
 
@@ -257,8 +276,12 @@ def _replay(spark, sf_dir, base, start, marker: bool) -> None:
 
 
 def _start_live(spark, base, job=live.live_job):
-    def start(src):
-        return runner.start_append(job(src, P10M), f"{base}/out", f"{base}/checkpoint",
+    def start(src, trigger=None):
+        if topic_source.openable(base):
+            return runner.start_append(job(src, P10M), None, f"{base}/checkpoint", fmt=topic_source.FORMAT,
+                                       options={"path": f"{base}/out", "txn": "live"}, trigger=trigger,
+                                       state_partitions=_state_partitions(spark))
+        return runner.start_append(job(src, P10M), f"{base}/out", f"{base}/checkpoint", trigger=trigger,
                                    state_partitions=_state_partitions(spark))
     return start
 
@@ -267,8 +290,13 @@ def stream_driver_stats(spark, sf_dir):
     """J1 end to end: payload log -> streaming job (append) -> payload sink -> decoded."""
     base = run_dir(spark, "live")
     _replay(spark, sf_dir, base, _start_live(spark, base), marker=True)
-    out = topics.decode_stats(topics.read_topic_log(spark, f"{base}/out"), P10M)
-    return for_check(out.drop("source_ts"))
+    return for_check(topics.decode_stats(_live_rows(spark, base), P10M).drop("source_ts"))
+
+
+def _live_rows(spark, base):
+    """What the live job's sink holds."""
+    read = topic_source.read_committed if topic_source.openable(base) else topics.read_topic_log
+    return read(spark, f"{base}/out")
 
 
 def stream_metrics(spark, sf_dir):
@@ -276,10 +304,10 @@ def stream_metrics(spark, sf_dir):
     base, totals, started = run_dir(spark, "metrics"), runner.Totals(), []
     live_start = _start_live(spark, base)
 
-    def start(src):
+    def start(src, trigger=None):
         if started:
             totals.update(started[-1])
-        started.append(live_start(src))
+        started.append(live_start(src, trigger))
         return started[-1]
 
     _replay(spark, sf_dir, base, start, marker=True)
@@ -293,10 +321,10 @@ def stream_update_totals(spark, sf_dir):
     """Running totals in update mode; the last emission per key."""
     base, run = run_dir(spark, "update"), []
 
-    def start(src):
+    def start(src, trigger=None):
         # Batch ids go on across the runs of one checkpoint.
         run.append(runner.start_update(live.live_stats(src, P10M), f"{base}/updates", f"{base}/checkpoint",
-                                       state_partitions=_state_partitions(spark)))
+                                       trigger=trigger, state_partitions=_state_partitions(spark)))
         return run[-1]
 
     _replay(spark, sf_dir, base, start, marker=False)
@@ -324,8 +352,7 @@ def stream_late_dropped(spark, sf_dir):
             topics.write_topic_log(runner.end_of_input(spark, P10M), log)
             runner.await_done(_start_live(spark, base)(topics.read_topic_log(spark, log, stream=True)))
     runner.remove_folder(spark, log)
-    out = topics.decode_stats(topics.read_topic_log(spark, f"{base}/out"), P10M)
-    return for_check(out.drop("source_ts"))
+    return for_check(topics.decode_stats(_live_rows(spark, base), P10M).drop("source_ts"))
 
 
 # -- W5 ------------------------------------------------------------------------

@@ -6,7 +6,9 @@
   every micro-batch that changes it (W6); the parquet sink takes append only,
   so update mode goes through ``foreachBatch`` and keeps the batch id, and
   ``last_per_key`` reads the final value back.
-* ``backfill_by_slice``: replays a batch of raw rows in arrival order, one
+* ``finish``: ends a query over a finite sliced log (``topic_source``), which
+  replays arrivals in order by itself.
+* ``backfill_by_slice``: the same for stores that only Spark can open; replays a batch of raw rows in arrival order, one
   ``availableNow`` run per arrival slice from the same checkpoint.
 * ``end_of_input``: a marker that moves the watermark past every real window
   (the reference's test does the same by advancing its watermark to
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import StatsParams
+from ..sources import topic_source
 
 # Fixed values of the end-of-input marker.
 END_OF_INPUT_AT = datetime(9000, 1, 1, tzinfo=timezone.utc)
@@ -69,10 +72,14 @@ def start_append(df: DataFrame, sink: str | None, checkpoint: str, *, fmt: str =
     A file sink takes the ``sink`` path.  For Kafka (S2 on a broker), pass
     ``fmt="kafka"``, ``sink=None`` and ``options={"kafka.bootstrap.servers":
     ...}``: the encoded rows already carry Kafka's ``value`` and ``topic``
-    columns (needs the spark-sql-kafka package)."""
+    columns (needs the spark-sql-kafka package).  For a log with committed
+    epochs, pass ``fmt=topic_source.FORMAT`` and ``options={"path": ..., "txn": ...}``."""
     spark = df.sparkSession
     if fmt == "kafka":
         df = df.select("value", "topic")
+    elif fmt == topic_source.FORMAT:
+        topic_source.register(spark)
+        df = df.select("value", "topic", "timestamp")
     with session_conf(spark, _state_conf(spark, state_partitions)):
         w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
         for k, v in (options or {}).items():
@@ -116,6 +123,14 @@ def await_done(q: StreamingQuery, timeout_s: float | None = None) -> None:
         raise q.exception()
 
 
+def finish(q: StreamingQuery) -> None:
+    """Let a running query read all that its source offers now, batch after batch, then stop it."""
+    q.processAllAvailable()
+    stop_idle(q)
+    if q.exception() is not None:
+        raise q.exception()
+
+
 def stop_idle(q: StreamingQuery, poll_s: float = 0.02, tries: int = 500) -> None:
     """Stop a query between two triggers, so that no batch is cut off."""
     for _ in range(tries):
