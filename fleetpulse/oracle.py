@@ -223,6 +223,17 @@ SELECT (SELECT count(*) + count(*) FILTER (event_id % 40 = 0) + 1 FROM wide) AS
   (SELECT count(*) FROM es WHERE NOT (event_time >= source_ts - INTERVAL 20 SECOND)) AS dropped_for_skew,
   CAST(0 AS BIGINT) AS late_rows,
   (SELECT count(*) FROM (SELECT DISTINCT driver_id, {_start(600)} AS s FROM kept)) AS closed_windows
+"""),
+    # A window is open until the watermark (20 s behind the latest kept event) reaches its end.
+    "stream_open_windows": _with(f"""
+, mark AS (SELECT max(event_time) - INTERVAL 20 SECOND AS watermark FROM kept)
+SELECT {_start(600)} AS interval_start, {_end(600)} AS interval_end, count(DISTINCT driver_id) AS drivers, watermark
+FROM kept, mark WHERE {_end(600)} > watermark GROUP BY 1, 2, 4
+"""),
+    "stream_skew_dropped": _with("""
+SELECT kind, source_ts, driver_id, event_time, total_drop_offs, total_driver_cancels, total_distance, total_price,
+  total_tips, number_of_ratings, total_rating
+FROM es WHERE NOT (event_time >= source_ts - INTERVAL 20 SECOND)
 """),
     # Late events count only in windows the first run left open.
     "stream_late_dropped": _with(f"""

@@ -332,6 +332,25 @@ def stream_update_totals(spark, sf_dir):
     return for_check(runner.last_per_key(upd, ["driver_id", "interval_start", "interval_end"]))
 
 
+def stream_open_windows(spark, sf_dir):
+    """O2: windows the live job still holds open after the whole log, by its state store."""
+    base = run_dir(spark, "open-windows")
+    _replay(spark, sf_dir, base, _start_live(spark, base), marker=False)
+    return for_check(runner.open_windows(spark, f"{base}/checkpoint"))
+
+
+def stream_skew_dropped(spark, sf_dir):
+    """O1: the events that the live job's skew filter drops, as rows of a side output."""
+    base = run_dir(spark, "skew-split")
+
+    def start(src, trigger=None):
+        es = stats.event_stats(topics.decode_events(src, P10M, skip=live.UNUSED), P10M, skew_check=False)
+        return runner.start_skew_split(es, f"{base}/events", f"{base}/checkpoint", P10M.skew_seconds, trigger=trigger)
+
+    _replay(spark, sf_dir, base, start, marker=False)
+    return for_check(runner.skew_side(spark, f"{base}/events", dropped=True))
+
+
 # -- W3 ------------------------------------------------------------------------
 
 LATE_MOD, LATE_REST = 10, 3   # events that arrive only after all others
@@ -416,6 +435,8 @@ QUERIES = {
     "stream_driver_stats": stream_driver_stats,
     "stream_metrics": stream_metrics,
     "stream_late_dropped": stream_late_dropped,
+    "stream_open_windows": stream_open_windows,
+    "stream_skew_dropped": stream_skew_dropped,
     "stream_update_totals": stream_update_totals,
     "pane_deltas_total": pane_deltas_total,
     "decoded_feed": decoded_feed,

@@ -14,6 +14,8 @@
   (the reference's test does the same by advancing its watermark to
   infinity).  Its own window never closes, so it never reaches the output.  A
   checkpoint that has seen it is finished: all later input would be late.
+* ``start_skew_split``: events kept and dropped by the skew filter, side by side (O1).
+* ``open_windows``: the windows a job holds open, from its state store (O2).
 * ``Totals`` / ``watch``: skew drops, malformed payloads, late rows and closed
   windows summed over all micro-batches, and the watermark (O1-O3).
 
@@ -103,6 +105,52 @@ def start_update(df: DataFrame, sink: str, checkpoint: str, *, trigger: dict | N
         return _trigger(w, trigger).start()
 
 
+def start_skew_split(events: DataFrame, sink: str, checkpoint: str, skew_seconds: int, *,
+                     trigger: dict | None = None) -> StreamingQuery:
+    """O1 as rows: events of one stream, kept and dropped by the skew filter, in one pass.
+
+    Each micro-batch is one job that writes both sides, as the partitions ``dropped=false``
+    and ``dropped=true`` of a folder of its own, ``batch_id=<n>``.  A batch that is run again
+    overwrites its folder, so every event is on exactly one side exactly once;
+    readers of one side prune the other by its folder (``skew_side``)."""
+    from ..operators.skew import within_skew_sql
+
+    marked = events.withColumn("dropped", F.expr(f"NOT coalesce({within_skew_sql(skew_seconds)}, false)"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").partitionBy("dropped").parquet(f"{sink}/batch_id={batch_id}")
+
+    w = marked.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+    return _trigger(w, trigger).start()
+
+
+def skew_side(spark: SparkSession, sink: str, dropped: bool) -> DataFrame:
+    """One side of ``start_skew_split``'s output."""
+    return spark.read.parquet(sink).where(F.col("dropped") == F.lit(dropped)).drop("dropped", "batch_id")
+
+
+def checkpoint_watermark(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """watermark: where the last planned micro-batch stands, from the query's offset log."""
+    lines = spark.read.text(f"{checkpoint}/offsets")
+    ms = F.get_json_object("value", "$.batchWatermarkMs").cast("long")
+    return lines.select(F.timestamp_millis(F.max(ms)).alias("watermark"))
+
+
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """O2 from a job's state: interval_start, interval_end, drivers, watermark of the open windows.
+
+    Reads the state store of the last committed micro-batch (Spark's state
+    data source), whether the job runs or not; a window is there from its
+    first kept event until the watermark has passed its end.  ``drivers`` counts its
+    (window, driver) rows, one per driver with a kept event.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    window = next(f"key.`{f.name}`" for f in state.schema["key"].dataType.fields if "window" in f.name)
+    open_ = (state.select(F.col(f"{window}.start").alias("interval_start"), F.col(f"{window}.end").alias("interval_end"))
+             .groupBy("interval_start", "interval_end").agg(F.count(F.lit(1)).alias("drivers")))
+    return open_.withColumn("watermark", checkpoint_watermark(spark, checkpoint).scalar())
+
+
 def last_per_key(updates: DataFrame, keys: list) -> DataFrame:
     """Latest emission of every key of an update-mode log (max ``batch_id``).
 

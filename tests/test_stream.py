@@ -340,3 +340,46 @@ def test_kafka_reader_and_live_subscription(monkeypatch):
     assert seen["format"] == "kafka" and seen["kafka.bootstrap.servers"] == "h:1"
     assert seen["subscribe"] == "input.driver_rated,input.driver_tipped,input.journey_finished"
     assert seen["maxOffsetsPerTrigger"] == 7 and seen["columns"] == ("value", "topic", "timestamp")
+
+
+def _events(spark, seconds_late):
+    """Ratings that arrive so many seconds after they were given."""
+    rows = [(f"driver-{i}", "b", "c", 3, at(0), at(late)) for i, late in enumerate(seconds_late)]
+    return _encoded(spark, {"rated": _rated(spark, rows)})
+
+
+def _split(spark, log, sink, checkpoint):
+    from fleetpulse.plans import stats
+
+    es = stats.event_stats(topics.decode_events(topics.read_topic_log(spark, log, stream=True), P10S), P10S,
+                           skew_check=False)
+    runner.await_done(runner.start_skew_split(es, sink, checkpoint, P10S.skew_seconds))
+
+
+def test_kept_and_dropped_events_are_the_input_even_when_a_batch_runs_again(spark):
+    base = run_dir(spark, "test-split")
+    topics.write_topic_log(_events(spark, [0, 20, 21, 300]).coalesce(1), f"{base}/log")
+    for checkpoint in ("a", "b"):       # two checkpoints: batch 0 runs twice into one sink
+        _split(spark, f"{base}/log", f"{base}/out", f"{base}/{checkpoint}")
+    topics.write_topic_log(_events(spark, [5, 50]).coalesce(1), f"{base}/log")
+    _split(spark, f"{base}/log", f"{base}/out", f"{base}/b")
+    late = lambda side: sorted((r.source_ts - r.event_time).total_seconds()
+                               for r in runner.skew_side(spark, f"{base}/out", side).collect())
+    assert late(False) == [0, 5, 20] and late(True) == [21, 50, 300]
+    plan = runner.skew_side(spark, f"{base}/out", True)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan
+
+
+def test_open_windows_come_from_the_state_of_the_job(spark):
+    base = run_dir(spark, "test-open")
+    r, t, j = _arrive_at_event_time(*golden_frames(spark))
+    topics.write_topic_log(_encoded(spark, {"rated": r, "tipped": t, "journey": j}).coalesce(1), f"{base}/log")
+    late = [("driver-9", "b", "c", 3, at(31), at(31))]     # moves the watermark to 11 s: the first window closes
+    for rows in (None, late):
+        if rows:
+            topics.write_topic_log(_encoded(spark, {"rated": _rated(spark, rows)}).coalesce(1), f"{base}/log")
+        src = topics.read_topic_log(spark, f"{base}/log", stream=True)
+        runner.await_done(runner.start_append(live.live_job(src, P10S), f"{base}/out", f"{base}/ckpt", state_partitions=2))
+        got = sorted((r.interval_start.timestamp() - at(0).timestamp(), r.drivers, r.watermark.timestamp() - at(0).timestamp())
+                     for r in runner.open_windows(spark, f"{base}/ckpt").collect())
+        assert got == ([(0, 2, -8), (10, 1, -8)] if rows is None else [(10, 1, 11), (30, 1, 11)])
