@@ -235,6 +235,8 @@ SELECT kind, source_ts, driver_id, event_time, total_drop_offs, total_driver_can
   total_tips, number_of_ratings, total_rating
 FROM es WHERE NOT (event_time >= source_ts - INTERVAL 20 SECOND)
 """),
+    # Every event counts in the end, as in the history job.
+    "corrected_driver_stats": _with(_stats("es", 600)),
     # Late events count only in windows the first run left open.
     "stream_late_dropped": _with(f"""
 , mark AS (SELECT max(event_time) - INTERVAL 20 SECOND AS w FROM kept WHERE event_id % 10 <> 3),

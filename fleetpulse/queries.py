@@ -15,7 +15,7 @@ from .config import StatsParams, prepare_session, run_dir
 from .operators import aggregate, skew, validate
 from .functions import codec
 from .operators.events import narrow, per_kind_sql, widen
-from .plans import feed, history, live, stats
+from .plans import correction, feed, history, live, stats
 from .sources import lake, topic_source, topics
 from .sources.fixtures import fixture_events, fixture_typed
 from .streaming import runner
@@ -351,6 +351,22 @@ def stream_skew_dropped(spark, sf_dir):
     return for_check(runner.skew_side(spark, f"{base}/events", dropped=True))
 
 
+def corrected_driver_stats(spark, sf_dir):
+    """The live job's statistics, with the days that lost events rebuilt from all events."""
+    base = run_dir(spark, "correction")
+
+    def start(src, trigger=None):
+        es = stats.event_stats(topics.decode_events(src, P10M, skip=live.UNUSED), P10M, skew_check=False)
+        return runner.start_skew_split(es, f"{base}/events", f"{base}/checkpoint", P10M.skew_seconds,
+                                       trigger=trigger, day=correction.day_of_interval(P10M))
+
+    _replay(spark, sf_dir, base, start, marker=False)
+    kept = runner.skew_side(spark, f"{base}/events", dropped=False)
+    correction.write_stats(aggregate.driver_stats(kept, P10M.interval), f"{base}/stats")
+    correction.correct(spark, f"{base}/events", f"{base}/stats", P10M)
+    return for_check(correction.read_stats(spark, f"{base}/stats"))
+
+
 # -- W3 ------------------------------------------------------------------------
 
 LATE_MOD, LATE_REST = 10, 3   # events that arrive only after all others
@@ -437,6 +453,7 @@ QUERIES = {
     "stream_late_dropped": stream_late_dropped,
     "stream_open_windows": stream_open_windows,
     "stream_skew_dropped": stream_skew_dropped,
+    "corrected_driver_stats": corrected_driver_stats,
     "stream_update_totals": stream_update_totals,
     "pane_deltas_total": pane_deltas_total,
     "decoded_feed": decoded_feed,

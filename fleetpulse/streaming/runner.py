@@ -106,19 +106,23 @@ def start_update(df: DataFrame, sink: str, checkpoint: str, *, trigger: dict | N
 
 
 def start_skew_split(events: DataFrame, sink: str, checkpoint: str, skew_seconds: int, *,
-                     trigger: dict | None = None) -> StreamingQuery:
+                     trigger: dict | None = None, day=None) -> StreamingQuery:
     """O1 as rows: events of one stream, kept and dropped by the skew filter, in one pass.
 
     Each micro-batch is one job that writes both sides, as the partitions ``dropped=false``
     and ``dropped=true`` of a folder of its own, ``batch_id=<n>``.  A batch that is run again
     overwrites its folder, so every event is on exactly one side exactly once;
-    readers of one side prune the other by its folder (``skew_side``)."""
+    readers of one side prune the other by its folder (``skew_side``).  With
+    ``day`` (a column of the events) each side is laid out by day as well, for ``plans.correction``."""
     from ..operators.skew import within_skew_sql
 
+    by = ["dropped"] if day is None else ["dropped", "day"]
+    if day is not None:
+        events = events.withColumn("day", day)
     marked = events.withColumn("dropped", F.expr(f"NOT coalesce({within_skew_sql(skew_seconds)}, false)"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").partitionBy("dropped").parquet(f"{sink}/batch_id={batch_id}")
+        batch.write.mode("overwrite").partitionBy(*by).parquet(f"{sink}/batch_id={batch_id}")
 
     w = marked.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     return _trigger(w, trigger).start()
@@ -126,7 +130,8 @@ def start_skew_split(events: DataFrame, sink: str, checkpoint: str, skew_seconds
 
 def skew_side(spark: SparkSession, sink: str, dropped: bool) -> DataFrame:
     """One side of ``start_skew_split``'s output."""
-    return spark.read.parquet(sink).where(F.col("dropped") == F.lit(dropped)).drop("dropped", "batch_id")
+    return spark.read.parquet(sink).where(F.col("dropped") == F.lit(str(dropped).lower())).drop(
+        "dropped", "batch_id", "day")
 
 
 def checkpoint_watermark(spark: SparkSession, checkpoint: str) -> DataFrame:
