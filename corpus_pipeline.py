@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.llm import budget_mix, line_spread, lsh_forest, spaced_seeds, toxic_segments
-from fleetpulse.llm.common import Scratch, table
+from fleetpulse.llm.common import Scratch, quoted, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def cut_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     table(spark, sf_dir, "documents")
     out = line_spread.clean(docs)
     chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
-    return out.withColumn("n_chars", chars).select(*docs.columns)
+    return out.withColumn("n_chars", chars).select(*map(quoted, docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
