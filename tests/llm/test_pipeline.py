@@ -40,7 +40,8 @@ def test_odd_rows_and_empty_documents(spark):
     docs = table(spark, SF001, "documents")
     odd = spark.createDataFrame(
         [(None, None, None, None, None), (1, "", "en", None, 0), (2, "a b", None, "s", 3), (2, "a b", None, "s", 3),
-         (3, "a b", "en", "t", 3)], docs.schema).selectExpr("*", "1 AS score", "'x' AS size", "2 AS class_id")
+         (3, "a b", "en", "t", 3)], docs.schema).selectExpr("*", "1 AS score", "'x' AS size", "2 AS class_id",
+                                        "3 AS `a.b`", "'m' AS __mark", "'k' AS __k1")
     for rows, n in ((odd, 4), (odd.limit(0), 0)):
         frame = rows
         for _, stage in P.STAGES[:-1]:
