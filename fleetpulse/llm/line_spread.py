@@ -67,12 +67,15 @@ def boilerplate_lines(df: DataFrame, text_col: str = "text", site_col: str = "so
 
 
 def clean(df: DataFrame, text_col: str = "text", site_col: str = "source",
-          min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS,
+          min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, max_share: float = 1.0,
           boilerplate: DataFrame | None = None) -> DataFrame:
     """``df`` with boilerplate lines cut out of the text, plus ``n_lines`` and ``n_removed``.
 
     Line hashes (not texts) meet the boilerplate set in a sort-merge join,
-    whose hot keys AQE splits.  What to cut comes back per distinct text: a
+    whose hot keys AQE splits.  ``max_share`` below 1 leaves a text whole that
+    would lose more than this share of its characters; a caller that removes
+    near copies afterwards needs that, or a text copied to ``min_sites`` sites would vanish
+    from all of them.  What to cut comes back per distinct text: a
     row is known by a hash of its whole text, and copies share one answer.
     """
     # Written tables meet the lines and the rows as plain shuffles, whose hot
@@ -107,7 +110,9 @@ def clean(df: DataFrame, text_col: str = "text", site_col: str = "source",
                     lines = t.split("\n")
                     keep = [x for x, y in zip(lines, h, strict=True)
                             if y not in bad or len(x) < min_chars]
-                    t, k = "\n".join(keep), n - len(keep)
+                    short = "\n".join(keep)
+                    if len(t) - len(short) <= max_share * len(t):
+                        t, k = short, n - len(keep)
                 out.append(t)
                 total.append(n)
                 removed.append(k)
