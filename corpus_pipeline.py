@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from fleetpulse.llm import budget_mix, line_spread, lsh_forest, spaced_seeds, toxic_segments
 from fleetpulse.llm.common import Scratch, quoted, table
 
+#: A text with more than this share of its characters in lines of other sites is a copy.
+COPY_SHARE = 0.5
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not predicted toxic.  A kept row is its input row; no join."""
@@ -28,9 +31,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their boilerplate lines; n_chars follows the text."""
+    """Documents without their boilerplate lines; n_chars follows the text.
+
+    A text that is mostly lines of other sites is a copy, exact or near, and the next
+    stage keeps one of its group: cut here, none would be left.
+    """
     table(spark, sf_dir, "documents")
-    out = line_spread.clean(docs)
+    out = line_spread.clean(docs, max_share=COPY_SHARE)
     chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
     return out.withColumn("n_chars", chars).select(*map(quoted, docs.columns))
 
