@@ -36,14 +36,15 @@ def live_job(raw: DataFrame, params: StatsParams = StatsParams()) -> DataFrame:
 
 
 def live_pane_deltas(raw: DataFrame, params: StatsParams = StatsParams(),
-                     delay_seconds: float | None = None, poll_seconds: float | None = None) -> DataFrame:
-    """The reference's live trigger - pane deltas fired ``delay_seconds``
-    (default: the interval) of processing time after each pane's first event,
-    or when the window closes."""
-    from ..streaming.panes import pane_deltas
+                     delay_seconds: float | None = None, poll_seconds: float | None = None,
+                     slots: int | None = None) -> DataFrame:
+    """The reference's live trigger - all drivers of a window's pane, fired together
+    ``delay_seconds`` (default: the interval) of processing time after the
+    pane's first event, or when the window closes."""
+    from ..streaming.panes import SLOTS, pane_deltas
 
     wide = decode_events(raw, params, observation=DECODE_METRICS, skip=UNUSED)
     es = event_stats(wide, params, observation=SKEW_METRICS)
     es = es.withWatermark("event_time", params.watermark)
     delay = params.interval_seconds if delay_seconds is None else delay_seconds
-    return pane_deltas(es, params, delay, poll_seconds)
+    return pane_deltas(es, params, delay, poll_seconds, slots or SLOTS)

@@ -408,7 +408,8 @@ def pane_deltas_total(spark, sf_dir):
     log = f"{base}/topic-log"
     topics.write_topic_log(encoded_fixture(spark, sf_dir), log)
     n_rows = topics.read_topic_log(spark, log).count()   # parquet footers
-    deltas = live.live_pane_deltas(topics.read_topic_log(spark, log, stream=True), P10M, PANE_DELAY_SECONDS)
+    deltas = live.live_pane_deltas(topics.read_topic_log(spark, log, stream=True), P10M, PANE_DELAY_SECONDS,
+                                   slots=_state_partitions(spark))
     q = runner.start_append(deltas, f"{base}/deltas", f"{base}/checkpoint",
                             trigger={"processingTime": PANE_TRIGGER},
                             state_partitions=_state_partitions(spark))

@@ -3,18 +3,25 @@
 The reference fires a window's pane a fixed processing-time delay after the
 pane's first element, repeatedly, discarding what it fired: one (window,
 driver) may be emitted several times, each row holding only the events that
-arrived since the previous firing.  Allowed lateness is zero.
-
-Here this is a ``transformWithState`` processor keyed by (driver, window):
-value state = the seven running sums of the open pane; the pane's first row
-registers a processing-time timer at now + delay; the timer emits the pane
-and clears it.  A pane that is pending when the watermark passes its window
-end is the window's closing pane and does not wait for its delay: timers
-look at the watermark every ``poll_ms`` (at most the delay) and fire then.  Spark does not drop late rows in processing-time mode, so the
-handler drops rows whose window the watermark has already passed.  Keys are
-(driver, window) instead of the reference's one key per window, so a busy
-window is spread over the cluster.  The sum of a key's deltas equals its
-final total (tested).
+arrived since the previous firing.  Allowed lateness is zero.  The clock is the
+window's: the first element of any driver opens the pane, and all drivers
+of it are fired together.
+
+Here a window's drivers are dealt to ``slots`` keys (window, slot) of a
+``transformWithState`` processor, so no task gathers a busy window.  Each slot
+holds a copy of the window's clock and a map of its drivers' open sums.  The
+copies agree without talking to each other: every task that sees a window in
+a micro-batch sends one tick to each of its slots, so all slots learn
+of the pane's first element in the same micro-batch, and take that batch's
+processing time.  They hold the same timer, and Spark fires equal timers in the
+same batch.
+
+A pane that is pending when the watermark passes its window end is the
+window's closing pane and does not wait for its delay: a pending pane's timer
+looks at the watermark every ``poll_ms`` (at most the delay) and fires then, once
+per (window, slot), however many drivers it has.  Spark does not drop late rows
+in processing-time mode, so the handler drops rows whose window the watermark
+has already passed.  The sum of a key's deltas equals its final total (tested).
 """
 
 from __future__ import annotations
@@ -28,19 +35,26 @@ from ..config import StatsParams, ship_package
 from ..operators.aggregate import average_rating, tumbling
 from ..schemas import TOTALS
 
-PANE_STATE = T.StructType([T.StructField(c, T.LongType()) for c in (*TOTALS, "due_ms")])
+#: Slots per window: the most tasks one window's drivers are spread over.
+SLOTS = 32
+
+CLOCK = T.StructType([T.StructField("opened_ms", T.LongType())])
+DRIVER = T.StructType([T.StructField("driver_id", T.StringType())])
+SUMS = T.StructType([T.StructField(c, T.LongType()) for c in TOTALS])
 DELTA_OUT = T.StructType(
     [T.StructField("driver_id", T.StringType()),
      T.StructField("interval_start_ms", T.LongType()),
      T.StructField("interval_end_ms", T.LongType()),
-     T.StructField("pane_fired_ms", T.LongType())]
+     T.StructField("pane_opened_ms", T.LongType()),
+     T.StructField("pane_fired_ms", T.LongType()),
+     T.StructField("closing", T.BooleanType())]
     + [T.StructField(c, T.LongType()) for c in TOTALS])
 
 
 class PaneDeltas(StatefulProcessor):
-    """Per (driver, window): accumulate a pane, fire it ``delay_ms`` after its
-    first element (processing time) or once its window has closed, then
-    start a new pane."""
+    """Per (window, slot): accumulate the drivers of a pane, fire them together
+    ``delay_ms`` after the window's first element (processing time) or once
+    the window has closed, then wait for the next pane."""
 
     def __init__(self, delay_ms: int, poll_ms: int):
         self.delay_ms = int(delay_ms)
@@ -48,42 +62,47 @@ class PaneDeltas(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.pane = handle.getValueState("pane", PANE_STATE)
+        self.clock = handle.getValueState("clock", CLOCK)
+        self.drivers = handle.getMapState("drivers", DRIVER, SUMS)
 
-    # Every state access is a call to the JVM state server: at most get +
-    # update (+ registerTimer for a new pane) per key and batch, get + clear
-    # per fired pane, get + registerTimer per look at the watermark.
+    # Every state access is a call to the JVM state server: one get + update per
+    # driver and batch; the clock and the timer are per slot.
     def handleInputRows(self, key, rows, timerValues):
-        interval_end_ms = key[2]
-        if interval_end_ms <= timerValues.getCurrentWatermarkInMs():
+        if key[1] <= timerValues.getCurrentWatermarkInMs():
             for _ in rows:  # late: the window has closed (allowed lateness 0)
                 pass
             return iter([])
-        current = self.pane.get()
-        if current is None:
+        if self.clock.get() is None:
             now = timerValues.getCurrentProcessingTimeInMs()
-            sums = [0] * len(TOTALS) + [now + self.delay_ms]
+            self.clock.update((now,))
             self.handle.registerTimer(now + self.poll_ms)
-        else:
-            sums = list(current)
+        new = {}
         for r in rows:
-            for i, c in enumerate(TOTALS):
-                sums[i] += r[c]
-        self.pane.update(tuple(sums))
+            if not r["tick"]:
+                sums = new.setdefault(r["driver_id"], [0] * len(TOTALS))
+                for i, c in enumerate(TOTALS):
+                    sums[i] += r[c]
+        for driver, sums in new.items():
+            held = self.drivers.getValue((driver,))
+            self.drivers.updateValue((driver,), tuple(sums) if held is None else tuple(map(sum, zip(held, sums))))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        sums = self.pane.get()
-        if sums is None:
+        clock = self.clock.get()
+        if clock is None:
             return iter([])
-        now, due = expiredTimerInfo.getExpiryTimeInMs(), sums[len(TOTALS)]
-        if now < due and key[2] > timerValues.getCurrentWatermarkInMs():
+        now, due = expiredTimerInfo.getExpiryTimeInMs(), clock[0] + self.delay_ms
+        closing = key[1] <= timerValues.getCurrentWatermarkInMs()
+        if now < due and not closing:
             self.handle.registerTimer(min(due, timerValues.getCurrentProcessingTimeInMs() + self.poll_ms))
             return iter([])
-        self.pane.clear()
-        out = dict(zip(TOTALS, sums))
-        return iter([Row(driver_id=key[0], interval_start_ms=key[1], interval_end_ms=key[2],
-                         pane_fired_ms=expiredTimerInfo.getExpiryTimeInMs(), **out)])
+        # One slot's share of a window's drivers.
+        fired = [Row(driver_id=driver[0], interval_start_ms=key[0], interval_end_ms=key[1], pane_opened_ms=clock[0],
+                     pane_fired_ms=now, closing=closing, **dict(zip(TOTALS, sums)))
+                 for driver, sums in self.drivers.iterator()]
+        self.drivers.clear()
+        self.clock.clear()
+        return iter(fired)
 
     def close(self) -> None:
         pass
@@ -124,6 +143,25 @@ def _combine_batches(batches, max_keys: int = COMBINE_KEYS):
         yield from held.to_batches()
 
 
+def _combine_with_ticks(batches):
+    """``_combine_batches``, and one row with ``tick`` per window that the task sees."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    window, seen = list(PANE_KEYS[1:]), set()
+    for b in _combine_batches(batches):
+        t = pa.Table.from_batches([b])
+        yield from t.append_column("tick", pa.array([False] * t.num_rows)).to_batches()
+        new = [w for w in t.select(window).group_by(window).aggregate([]).to_pylist()
+               if (w["interval_start_ms"], w["interval_end_ms"]) not in seen]
+        seen.update((w["interval_start_ms"], w["interval_end_ms"]) for w in new)
+        if new:
+            zeros = pa.array([0] * len(new), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(new), pa.string()), *[pa.array([w[c] for w in new], pa.int64()) for c in window],
+                 *[zeros] * len(TOTALS), pc.equal(zeros, 0)], names=[*PANE_KEYS, *TOTALS, "tick"])
+
+
 def _pickle_by_value() -> None:
     # The processor is also unpickled by a driver-side Python runner that does
     # not see addPyFile; it only needs pyspark, so ship this module by value.
@@ -135,11 +173,14 @@ def _pickle_by_value() -> None:
 
 
 def pane_deltas(event_stats: DataFrame, params: StatsParams, delay_seconds: float,
-                poll_seconds: float | None = None) -> DataFrame:
+                poll_seconds: float | None = None, slots: int = SLOTS) -> DataFrame:
     """Delta rows of every fired pane (streaming input with a watermark).
 
+    ``pane_opened_at`` and ``pane_fired_at`` are the same for all drivers of a
+    pane; ``closing`` marks a pane that was fired because its window had closed.
     ``poll_seconds`` (default: a tenth of the delay, one second at least) is
-    how often a pending pane looks whether its window has closed."""
+    how often a pending pane looks whether its window has closed.  ``slots`` is
+    how many keys a window's drivers are dealt to; it is fixed with the checkpoint."""
     poll = max(1.0, delay_seconds / 10) if poll_seconds is None else poll_seconds
     ship_package(event_stats.sparkSession)
     _pickle_by_value()
@@ -152,14 +193,19 @@ def pane_deltas(event_stats: DataFrame, params: StatsParams, delay_seconds: floa
     # Pre-aggregate before the shuffle: the stateful operator gets at most one
     # row per key and task (or COMBINE_KEYS keys), so a driver holding a third of all events
     # sends a few partial rows, not a third of the rows, to its task.
-    combined = keyed.mapInArrow(_combine_batches, keyed.schema)
-    out = combined.groupBy(*PANE_KEYS).transformWithState(
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in keyed.schema] + [T.StructField("tick", T.BooleanType())])
+    combined = keyed.mapInArrow(_combine_with_ticks, schema)
+    slot = F.expr(f"explode(if(tick, sequence(0, {int(slots) - 1}), "
+                  f"array(cast(pmod(xxhash64(driver_id), {int(slots)}) AS int))))")
+    out = combined.select("*", slot.alias("slot")).groupBy(*PANE_KEYS[1:], "slot").transformWithState(
         PaneDeltas(int(delay_seconds * 1000), int(poll * 1000)), DELTA_OUT, "Append", "ProcessingTime")
     return out.select(
         "driver_id",
         F.timestamp_millis("interval_start_ms").alias("interval_start"),
         F.timestamp_millis("interval_end_ms").alias("interval_end"),
+        F.timestamp_millis("pane_opened_ms").alias("pane_opened_at"),
         F.timestamp_millis("pane_fired_ms").alias("pane_fired_at"),
+        "closing",
         *TOTALS,
         average_rating(F.col("total_rating"), F.col("number_of_ratings")).alias("avg_rating"))
 

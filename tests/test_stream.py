@@ -171,6 +171,40 @@ def test_live_command_line_once(spark):
     assert utc_rows(out) == GOLDEN
 
 
+def test_all_drivers_of_a_pane_fire_together(spark):
+    """The window's first element of any driver starts the clock: drivers that come in a
+    later micro-batch, in other slots, leave with the first one."""
+    base = run_dir(spark, "test-pane-clock")
+    log = f"{base}/log"
+    p = StatsParams(interval_seconds=3600)
+    first = _rated(spark, [("d0", "r", "j", 5, at(1), at(1))])
+    second = _rated(spark, [(f"d{i}", "r", "j", 3, at(2), at(2)) for i in range(1, 12)])
+    topics.write_topic_log(topics.encode_events(widen({"rated": first}), p).coalesce(1), log)
+    src = topics.read_topic_log(spark, log, stream=True, max_files_per_trigger=1)
+    q = runner.start_append(live.live_pane_deltas(src, p, delay_seconds=8, slots=4), f"{base}/deltas", f"{base}/ckpt",
+                            trigger={"processingTime": "300 milliseconds"}, state_partitions=2)
+    deadline = time.time() + 60
+    while not (q.lastProgress and q.lastProgress["numInputRows"]) and time.time() < deadline:
+        time.sleep(0.1)
+    topics.write_topic_log(topics.encode_events(widen({"rated": second}), p).coalesce(1), log)
+    runner.await_quiet(q, 12, 180)
+    rows = spark.read.parquet(f"{base}/deltas").collect()
+    assert sorted(r.driver_id for r in rows) == sorted(f"d{i}" for i in range(12))
+    assert len({(r.pane_opened_at, r.pane_fired_at) for r in rows}) == 1 and not any(r.closing for r in rows)
+
+
+def test_a_window_ticks_once_per_task_in_every_slot():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({
+        "driver_id": ["a", "b", None], "interval_start_ms": [0, 0, 10], "interval_end_ms": [10, 10, 20],
+        **{c: [1, 2, 3] for c in panes.TOTALS}})
+    out = pa.Table.from_batches(list(panes._combine_with_ticks([batch, batch]))).to_pylist()
+    assert sorted((r["interval_start_ms"], r["total_rating"]) for r in out if not r["tick"]) == [(0, 2), (0, 4), (10, 6)]
+    assert sorted((r["interval_start_ms"], r["driver_id"], r["total_rating"]) for r in out if r["tick"]) == \
+        [(0, None, 0), (10, None, 0)]
+
+
 def test_pane_deltas_drop_late_rows(spark):
     """W5 keeps allowed lateness 0: after the watermark passed [0, 10), a
     rating for 6 s is dropped; one for 95 s forms a pane of its own."""
