@@ -1,7 +1,7 @@
 """Command-line jobs (the reference's live job, history rebuild and tail tool).
 
     python -m fleetpulse live    --source DIR | --kafka HOSTS  --sink DIR | --sink-kafka HOSTS
-                                 --checkpoint DIR [--mode final|running|panes] [--interval 600]
+                                 --checkpoint DIR [--mode final|running|panes|firings] [--interval 600]
                                  [--trigger "1 minute"] [--topic rated=NAME ...]
     python -m fleetpulse history --lake ROOT [--out DIR] [--interval 600]
     python -m fleetpulse feed    --source DIR | --kafka HOSTS  --sink DIR --checkpoint DIR
@@ -70,6 +70,9 @@ def cmd_live(spark, a) -> int:
     elif a.mode == "running":   # W6: running totals per micro-batch
         q = runner.start_update(live.live_stats(src, params), a.sink, checkpoint,
                                 trigger=_trigger(a), state_partitions=a.state_partitions)
+    elif a.mode == "firings":   # W6: on-time and late firings of the watermark trigger
+        q = runner.start_append(live.live_firings(src, params, a.lateness, a.ahead), a.sink, checkpoint,
+                                trigger=_trigger(a), state_partitions=a.state_partitions)
     else:                       # W5: the reference's repeated, discarding panes
         q = runner.start_append(live.live_pane_deltas(src, params, a.pane_delay), a.sink,
                                 checkpoint, trigger={"processingTime": a.trigger},
@@ -127,9 +130,12 @@ def parser() -> argparse.ArgumentParser:
     live_p = sub.add_parser("live", help="J1 live job")
     common(live_p)
     streaming(live_p, kafka_sink=True)
-    live_p.add_argument("--mode", choices=["final", "running", "panes"], default="final")
+    live_p.add_argument("--mode", choices=["final", "running", "panes", "firings"], default="final")
     live_p.add_argument("--pane-delay", type=float, default=None,
                         help="panes: processing-time delay after a pane's first event (default: interval)")
+    live_p.add_argument("--lateness", type=int, default=0, help="firings: seconds that late events still count")
+    live_p.add_argument("--ahead", type=int, default=0,
+                        help="firings: seconds past its arrival that an event may move the watermark")
 
     hist_p = sub.add_parser("history", help="J3 rebuild from the JSON lake")
     common(hist_p)

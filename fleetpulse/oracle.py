@@ -223,6 +223,14 @@ SELECT (SELECT count(*) + count(*) FILTER (event_id % 40 = 0) + 1 FROM wide) AS
   (SELECT count(*) FROM es WHERE NOT (event_time >= source_ts - INTERVAL 20 SECOND)) AS dropped_for_skew,
   CAST(0 AS BIGINT) AS late_rows,
   (SELECT count(*) FROM (SELECT DISTINCT driver_id, {_start(600)} AS s FROM kept)) AS closed_windows
+"""),
+    "stream_firings": _with(f"SELECT *, 'on_time' AS firing FROM ({_stats('kept', 600)})"),
+    # The events dated ahead count in their own windows; all others count as if they were not there.
+    "stream_future_dated": _with(f"""
+, shifted AS (SELECT * REPLACE (CASE WHEN event_id % 50 = 7 THEN event_time + INTERVAL 1 DAY ELSE event_time END
+  AS event_time) FROM es),
+passed AS (SELECT * FROM shifted WHERE event_time >= source_ts - INTERVAL 20 SECOND)
+SELECT *, 'on_time' AS firing FROM ({_stats('passed', 600)})
 """),
     # A window is open until the watermark (20 s behind the latest kept event) reaches its end.
     "stream_open_windows": _with(f"""

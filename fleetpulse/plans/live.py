@@ -48,3 +48,14 @@ def live_pane_deltas(raw: DataFrame, params: StatsParams = StatsParams(),
     es = es.withWatermark("event_time", params.watermark)
     delay = params.interval_seconds if delay_seconds is None else delay_seconds
     return pane_deltas(es, params, delay, poll_seconds, slots or SLOTS)
+
+
+def live_firings(raw: DataFrame, params: StatsParams = StatsParams(), lateness_seconds: int = 0,
+                 ahead_seconds: int = 0, slots: int | None = None) -> DataFrame:
+    """Accumulating firings on the watermark trigger, under a watermark that
+    an event dated ahead cannot move (T2)."""
+    from ..streaming.firings import SLOTS, watermark_firings, watermarked
+
+    wide = decode_events(raw, params, observation=DECODE_METRICS, skip=UNUSED)
+    es = watermarked(event_stats(wide, params, observation=SKEW_METRICS), params, ahead_seconds)
+    return watermark_firings(es, params, lateness_seconds, slots or SLOTS)

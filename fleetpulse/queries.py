@@ -248,14 +248,15 @@ def _state_partitions(spark) -> int:
 RUN_ON = {"processingTime": "0 seconds"}
 
 
-def _replay(spark, sf_dir, base, start, marker: bool) -> None:
+def _replay(spark, sf_dir, base, start, marker: bool, encoded=None) -> None:
     """The encoded fixture (with corrupt payloads) through ``start(source)``: one
     query over a sliced log, one micro-batch per arrival slice."""
+    encoded = encoded_fixture(spark, sf_dir).drop("event_id") if encoded is None else encoded
     if not topic_source.openable(base):
-        _replay_by_runs(spark, sf_dir, base, start, marker)
+        _replay_by_runs(spark, encoded, base, start, marker)
         return
     log = f"{base}/topic-log"
-    topic_source.write_slices(encoded_fixture(spark, sf_dir).drop("event_id"), log, ARRIVAL_SLICE_SECONDS)
+    topic_source.write_slices(encoded, log, ARRIVAL_SLICE_SECONDS)
     if marker:
         topic_source.write_slices(runner.end_of_input(spark, P10M), log, ARRIVAL_SLICE_SECONDS)
     topic_source.close_log(log)
@@ -263,14 +264,13 @@ def _replay(spark, sf_dir, base, start, marker: bool) -> None:
     runner.remove_folder(spark, log)
 
 
-def _replay_by_runs(spark, sf_dir, base, start, marker: bool) -> None:
+def _replay_by_runs(spark, encoded, base, start, marker: bool) -> None:
     """The same where only Spark can open the store: one availableNow run per
     arrival slice from one checkpoint."""
     def run_once():
         return start(topics.read_topic_log(spark, f"{base}/topic-log", stream=True))
 
-    runner.backfill_by_slice(encoded_fixture(spark, sf_dir).drop("event_id"), f"{base}/topic-log",
-                             f"{base}/staging", ARRIVAL_SLICE_SECONDS, run_once,
+    runner.backfill_by_slice(encoded, f"{base}/topic-log", f"{base}/staging", ARRIVAL_SLICE_SECONDS, run_once,
                              end_marker=runner.end_of_input(spark, P10M) if marker else None)
     runner.remove_folder(spark, f"{base}/topic-log")
 
@@ -332,6 +332,36 @@ def stream_update_totals(spark, sf_dir):
     return for_check(runner.last_per_key(upd, ["driver_id", "interval_start", "interval_end"]))
 
 
+def _fired(spark, sf_dir, base, encoded=None):
+    """All firings of the watermark trigger over a replay, marker excluded."""
+    def start(src, trigger=None):
+        slots = _state_partitions(spark)
+        return runner.start_append(live.live_firings(src, P10M, slots=slots), f"{base}/firings",
+                                   f"{base}/checkpoint", trigger=trigger, state_partitions=slots)
+
+    _replay(spark, sf_dir, base, start, marker=True, encoded=encoded)
+    names = ("driver_id", "interval_start", "interval_end", "firing", "total_drop_offs", "total_driver_cancels",
+             "total_distance", "total_price", "total_tips", "avg_rating")
+    return for_check(spark.read.parquet(f"{base}/firings").select(*names))
+
+
+def stream_firings(spark, sf_dir):
+    """Every firing of the watermark trigger with its kind; without late events one per key, on time."""
+    return _fired(spark, sf_dir, run_dir(spark, "firings"))
+
+
+AHEAD_MOD, AHEAD_REST, AHEAD_DAYS = 50, 7, 1   # events whose clock runs ahead
+
+
+def stream_future_dated(spark, sf_dir):
+    """Every fiftieth event is dated a day ahead; no other event is late for it."""
+    ahead = f"event_id % {AHEAD_MOD} = {AHEAD_REST}"
+    wide = _wide(spark, sf_dir)
+    for c in ("rated_at", "tipped_at", "ended_at"):
+        wide = wide.withColumn(c, F.expr(f"IF({ahead}, {c} + INTERVAL {AHEAD_DAYS} DAYS, {c})"))
+    return _fired(spark, sf_dir, run_dir(spark, "future"), topics.encode_events(wide, P10M))
+
+
 def stream_open_windows(spark, sf_dir):
     """O2: windows the live job still holds open after the whole log, by its state store."""
     base = run_dir(spark, "open-windows")
@@ -452,6 +482,8 @@ QUERIES = {
     "stream_driver_stats": stream_driver_stats,
     "stream_metrics": stream_metrics,
     "stream_late_dropped": stream_late_dropped,
+    "stream_firings": stream_firings,
+    "stream_future_dated": stream_future_dated,
     "stream_open_windows": stream_open_windows,
     "stream_skew_dropped": stream_skew_dropped,
     "corrected_driver_stats": corrected_driver_stats,

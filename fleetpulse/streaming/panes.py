@@ -162,14 +162,15 @@ def _combine_with_ticks(batches):
                  *[zeros] * len(TOTALS), pc.equal(zeros, 0)], names=[*PANE_KEYS, *TOTALS, "tick"])
 
 
-def _pickle_by_value() -> None:
-    # The processor is also unpickled by a driver-side Python runner that does
-    # not see addPyFile; it only needs pyspark, so ship this module by value.
+def pickle_by_value(*modules: str) -> None:
+    # A processor is also unpickled by a driver-side Python runner that does
+    # not see addPyFile; it only needs pyspark, so ship its module by value.
     import sys
 
     from pyspark import cloudpickle
 
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    for m in modules:
+        cloudpickle.register_pickle_by_value(sys.modules[m])
 
 
 def pane_deltas(event_stats: DataFrame, params: StatsParams, delay_seconds: float,
@@ -183,7 +184,7 @@ def pane_deltas(event_stats: DataFrame, params: StatsParams, delay_seconds: floa
     how many keys a window's drivers are dealt to; it is fixed with the checkpoint."""
     poll = max(1.0, delay_seconds / 10) if poll_seconds is None else poll_seconds
     ship_package(event_stats.sparkSession)
-    _pickle_by_value()
+    pickle_by_value(__name__)
     w = tumbling(params.interval)
     keyed = event_stats.select(
         "driver_id",
