@@ -11,7 +11,7 @@ import pytest
 import brute
 from conftest import SF001
 from fleetpulse.llm import (budget_mix, bwt_repeats, line_crf, line_spread, lsh_forest, preference, queries,
-                            spaced_seeds, token_counts, toxic_segments)
+                            spaced_seeds, textops, token_counts, toxic_segments)
 from fleetpulse.llm.common import table
 
 SF01 = "/root/testdata/sf0.01"
@@ -309,6 +309,46 @@ def test_op6_edges(odd, none, spark):
     assert line_crf.quality(none, None).collect() == []
 
 
+def _line_hash(line):
+    import pyarrow as pa
+
+    for _, _, data, off in textops.blocks(pa.array([line])):
+        return line_crf.places(line_crf.Lines(data, off))[0]
+
+
+def test_op6_shared_lines_are_told_from_copied_ones(spark):
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(12))
+    footer, copied, rare = "Subscribe to our newsletter today", "One page that many sites copy", "Seen in few places"
+    texts = [f"{own(i)}\n{footer}\n{own(i + 1000)}" for i in range(20)]          # ever new surroundings
+    texts += [f"{own(-1)}\n\n{copied}\n{own(-2)}"] * 30                          # copies of one page
+    texts += [f"{own(5000 + i)}\n{rare}" for i in range(3)] + [None, "", footer]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    of = np.unique(np.concatenate([_line_hash(x) for x in (footer, copied, rare, own(3))]))
+    assert line_crf.shared_lines(docs, of).tolist() == _line_hash(footer).tolist()
+    assert line_crf.shared_lines(docs.where("false"), of).tolist() == []
+
+
+def test_op6_labels_lines_within_a_document(spark):
+    """Boilerplate in good documents is marked, the text around it stays content."""
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 5))
+    prose = lambda n: " ".join(word() for _ in range(n)) + "."
+    junk = lambda: "\n".join("#$ " * 6 + word().upper() + " !!" for _ in range(9))
+    footer = "Accept all cookies to continue"
+    good = [f"{prose(40)}\n{footer}\n{prose(30)}" for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(good + [junk() for _ in range(60)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 60)) for i, _ in rows], "doc_id long, quality int")
+    got = {r.doc_id: r for r in line_crf.quality(docs, line_crf.fit(docs, labels)).collect()}
+    assert all(got[i].content_words == 70 and got[i].kept for i in range(60))
+    assert all(got[i].content_words == 0 and not got[i].kept for i in range(60, 120))
+
+
+def test_op6_whole_table_has_documents_with_both_labels(spark):
+    got = queries.op6_line_crf(spark, SF01).collect()
+    assert sum(0 < r.content_words < r.n_words for r in got) >= 0.1 * len(got)
+
+
 def test_op6_long_texts_train_in_bounded_pieces():
     rows = lambda n: np.arange(n, dtype=np.float32)[:, None]
     assert line_crf.pieces(rows(0)) == []
