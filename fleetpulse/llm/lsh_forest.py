@@ -5,10 +5,20 @@ text of a class is compared.  Each class has ``TREES`` signatures of ``DEPTH``
 MinHash values, one per tree; a bucket is a node of a tree's sorted prefix
 trie, that is, the classes that share a signature prefix.
 
-Buckets are the nodes at the longest prefix that gives a pair exactly on the
-threshold a chance of ``recall`` to meet, so each link has at least this chance
-whatever the other rows are.  Every pair of a bucket is verified exactly, on
-the shingle sets.
+Prefixes are shortened in all trees together, by each class for itself.  A class
+starts with whole signatures and gives up one value at a time while the shorter
+prefix can bring a partner that it has not met.  Two bounds say who can be a
+partner: the sizes of the shingle sets, and the agreement over all
+``TREES * DEPTH`` values, too small for a link on the threshold with a chance
+below ``(1 - recall)**2``.  No prefix gets shorter than the floor, the longest one that
+gives a pair exactly on the threshold a chance of ``recall`` to meet.  So each
+link has at least this chance whatever the other rows are: they can keep a class
+in the descent, never end it.  ``prefix`` is the length a class came down to;
+``DEPTH`` where no shorter one could bring a partner.
+
+Signatures alone travel for this.  Texts are fetched for the classes with a
+possible partner only, and every pair of what is left of a bucket is verified
+exactly, on the shingle sets.
 
 No pair is emitted.  A bucket larger than ``BLOCK`` classes is dealt out as
 pairs of blocks, so no task holds more than two blocks, and verified links
@@ -26,13 +36,15 @@ its text, but names no class: linked rows without any doc_id have a null class.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops
-from .common import BINARY, LONG, Scratch, field, map_arrow, runs
+from .common import BINARY, INT, LONG, Scratch, field, map_arrow, runs
 from .components import components
 
 WIDTH = 5
@@ -79,6 +91,22 @@ def chance(s: float, depth: int, trees: int = TREES) -> float:
     return 1 - (1 - s**depth) ** trees
 
 
+def floor_depth(threshold: float, recall: float) -> int:
+    """Longest prefix at which a pair on the threshold still meets with chance ``recall``."""
+    return next((d for d in range(DEPTH, 0, -1) if chance(threshold, d) >= recall), 1)
+
+
+def least_agreement(threshold: float, recall: float, values: int = TREES * DEPTH) -> int:
+    """Most values that a pair on the threshold agrees in, but for a chance of ``(1 - recall)**2``."""
+    below, k = 0.0, 0
+    while k <= values:
+        below += math.comb(values, k) * threshold**k * (1 - threshold) ** (values - k)
+        if below > (1 - recall) ** 2:
+            break
+        k += 1
+    return k
+
+
 def signatures(df: DataFrame, width: int) -> DataFrame:
     """``df`` (doc_id, text) as doc_id, text key, n, digest d1 d2 of the shingle set, signature."""
 
@@ -140,6 +168,58 @@ def verify(keys: list[np.ndarray], bucket: int, mine: list[np.ndarray], block: n
     return link
 
 
+def descend(sig: np.ndarray, n: np.ndarray, block: np.ndarray, across: bool, threshold: float, floor: int,
+            least: int) -> np.ndarray:
+    """The prefix that each class of a bucket comes down to, 0 where no member can be its partner.
+
+    Row by row: the members that neither size nor agreement excludes, and the
+    longest prefix shared with each in any tree; the shortest of these is as far
+    as the class has to go.
+    """
+    m = len(sig)
+    reach = np.full(m, DEPTH + 1, np.int64)
+    step = max(1, (1 << 20) // (m * sig.shape[1]))
+    for lo in range(0, m, step):
+        at = np.arange(lo, min(m, lo + step))
+        same = sig[at, None, :] == sig[None, :, :]
+        may = same.sum(2, dtype=np.int32) >= least
+        may &= np.minimum(n[at, None], n) >= threshold * np.maximum(n[at, None], n) - 1e-4
+        may[np.arange(len(at)), at] = False
+        if across:
+            may &= block[at, None] != block
+        r, c = np.nonzero(may)
+        if not len(r):
+            continue
+        path = same[r, c].reshape(len(r), TREES, DEPTH)
+        shared = path[:, :, :floor].all(2)
+        depth = np.full(len(r), floor)
+        for k in range(floor, DEPTH):
+            shared &= path[:, :, k]
+            depth += shared.any(1)
+        np.minimum.at(reach, at[r], depth)
+    return np.where(reach > DEPTH, 0, reach)
+
+
+def _descended(dealt: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """bucket, rep, prefix of the classes with a possible partner in the bucket."""
+    floor, least = floor_depth(threshold, recall), least_agreement(threshold, recall)
+
+    def run(batches):
+        for t in runs(batches, 3):
+            if t.num_rows < 2:
+                continue
+            across = t["i"][0].as_py() != t["j"][0].as_py()
+            sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint16).reshape(t.num_rows, -1)
+            reach = descend(sig, t["n"].to_numpy(), t["block"].to_numpy(), across, threshold, floor, least)
+            hit = np.flatnonzero(reach)
+            if len(hit):
+                yield [t["bucket"].combine_chunks().take(pa.array(hit)), t["rep"].combine_chunks().take(pa.array(hit)),
+                       pa.array(reach[hit].astype(np.int32))]
+
+    rows = map_arrow(dealt, dealt.columns, [field("bucket", LONG), field("rep", LONG), field("prefix", INT)], run)
+    return rows.groupBy("bucket", "rep").agg(F.min("prefix").alias("prefix"))
+
+
 def _roots(link: np.ndarray) -> np.ndarray:
     """Least row index of each row's group of linked rows."""
     label = np.arange(len(link))
@@ -181,7 +261,8 @@ def _verified(groups: DataFrame, threshold: float, width: int) -> DataFrame:
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                     recall: float = RECALL, width: int = WIDTH) -> DataFrame:
     """doc_id, class_id (least doc_id linked to it by a chain of links), n_links
-    (other rows with similarity >= threshold), copies (rows with the same shingle set)."""
+    (other rows with similarity >= threshold), copies (rows with the same shingle set),
+    prefix (values of the prefix that its class came down to; null without words)."""
     return keyed(df, id_col, text_col, threshold, recall, width).drop("text_key")
 
 
@@ -189,9 +270,16 @@ def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresho
           recall: float = RECALL, width: int = WIDTH) -> DataFrame:
     """``near_duplicates`` plus ``text_key`` (``xxhash64`` of the text), which tells
     rows apart that have one doc_id but different texts."""
-    spark = df.sparkSession
-    scratch = Scratch(spark, "lsh-forest")
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    result = Scratch(df.sparkSession, "lsh-classes")
+    scratch = Scratch(df.sparkSession, "lsh-forest")
+    try:
+        return result.write(_joined(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")),
+                                    threshold, recall, width, scratch), "result")
+    finally:
+        scratch.drop()
+
+
+def _joined(docs: DataFrame, threshold: float, recall: float, width: int, scratch: Scratch) -> DataFrame:
     signed = scratch.write(signatures(docs, width), "signed")
     some = signed.where("n > 0")
     # A class is known by its least doc_id; one without any by its digest.
@@ -201,41 +289,44 @@ def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresho
             "d1", "d2", F.col("r.doc_id").alias("id"), F.coalesce("r.doc_id", F.xxhash64("d1", "d2")).alias("rep"),
             F.coalesce("r.tkey", "t").alias("tkey"), "weight"), "classes")
     forest = scratch.write(
-        some.select("d1", "d2", "tkey", "sig").dropDuplicates(["d1", "d2", "tkey"])
-        .join(classes, ["d1", "d2", "tkey"]).select("rep", "id", "tkey", "weight", "sig"), "forest")
+        some.select("d1", "d2", "tkey", "n", "sig").dropDuplicates(["d1", "d2", "tkey"])
+        .join(classes, ["d1", "d2", "tkey"]).select("rep", "id", "tkey", "weight", "n", "sig"), "forest")
 
-    depth = next((d for d in range(DEPTH, 0, -1) if chance(threshold, d) >= recall), 1)
-    members = _members(forest, depth)
+    floor = floor_depth(threshold, recall)
+    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
+    nodes = (forest.select("rep", "sig", tree.alias("tree"))
+             .select("rep", F.xxhash64(F.lit(floor), "tree", F.substring(
+                 "sig", F.col("tree") * (2 * DEPTH) + 1, F.lit(2 * floor))).alias("bucket")))
+    met = _members(nodes).join(forest.select("rep", "n", "sig"), "rep")
+    near = scratch.write(_descended(_dealt(met, "n", "sig"), threshold, recall), "near")
+    members = scratch.write(_members(near.select("rep", "bucket")), "members")
     texts = scratch.write(_texts(docs, members, forest), "texts")
     lists = scratch.write(members.groupBy("rep").agg(F.collect_list(F.struct("bucket", "size")).alias("mine")), "lists")
-    verified = scratch.write(_verified(_groups(lists, texts), threshold, width), "links")
+    pairs = (lists.join(texts, "rep").select("rep", "weight", "text", F.col("mine.bucket").alias("mine"), F.explode("mine"))
+             .select("*", "col.bucket", "col.size"))
+    verified = scratch.write(_verified(_dealt(pairs, "weight", "text", "mine"), threshold, width), "links")
 
     links = verified.groupBy("rep").agg(F.sum("links").alias("links"))
     root = components(verified.select(F.col("rep").alias("u"), F.col("root").alias("v")), scratch)
     ids = classes.select(F.col("id").alias("node")).where("id IS NOT NULL")
     names = root.join(ids, "node", "left_semi").groupBy("root").agg(F.min("node").alias("name"))
     root = root.join(names, "root", "left").select(F.col("node").alias("rep"), "name", F.lit(True).alias("linked"))
-    groups = (classes.join(links, "rep", "left").join(root, "rep", "left")
+    reach = near.groupBy("rep").agg(F.min("prefix").alias("prefix"))
+    groups = (classes.join(links, "rep", "left").join(root, "rep", "left").join(reach, "rep", "left")
               .select("d1", "d2", F.when(F.col("linked"), F.col("name")).otherwise(F.col("id")).alias("class_id"),
                       (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-                      F.col("weight").alias("copies")))
+                      F.col("weight").alias("copies"), F.coalesce("prefix", F.lit(DEPTH)).alias("prefix")))
     out = some.select("doc_id", F.col("tkey").alias("text_key"), "d1", "d2").join(groups, ["d1", "d2"]).drop("d1", "d2")
     alone = signed.where("n = 0").select(
         "doc_id", F.col("tkey").alias("text_key"), F.col("doc_id").alias("class_id"),
-        F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("copies"))
-    result = scratch.write(out.unionByName(alone), "result")
-    for name in ("signed", "forest", "texts"):
-        scratch.drop(name)
-    return result
+        F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("copies"),
+        F.lit(None).cast("int").alias("prefix"))
+    return out.unionByName(alone)
 
 
-def _members(forest: DataFrame, depth: int) -> DataFrame:
-    """(bucket, rep, size) of the trie nodes of ``depth`` with several classes, one
-    node per distinct set of members, which an order-free fingerprint tells."""
-    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
-    rows = (forest.select("rep", "sig", tree.alias("tree"))
-            .select("rep", F.xxhash64(F.lit(depth), "tree", F.substring(
-                "sig", F.col("tree") * (2 * DEPTH) + 1, F.lit(2 * depth))).alias("bucket")))
+def _members(rows: DataFrame) -> DataFrame:
+    """(bucket, rep, size) of the buckets with several classes among ``rows`` (rep, bucket),
+    one bucket per distinct set of members, which an order-free fingerprint tells."""
     nodes = (rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"),
                                         F.bit_xor(F.xxhash64("rep")).alias("f1"),
                                         F.bit_xor(F.xxhash64(F.lit(2), "rep")).alias("f2"))
@@ -244,20 +335,18 @@ def _members(forest: DataFrame, depth: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, members: DataFrame, forest: DataFrame) -> DataFrame:
-    """rep, weight, text of the classes that share a bucket at the shortest prefix."""
+    """rep, weight, text of the classes with a possible partner."""
     wanted = forest.select("rep", "id", "tkey", "weight").join(members.select("rep").distinct(), "rep", "left_semi")
     rows = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
     return (rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["id"]) & (rows["key"] == wanted["tkey"]))
             .dropDuplicates(["rep", "tkey"]).select("rep", "weight", "text"))
 
 
-def _groups(lists: DataFrame, texts: DataFrame) -> DataFrame:
-    """Classes with their texts, dealt to (bucket, block i, block j), sorted."""
-    rows = lists.join(texts, "rep")
-    rows = rows.select("rep", "weight", "text", F.col("mine.bucket").alias("mine"), F.explode("mine").alias("m"))
-    n = F.ceil(F.col("m.size") / BLOCK).cast("int")
-    rows = rows.select("*", F.pmod(F.xxhash64(F.lit(3), "rep"), n).cast("int").alias("block"), n.alias("n"))
-    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("o"))
-    return (rows.select(F.col("m.bucket").alias("bucket"), F.least("block", "o").alias("i"),
-                        F.greatest("block", "o").alias("j"), "rep", "weight", "block", "text", "mine")
+def _dealt(members: DataFrame, *columns: str) -> DataFrame:
+    """Classes with ``columns``, dealt to (bucket, block i, block j), sorted."""
+    n = F.ceil(F.col("size") / BLOCK).cast("int")
+    rows = members.select("*", F.pmod(F.xxhash64(F.lit(3), "rep"), n).cast("int").alias("block"), n.alias("blocks"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
+    return (rows.select("bucket", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "rep",
+                        "block", *columns)
             .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"))

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import os
 import re
 
@@ -114,6 +115,57 @@ def test_op1_edges(odd, none):
     assert lsh_forest.near_duplicates(none).collect() == []
 
 
+def test_op1_recall_per_similarity_and_prefixes_reached(spark):
+    """100 pairs per similarity bin: all links are found, nearer pairs keep longer prefixes."""
+    rng = np.random.default_rng(21)
+    rows, bins = [], {}
+    for i in range(500):
+        share = (0.80, 0.82, 0.85, 0.92, 0.98)[i % 5]
+        w = [f"p{i}x{x}" for x in rng.integers(0, 10**9, 204)]
+        rows += [(2 * i, " ".join(w[:4 + math.ceil(200 * share)])), (2 * i + 1, " ".join(w))]
+        bins.setdefault(share, []).append(2 * i)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in lsh_forest.near_duplicates(df).collect()}
+    for pairs in bins.values():
+        assert sum(got[i].n_links == got[i + 1].n_links == 1 and got[i + 1].class_id == i for i in pairs) >= 99
+        assert all(got[i].prefix == got[i + 1].prefix for i in pairs)
+    mean = [np.mean([got[i].prefix for i in bins[share]]) for share in sorted(bins)]
+    assert mean == sorted(mean) and mean[0] < mean[-1] == lsh_forest.DEPTH
+    alone = lsh_forest.near_duplicates(df.where("doc_id % 2 = 0").unionAll(df.where("doc_id % 2 = 0"))).collect()
+    assert {(r.prefix, r.n_links, r.copies) for r in alone} == {(lsh_forest.DEPTH, 1, 2)}
+
+
+def test_op1_descent_equals_brute_force():
+    rng = np.random.default_rng(3)
+    values, floor, least = lsh_forest.TREES * lsh_forest.DEPTH, 5, 120
+    base = rng.integers(0, 9, (6, values)).astype(np.uint16)
+    sig = base[rng.integers(0, 6, 90)]
+    for i, row in enumerate(sig):
+        at = rng.choice(values, i, replace=False)
+        row[at] = rng.integers(0, 9, i)
+    n, block = rng.integers(80, 120, 90), rng.integers(0, 2, 90)
+    for across in (False, True):
+        want = []
+        for a in range(90):
+            best = 0
+            for b in range(90):
+                same = sig[a] == sig[b]
+                if a == b or (across and block[a] == block[b]) or same.sum() < least or (
+                        min(n[a], n[b]) < 0.8 * max(n[a], n[b])):
+                    continue
+                lead = max(np.append(np.flatnonzero(~x), 8)[0] for x in same.reshape(-1, 8))
+                best = min(best or 9, max(lead, floor))
+            want.append(best)
+        assert lsh_forest.descend(sig, n, block, across, 0.8, floor, least).tolist() == want
+        assert 0 in want and len(set(want)) > 2
+
+
+def test_op1_bounds():
+    least = lsh_forest.least_agreement(0.8, lsh_forest.RECALL)
+    below = np.random.default_rng(2).binomial(192, 0.8, 10**6) < least
+    assert 110 < least < 130 and below.sum() <= 2 and lsh_forest.floor_depth(0.8, lsh_forest.RECALL) == 5
+
+
 def test_chance_and_floor():
     assert lsh_forest.chance(1.0, 8) == 1 and lsh_forest.chance(0.8, 5) > lsh_forest.RECALL
 
