@@ -12,7 +12,9 @@ another the longest is reported.
 
 Seeds of the benchmark are broadcast only while their counted number is at
 most ``max_broadcast_seeds`` (24 bytes each); beyond it both sides meet in a
-shuffled join on the hash, with the same verification.
+shuffled join on the hash, with the same verification.  There a bitmap of
+``2**FILTER_BITS`` bits marks the benchmark's seeds, and only the seeds of the
+documents that it lets pass are shuffled.
 
 Defined cases: null or empty text has no words and is clean; items with fewer
 than ``MIN_ITEM`` words are ignored; an item shorter than ``MIN_OVERLAP`` is
@@ -43,6 +45,8 @@ MIN_ITEM = 5
 MIN_OVERLAP = 13
 MIN_IDENTITY = 0.8
 MAX_BROADCAST_SEEDS = 2_000_000
+#: The bitmap's size is fixed: 8 MB, with at most one row per 64 bits sent to the driver.
+FILTER_BITS = 26
 
 #: Letters, digits and all non-ASCII bytes make words.
 SEPARATOR = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -217,6 +221,21 @@ def mark(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col:
     return append_arrow(df, text_col, FIELDS, fn)
 
 
+def _seed_filter(seeds: DataFrame) -> np.ndarray:
+    """Bitmap of the low ``FILTER_BITS`` bits of the seeds, 64 to a word, or-ed per word before the shuffle."""
+    slot = seeds.select(F.col("seed").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).alias("slot"))
+    words = (slot.groupBy(F.expr("slot div 64").alias("at"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot % 64 AS INT))")).alias("bits")).toArrow())
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out[words["at"].to_numpy()] = words["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def _passes(bitmap: np.ndarray, got: np.ndarray) -> np.ndarray:
+    slot = got & np.uint64((1 << FILTER_BITS) - 1)
+    return (bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
 def _mark_shuffled(df: DataFrame, items: DataFrame, text_col: str, min_overlap: int,
                    min_identity: float) -> DataFrame:
     """The same for a benchmark of any size: seeds meet in a shuffled join.
@@ -232,8 +251,8 @@ def _mark_shuffled(df: DataFrame, items: DataFrame, text_col: str, min_overlap:
             [pa.array([len(w) for w in item_words(b.column(0).to_pylist())], pa.int32())] for b in bs))
         .where(f"n >= {MIN_ITEM} AND n < {MIN_OVERLAP}").distinct().collect())  # at most MIN_OVERLAP - MIN_ITEM rows
 
-    def emit(batches, make):
-        """The ids, seed hash, first word."""
+    def emit(batches, make, bitmap=None):
+        """The ids, seed hash, first word of the seeds that the bitmap lets pass."""
         for b in batches:
             ids = b.columns[:-1]
             for i, _, data, off in textops.blocks(b.column(len(ids)), lower=True):
@@ -242,6 +261,9 @@ def _mark_shuffled(df: DataFrame, items: DataFrame, text_col: str, min_overlap:
                 row = textops.rows_of(counts)
                 place = np.arange(len(h)) - np.repeat(np.cumsum(counts) - counts, counts)
                 for got, at, *_ in make(h, counts, short):
+                    if bitmap is not None:
+                        live = _passes(bitmap.value, got)
+                        got, at = got[live], at[live]
                     take = pa.array(i + row[at])
                     yield [*[c.take(take) for c in ids], pa.array(got.view(np.int64)), pa.array(place[at])]
 
@@ -253,10 +275,11 @@ def _mark_shuffled(df: DataFrame, items: DataFrame, text_col: str, min_overlap:
             at, first, n = (pa.array([g[k] for g in got], pa.int64()) for k in range(3))
             yield [*[b.column(k).take(at) for k in (0, 1, 3)], first, n]
 
-    left = map_arrow(texts, ["k1", "k2", "text"], [field("k1", LONG), field("k2", LONG), field("seed", LONG),
-                                                   field("p", LONG)], lambda bs: emit(bs, seeds))
     right = map_arrow(items, ["item", "digest", "text"], [field("item", LONG), field("digest", LONG), field("seed", LONG),
                                                 field("q", LONG)], lambda bs: emit(bs, item_seeds))
+    bitmap = df.sparkSession.sparkContext.broadcast(_seed_filter(right))
+    left = map_arrow(texts, ["k1", "k2", "text"], [field("k1", LONG), field("k2", LONG), field("seed", LONG),
+                                                   field("p", LONG)], lambda bs: emit(bs, seeds, bitmap))
     pairs = (left.join(right, "seed").select("k1", "k2", "item", "digest", (F.col("p") - F.col("q")).alias("diagonal"))
              .distinct())
     one = texts.dropDuplicates(["k1", "k2"])

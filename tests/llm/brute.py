@@ -64,3 +64,34 @@ def near_duplicates(rows, threshold=0.8):
                     root[j] = i
                     todo.append(j)
     return {i: (root[i], len(links[i])) for i in sets}
+
+
+def overlaps(docs, items, least=13):
+    """doc_id -> (item ids, best item, its overlap, covered words), every diagonal of every pair walked."""
+    def split(text):
+        return re.findall(r"(?:[a-z0-9]|[^\x00-\x7f])+", (text or "").lower())
+
+    benchmark = [(i, w) for i, t in items if len(w := split(t)) >= 5]
+    out = {}
+    for doc, text in docs:
+        d = split(text)
+        where, best, covered = {}, {}, set()
+        for p, x in enumerate(d):
+            where.setdefault(x, []).append(p)
+        for item, w in benchmark:
+            for g in {p - q for q, x in enumerate(w) for p in where.get(x, ())}:
+                lo, hi = max(0, g), min(len(d), g + len(w))
+                same = [d[p] == w[p - g] for p in range(lo, hi)]
+                if 5 * sum(same) < 4 * min(least, len(w)):
+                    continue
+                if len(same) == len(w) and 5 * sum(same) >= 4 * len(w):
+                    good = [(0, len(w))]
+                else:
+                    good = [(a, b) for a in range(len(same)) for b in range(a + min(least, len(w)), len(same) + 1)
+                            if same[a] and same[b - 1] and 5 * sum(same[a:b]) >= 4 * (b - a)]
+                for a, b in good:
+                    best[item] = max(best.get(item, 0), b - a)
+                    covered.update(range(lo + a, lo + b))
+        top = min(best, key=lambda i: (-best[i], i)) if best else None
+        out[doc] = (sorted(best), top, best.get(top, 0), len(covered))
+    return out

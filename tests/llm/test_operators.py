@@ -481,6 +481,35 @@ def test_op8_finds_every_planted_passage(spark):
     assert want and want <= got
 
 
+@pytest.mark.parametrize("limit", [spaced_seeds.MAX_BROADCAST_SEEDS, 0])
+def test_op8_equals_brute_force_on_a_table(spark, limit):
+    """All columns of the result, by a walk along every diagonal; planted weak copies beside the table's own."""
+    items = [(r.item_id, r.text) for r in table(spark, SF001, "benchmark").collect()]
+    docs = [(r.doc_id, r.text) for r in table(spark, SF001, "documents").collect()]
+    rng = np.random.default_rng(9)
+    for k in range(60):
+        w = items[k % len(items)][1].split(" ")
+        gone = rng.random(len(w)) < (0.1, 0.2, 0.25)[k % 3]
+        docs.append((10**6 + k, " ".join(["before", *("x" if g else x for x, g in zip(w, gone, strict=True)), "after"])))
+    want = brute.overlaps(docs, items)
+    assert len({w[0][0] for w in want.values() if w[0]}) > 5
+    got = spaced_seeds.mark(spark.createDataFrame(docs, "doc_id long, text string"),
+                            table(spark, SF001, "benchmark"), max_broadcast_seeds=limit).collect()
+    assert {r.doc_id: (r["items"], r.best_item, r.best_overlap, r.covered_words) for r in got} == want
+    assert all(r.contaminated == bool(r["items"]) for r in got)
+    if limit:
+        rows = queries.op8_spaced_seeds(spark, SF001).collect()
+        assert all((r["items"], r.best_item, r.best_overlap, r.covered_words) == want[r.doc_id] for r in rows)
+
+
+def test_op8_filter_loses_no_seed():
+    got = np.random.default_rng(1).integers(0, 2**64, 5000, dtype=np.uint64)
+    bitmap = np.zeros(1 << (spaced_seeds.FILTER_BITS - 6), np.uint64)
+    slot = got[:2500] & np.uint64((1 << spaced_seeds.FILTER_BITS) - 1)
+    np.bitwise_or.at(bitmap, slot >> np.uint64(6), np.uint64(1) << (slot & np.uint64(63)))
+    assert spaced_seeds._passes(bitmap, got[:2500]).all() and spaced_seeds._passes(bitmap, got[2500:]).sum() < 10
+
+
 def test_op8_runs_equal_brute_force():
     rng = np.random.default_rng(6)
     for _ in range(300):
