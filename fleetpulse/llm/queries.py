@@ -24,7 +24,7 @@ def op2_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC records and read back by the salvage reader."""
     scratch = Scratch(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), scratch.path("archives"))
-    records = warc.read(spark, scratch.path("archives"), payloads=False).where("gap IS NULL")
+    records = warc.whole(warc.read(spark, scratch.path("archives"), payloads=False))
     return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                           "refers_to")
 

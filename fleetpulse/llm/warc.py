@@ -10,7 +10,9 @@ Reading.  Every record is checked: the gzip member ends well, the version
 line, headers and Content-Length hold, the block is followed by two line
 ends, the payload has its digest.  After a failed check the reader searches
 for the next byte position that opens a valid gzip member or version line,
-goes on there, and reports the bytes between as a quarantined gap.
+goes on there, and reports the bytes between as a quarantined gap.  ``whole``
+makes a gap an error, for archives that must have none.  An archive is read by
+one task, without a copy of its bytes in Python; Spark's binary source refuses files of 2 GB or more.
 
 Defined cases: null html is an empty payload; equal empty payloads are
 duplicates like others (``min_bytes`` 0); rows with equal id and payload are
@@ -38,6 +40,7 @@ EPOCH = "1970-01-01T00:00:00Z"  # archives of the same pages are the same bytes
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _OPEN = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 _HEAD_END = re.compile(rb"\r\n\r\n|\r\nWARC/1\.[01]\r\n")  # a blank line, or the next record without one
+_MORE = re.compile(rb"[^\r\n\0]")
 _STEP = 1 << 16
 
 
@@ -165,28 +168,30 @@ def _record(head: dict, block: bytes) -> dict:
             "payload": payload if kind != "revisit" else None}
 
 
-def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, str | None]]:
+def salvage(data) -> Iterator[tuple[int, int, dict | None, str | None]]:
     """(start, end, record, None) of each good record, (start, end, None, reason)
-    of each gap, in order; together they cover the archive, trailing line ends
-    aside."""
-    view, at, n = memoryview(data), 0, len(data)
+    of each gap, in order; together they cover the archive (any bytes-like object),
+    trailing line ends aside."""
+    if not len(data):
+        return
+    view, at, n = memoryview(data).cast("B"), 0, len(data)  # Arrow buffers have signed items
     bad_from, reason = None, None
     while at < n:
-        if not data[at:at + 64].strip(b"\r\n\0") and not data[at:].strip(b"\r\n\0"):
+        if not _MORE.search(view, at):
             break
         try:
-            if data[at:at + 3] == b"\x1f\x8b\x08":
+            if view[at:at + 3] == b"\x1f\x8b\x08":
                 content, end = _member(view, at)
                 head, block, inner = _parse(content, 0)
                 if inner != len(content):
                     raise ValueError("bytes after the record in its member")
             else:
-                head, block, end = _parse(data, at)
+                head, block, end = _parse(view, at)
             found = _record(head, block)
         except (ValueError, zlib.error) as e:
             if bad_from is None:
                 bad_from, reason = at, str(e)
-            nxt = _OPEN.search(data, at + 1)
+            nxt = _OPEN.search(view, at + 1)
             at = nxt.start() if nxt else n
             continue
         if bad_from is not None:
@@ -217,7 +222,7 @@ def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
                     return out
 
                 held = 0
-                for start, end, r, gap in salvage(data.as_py()):
+                for start, end, r, gap in salvage(data.as_buffer()):
                     r = r or {}
                     body = r.get("payload") if payloads else None
                     rows.append((start, end, r.get("id"), r.get("type"), r.get("refers_to"), r.get("url"),
@@ -236,6 +241,12 @@ def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
         field("gap", STRING)], run)
 
 
+def whole(records: DataFrame) -> DataFrame:
+    """The rows of archives that must be readable throughout: a gap fails the job, with its place and reason."""
+    return records.where("""CASE WHEN gap IS NULL THEN true ELSE CAST(raise_error(concat(
+        'unreadable bytes ', start, ' to ', end, ' of ', archive, ': ', gap)) AS BOOLEAN) END""")
+
+
 def gaps(records: DataFrame) -> DataFrame:
     """The quarantine log: byte ranges that held no valid record, and why."""
     return records.where("gap IS NOT NULL").select("archive", "start", "end", F.col("gap").alias("reason"))

@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 
+import pyarrow as pa
 import pytest
 
 from conftest import SF001
@@ -63,6 +64,32 @@ def test_headers_may_have_any_length(compress):
         assert [(r and r["id"], why) for _, _, r, why in got] == [(None, "headers do not end"), (2, None)]
 
 
+def test_a_gap_is_logged_or_fails_the_job(spark):
+    table(spark, SF001, "pages")
+    folder = Scratch(spark, "test-warc").path("damaged")
+    records = parts(False)
+    data = b"".join(records[:2]) + b"junk" + b"".join(records[2:])
+    spark.createDataFrame([(data,)], "value binary").selectExpr(
+        "CAST(value AS STRING) AS value").write.text(folder)
+    read = warc.read(spark, folder)
+    assert sorted(r.id for r in read.where("gap IS NULL").collect()) == list(range(6))
+    at = len(b"".join(records[:2]))
+    assert [(r.start, r.end, r.reason) for r in warc.gaps(read).collect()] == [(at, at + 4, "no version line")]
+    for run in (lambda d: d.count(), lambda d: d.select("id").collect()):
+        with pytest.raises(Exception, match=f"unreadable bytes {at} to {at + 4} of .*no version line"):
+            run(warc.whole(read))
+
+
+def test_zero_bytes_between_and_behind_records():
+    records = parts(True)
+    data = records[0] + b"\0" * 500 + records[1] + b"\0" * 10**6
+    got = list(warc.salvage(memoryview(data)))
+    assert [r["id"] for _, _, r, _ in got if r] == [0, 1]
+    assert [(a, b) for a, b, r, _ in got if not r] == [(len(records[0]), len(records[0]) + 500)]
+    assert list(warc.salvage(pa.py_buffer(data))) == got
+    assert list(warc.salvage(b"")) == list(warc.salvage(pa.py_buffer(b""))) == []
+
+
 def test_members_are_plain_gzip():
     assert b"WARC-Type: response" in gzip.decompress(b"".join(parts(True)))
 
