@@ -42,6 +42,8 @@ CLOSED = "_closed"
 EPOCHS = "_epochs"
 #: Rows of an Arrow batch handed to Spark, and of a file's row group.
 BATCH_ROWS = 10_000
+#: Bytes of a column that a reader asks the store for at a time.
+READ_BUFFER = 1 << 20
 
 
 def filesystem(path: str):
@@ -146,8 +148,10 @@ class SliceReader(DataSourceStreamReader):
         path, (first, end) = partition.value
         at, file = filesystem(path)
         with at.open_input_file(file) as f:
-            parquet = pq.ParquetFile(f, coerce_int96_timestamp_unit="us")
-            for b in parquet.iter_batches(BATCH_ROWS, row_groups=range(first, end), columns=schema.names):
+            # Pages come through a buffer: a reader holds pages and one batch, not whole row groups.
+            parquet = pq.ParquetFile(f, coerce_int96_timestamp_unit="us", buffer_size=READ_BUFFER)
+            for b in parquet.iter_batches(BATCH_ROWS, row_groups=range(first, end), columns=schema.names,
+                                          use_threads=False):
                 yield pa.RecordBatch.from_arrays([_as(b.column(c.name), c.type) for c in schema], schema=schema)
 
 

@@ -143,3 +143,21 @@ def test_a_batch_that_is_run_again_leaves_each_payload_once(spark, lost):
             os.remove(f"{offsets}/.{n}.crc")
     run()
     assert payloads(spark, f"{base}/out") == want
+
+
+def test_a_reader_holds_pages_not_whole_row_groups(tmp_path):
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from fleetpulse.sources import topic_source
+
+    n = 200_000     # one row group of 40 MB
+    table = pa.table({"value": pa.array([os.urandom(200) for _ in range(n)], pa.binary()), "topic": ["t"] * n,
+                      "timestamp": pa.array([0] * n, pa.timestamp("us", "UTC"))})
+    pq.write_table(table, tmp_path / "a.parquet", row_group_size=n, use_dictionary=False)
+    reader, rows, before, most = topic_source.SliceReader(str(tmp_path), "", 1), 0, pa.total_allocated_bytes(), 0
+    for b in reader.read(topic_source.SliceFile(str(tmp_path / "a.parquet"), (0, 1))):
+        rows += b.num_rows
+        most = max(most, pa.total_allocated_bytes() - before)
+    assert rows == n and most < 12 << 20
