@@ -6,8 +6,8 @@ first, then one firing per arrival of late events while the allowed lateness
 (zero there) lasts.
 
 Here that is an event-time ``transformWithState`` processor.  A window's drivers
-are dealt to ``slots`` keys (window, slot), each with a map of its drivers'
-running totals.  The first row of a slot registers an event-time timer at the
+are dealt to ``slots`` keys (window, slot), each with its drivers' running totals, packed
+as in ``panes``.  The first row of a slot registers an event-time timer at the
 window's end; it emits every driver ``on_time``.  Rows that come later are added to
 the totals, and the changed drivers are emitted again as ``late``.  A second
 timer, at window end + lateness, drops the slot's state.
@@ -34,21 +34,20 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from ..config import StatsParams, ship_package
-from ..operators.aggregate import average_rating, tumbling
+from ..operators.aggregate import average_rating
 from ..schemas import TOTALS
+from .panes import (PART, SLOT_KEYS, added, held_parts, keep, pack, packed_slots, pickle_by_value,
+                    unpack_drivers)
 
 #: Slots per window: the most tasks one window's drivers are spread over.
 SLOTS = 32
 
-STAGE = T.StructType([T.StructField("fired", T.BooleanType())])
-DRIVER = T.StructType([T.StructField("driver_id", T.StringType())])
-SUMS = T.StructType([T.StructField(c, T.LongType()) for c in TOTALS])
+STAGE = T.StructType([T.StructField("fired", T.BooleanType()), T.StructField("parts", T.LongType())])
 OUT = T.StructType(
-    [T.StructField("driver_id", T.StringType()),
-     T.StructField("interval_start_ms", T.LongType()),
+    [T.StructField("interval_start_ms", T.LongType()),
      T.StructField("interval_end_ms", T.LongType()),
-     T.StructField("firing", T.StringType())]
-    + [T.StructField(c, T.LongType()) for c in TOTALS])
+     T.StructField("firing", T.StringType()),
+     T.StructField("drivers", T.BinaryType())])
 
 
 class WatermarkFirings(StatefulProcessor):
@@ -60,7 +59,7 @@ class WatermarkFirings(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.stage = handle.getValueState("stage", STAGE)
-        self.drivers = handle.getMapState("drivers", DRIVER, SUMS)
+        self.drivers = handle.getListState("drivers", PART)
 
     def handleInputRows(self, key, rows, timerValues):
         end, watermark = key[1], timerValues.getCurrentWatermarkInMs()
@@ -69,29 +68,32 @@ class WatermarkFirings(StatefulProcessor):
                 pass
             return iter([])
         stage = self.stage.get()
+        # A slot that opens after its window's end has no on-time firing.
+        fired, held = stage or (end <= watermark, 0)
         if stage is None:
-            # A slot that opens after its window's end has no on-time firing.
-            stage = (end <= watermark,)
-            self.stage.update(stage)
-            self.handle.registerTimer(end + self.lateness_ms if stage[0] else end)
-        new = {}
-        for r in rows:
-            sums = new.setdefault(r["driver_id"], [0] * len(TOTALS))
-            for i, c in enumerate(TOTALS):
-                sums[i] += r[c]
-        for driver, sums in new.items():
-            held = self.drivers.getValue((driver,))
-            new[driver] = tuple(sums) if held is None else tuple(map(sum, zip(held, sums)))
-            self.drivers.updateValue((driver,), new[driver])
-        return iter([self._row(key, d, s, "late") for d, s in new.items()] if stage[0] else [])
+            self.handle.registerTimer(end + self.lateness_ms if fired else end)
+        new = [r["drivers"] for r in rows]
+        if not fired:
+            self.stage.update((False, keep(self.drivers, held, new)))
+            return iter([])
+        import pyarrow.compute as pc
+
+        changed, total = added(new)["driver_id"], added([*held_parts(self.drivers, held), *new])
+        self.drivers.put([(pack(total),)])
+        self.stage.update((True, 1))
+        late = total.filter(pc.is_in(total["driver_id"], value_set=changed))
+        return iter([self._row(key, pack(late), "late")])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        fired, out = self.stage.get()[0], []
+        fired, held = self.stage.get()
+        out = []
         if not fired:
             # One slot's share of a window's drivers.
-            out = [self._row(key, d[0], s, "on_time") for d, s in self.drivers.iterator()]
+            total = pack(added(held_parts(self.drivers, held)))
+            out = [self._row(key, total, "on_time")]
         if not fired and self.lateness_ms:
-            self.stage.update((True,))
+            self.drivers.put([(total,)])
+            self.stage.update((True, 1))
             self.handle.registerTimer(key[1] + self.lateness_ms)
         else:
             self.drivers.clear()
@@ -99,9 +101,8 @@ class WatermarkFirings(StatefulProcessor):
         return iter(out)
 
     @staticmethod
-    def _row(key, driver, sums, firing):
-        return Row(driver_id=driver, interval_start_ms=key[0], interval_end_ms=key[1], firing=firing,
-                   **dict(zip(TOTALS, sums)))
+    def _row(key, drivers, firing):
+        return Row(interval_start_ms=key[0], interval_end_ms=key[1], firing=firing, drivers=drivers)
 
     def close(self) -> None:
         pass
@@ -118,20 +119,11 @@ def watermark_firings(event_stats: DataFrame, params: StatsParams, lateness_seco
                       slots: int = SLOTS) -> DataFrame:
     """driver_id, interval, ``firing`` (on_time or late), the running totals and the average
     rating, of a stream with a watermark.  ``slots`` is fixed with the checkpoint."""
-    from .panes import PANE_KEYS, _combine_batches, pickle_by_value
-
     ship_package(event_stats.sparkSession)
-    pickle_by_value(__name__)
-    w = tumbling(params.interval)
-    keyed = event_stats.select(
-        "driver_id",
-        F.unix_millis(w.start).alias("interval_start_ms"),
-        F.unix_millis(w.end).alias("interval_end_ms"),
-        *TOTALS)
-    combined = keyed.mapInArrow(_combine_batches, keyed.schema)
-    slot = F.expr(f"cast(pmod(xxhash64(driver_id), {int(slots)}) AS int)")
-    out = combined.withColumn("slot", slot).groupBy(*PANE_KEYS[1:], "slot").transformWithState(
-        WatermarkFirings(int(lateness_seconds) * 1000), OUT, "Append", "EventTime")
+    pickle_by_value(__name__, pack.__module__)
+    packed = packed_slots(event_stats, params.interval, slots)
+    out = unpack_drivers(packed.groupBy(*SLOT_KEYS[1:]).transformWithState(
+        WatermarkFirings(int(lateness_seconds) * 1000), OUT, "Append", "EventTime"))
     return out.select(
         "driver_id",
         F.timestamp_millis("interval_start_ms").alias("interval_start"),

@@ -417,3 +417,69 @@ def test_open_windows_come_from_the_state_of_the_job(spark):
         got = sorted((r.interval_start.timestamp() - at(0).timestamp(), r.drivers, r.watermark.timestamp() - at(0).timestamp())
                      for r in runner.open_windows(spark, f"{base}/ckpt").collect())
         assert got == ([(0, 2, -8), (10, 1, -8)] if rows is None else [(10, 1, 11), (30, 1, 11)])
+
+
+class _State:
+    """A state variable that counts its calls."""
+    def __init__(self, calls):
+        self.calls, self.value = calls, None
+
+    def get(self):
+        self.calls.append("get")
+        return iter(self.value or []) if isinstance(self.value, list) else self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    put = update
+
+    def appendValue(self, value):
+        self.calls.append("append")
+        self.value = [*(self.value or []), value]
+
+    def clear(self):
+        self.value = None
+
+
+def test_state_calls_count_slots_and_batches_not_drivers():
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    from fleetpulse.streaming.firings import WatermarkFirings
+
+    def part(drivers):
+        return panes.pack(pa.table({"driver_id": pa.array(drivers, pa.string()),
+                                    **{c: pa.array(range(len(drivers)), pa.int64()) for c in panes.TOTALS}}))
+
+    many, calls = [None, "é", ""] + [f"d{i}" for i in range(3000)], []
+    handle = SimpleNamespace(getValueState=lambda *a: _State(calls), getListState=lambda *a: _State(calls),
+                             registerTimer=lambda at: calls.append("timer"))
+    timers = SimpleNamespace(getCurrentWatermarkInMs=lambda: 0, getCurrentProcessingTimeInMs=lambda: 5)
+    due = SimpleNamespace(getExpiryTimeInMs=lambda: 10_000)
+    for processor, batches in ((panes.PaneDeltas(1000, 100), 5), (WatermarkFirings(0), 5),
+                               (panes.PaneDeltas(1000, 100), 2 * panes.MOST_PARTS)):
+        calls.clear()
+        processor.init(handle)
+        for _ in range(batches):
+            assert list(processor.handleInputRows((0, 600_000, 0), iter([{"drivers": part(many)}]), timers)) == []
+        assert len(calls) <= 4 * batches and len(processor.drivers.value) <= panes.MOST_PARTS
+        fired, = processor.handleExpiredTimer((0, 600_000, 0), timers, due)
+        rows = panes.unpack([fired.drivers]).to_pylist()
+        assert len(rows) == len(many)
+        assert {r["driver_id"]: r["total_price"] for r in rows} == {d: i * batches for i, d in enumerate(many)}
+
+
+def test_slots_get_one_packed_row_per_window():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({
+        "driver_id": ["a", "b", None, "a"], "interval_start_ms": [0, 0, 10, 0], "interval_end_ms": [10, 10, 20, 10],
+        "slot": [1, 1, 0, 1], **{c: [1, 2, 3, 4] for c in panes.TOTALS}})
+    rows = [r for b in panes._packed([batch, batch], 2, False) for r in b.to_pylist()]
+    got = {(r["interval_start_ms"], r["slot"]): panes.unpack([r["drivers"]]).select(["driver_id", "total_tips"]).to_pylist()
+           for r in rows}
+    assert len(rows) == 2 and got[10, 0] == [{"driver_id": None, "total_tips": 6}]
+    assert sorted(r["total_tips"] for r in got[0, 1]) == [4, 10]
+    ticks = [r for b in panes._packed([batch], 2, True) for r in b.to_pylist() if r["drivers"] is None]
+    assert sorted((r["interval_start_ms"], r["slot"]) for r in ticks) == [(0, 0), (0, 1), (10, 0), (10, 1)]
