@@ -18,20 +18,22 @@ on; this is weighted by what the markup says of it, and blocks below
 * weight 1/2 below an element that names itself a menu, footer, advert, form,
   comment and the like (``NOISE``), and outside of the article on pages that
   mark one (``article``, ``main``);
-* an article's other blocks are always important and stay out of the tree, so
-  copies of an article on one host do not make each other boilerplate;
-* pages of a host with the same longest block count as one page, for the same
-  reason where no article is marked.
+* an article's other blocks stand in the tree like all others, and the article's mark counts as
+  ``VOUCHED`` further pages with texts of their own: a title that two pages
+  share stays, a notice that every page repeats inside its article leaves;
+* pages of a host with the same longest block count as one page, so copies of an
+  article on one host do not make each other boilerplate.
 
 Head, scripts, styles, comments of the markup and void elements hold no text.
 A block is the text between two starts or ends of block elements; references
 are decoded, white space (Unicode's) becomes one space, ``br`` too.
 
 Scale: pages are parsed twice, in tasks.  Between lie narrow rows, one per
-node outside of articles, aggregated by (host, node): a host with a third of
+node, aggregated by (host, node): a host with a third of
 all pages is spread over its nodes and pre-aggregated by task, and no host is
-ever held in one place.  Pages meet their own cut blocks by a digest of host
-and html.
+ever held in one place.  Pages meet those of their blocks
+that the tree cuts by a digest of host and html; such lists are written first, so
+that Spark broadcasts them where they are short and no page is shuffled.
 
 Defined cases: null html or url are empty; an empty page has an empty text;
 repeated pages and page ids give a row each, like pages the same text;
@@ -57,6 +59,8 @@ from .common import BINARY, BOOL, DOUBLE, LONG, STRING, Scratch, field, map_arro
 LEAST = 0.7
 #: Weight of what the markup itself sets apart from the article.
 ASIDE = 0.5
+#: Pages that the mark of an article counts for, on behalf of its blocks.
+VOUCHED = 8
 MAX_DEPTH = 64
 
 # Fixed values of HTML: elements without content, with raw content, and inside a line.
@@ -235,7 +239,7 @@ def nodes(root: Node):
 
     A presentation is (key, style); a block (key, text, weight, chain) with
     the keys of the presentations below the body that it hangs on.  Blocks of
-    an article that nothing sets apart have weight None.
+    an article that nothing sets apart have weight None: 1, vouched for by its mark.
     """
     presentations, blocks = [], []
     marked = False
@@ -252,15 +256,14 @@ def nodes(root: Node):
             blocks.append([key, node.text, state, chain])
             continue
         style = _digest(*(c.label.encode() for c in node.children))
-        if state != CONTENT:
-            presentations.append((key, number(style)))
+        presentations.append((key, number(style)))
         below = chain if node.tag in ("html", "body") else (*chain, number(key))
         for i in range(len(node.children) - 1, -1, -1):
             child = node.children[i]
             stack.append((child, _digest(key, style, b"%d" % i, child.label.encode()), below, state, strong))
     for b in blocks:
         b[2] = None if b[2] == CONTENT else ASIDE if marked or b[2] == NOISY else 1.0
-        b[0] = number(b[0]) ^ (b[2] == ASIDE)
+        b[0] = number(b[0]) ^ (2 if b[2] is None else b[2] == ASIDE)
     return [(number(k), s) for k, s in presentations], blocks
 
 
@@ -276,11 +279,11 @@ def with_site(pages: DataFrame, html_col: str = "html", url_col: str = "url") ->
 
 
 NODE = [field("host", STRING), field("u", LONG), field("v", LONG), field("page", LONG), field("key", LONG),
-        field("variant", LONG), field("weight", DOUBLE), field("chain", T.ArrayType(LONG))]
+        field("variant", LONG), field("weight", DOUBLE), field("vouched", LONG), field("chain", T.ArrayType(LONG))]
 
 
 def node_rows(sited: DataFrame) -> DataFrame:
-    """One row per node outside of articles; ``weight`` is null for presentations."""
+    """One row per node; ``weight`` is null for presentations."""
     def run(batches):
         for b in batches:
             out: list[list] = [[] for _ in NODE]
@@ -289,11 +292,11 @@ def node_rows(sited: DataFrame) -> DataFrame:
                 presentations, blocks = nodes(parse(page.as_py()))
                 free = [t for _, t, w, _ in blocks if w != ASIDE] or [t for _, t, _, _ in blocks]
                 name = number(_digest(max(free, key=lambda t: (len(t), t), default="").encode()))
-                rows = [(k, s, None, None) for k, s in presentations]
-                rows += [(k, number(_digest(t.encode("utf-8", "surrogatepass"))), w, list(chain))
-                         for k, t, w, chain in blocks if w is not None]
-                for k, variant, w, chain in rows:
-                    for col, x in zip(out, (host, u, v, name, k, variant, w, chain), strict=True):
+                rows = [(k, s, None, 0, None) for k, s in presentations]
+                rows += [(k, number(_digest(t.encode("utf-8", "surrogatepass"))), 1.0 if w is None else w,
+                          VOUCHED if w is None else 0, list(chain)) for k, t, w, chain in blocks]
+                for row in rows:
+                    for col, x in zip(out, (host, u, v, name, *row), strict=True):
                         col.append(x)
             yield out
 
@@ -302,33 +305,34 @@ def node_rows(sited: DataFrame) -> DataFrame:
 
 def importance(rows: DataFrame) -> DataFrame:
     """host, key, m, importance of every node, over the different pages of its host."""
-    once = rows.groupBy("host", "key", "variant", "page").agg(F.max("weight").alias("weight"))
-    variants = once.groupBy("host", "key", "variant").agg(F.count(F.lit(1)).alias("c"), F.max("weight").alias("weight"))
+    judged = F.max("weight").alias("weight"), F.max("vouched").alias("vouched")
+    once = rows.groupBy("host", "key", "variant", "page").agg(*judged)
+    variants = once.groupBy("host", "key", "variant").agg(F.count(F.lit(1)).alias("c"), *judged)
     per_node = variants.groupBy("host", "key").agg(
         F.sum("c").alias("m"), F.sum(F.col("c") * F.log(F.col("c").cast("double"))).alias("s"),
-        F.max("weight").alias("weight"))
+        *judged)
     sites = rows.groupBy("host", "page").agg(F.lit(1).alias("one")).groupBy("host").agg(
         F.count(F.lit(1)).alias("site_pages"))
     imp = F.when(F.col("site_pages") > 1,
-                 1 - F.col("s") / (F.col("m") * F.log(F.col("site_pages").cast("double")))).otherwise(1.0)
+                 1 - F.col("s") / ((F.col("m") + F.col("vouched"))
+                                   * F.log((F.col("site_pages") + F.col("vouched")).cast("double")))).otherwise(1.0)
     return per_node.join(sites, "host").select("host", "key", "m", "weight", imp.alias("importance"))
 
 
 def cut_blocks(rows: DataFrame, scored: DataFrame) -> DataFrame:
-    """host, key of the blocks whose weighted importance is below ``LEAST``."""
+    """host, key of the blocks whose weighted importance is below ``LEAST``, but not their weight alone."""
     own = scored.where("weight IS NOT NULL")
-    sure = own.where(F.col("weight") < LEAST).select("host", "key")
     maybe = own.where((F.col("weight") >= LEAST) & (F.col("weight") * F.col("importance") < LEAST)).select("host", "key")
     chains = rows.where("weight IS NOT NULL").join(maybe, ["host", "key"]).select("host", "key", "chain") \
         .dropDuplicates(["host", "key"])
     hangs = chains.select("host", "key", F.explode("chain").alias("above"))
     held = hangs.join(scored.where((F.col("weight").isNull()) & (F.col("importance") >= LEAST))
                       .select("host", F.col("key").alias("above")), ["host", "above"]).select("host", "key").distinct()
-    return sure.unionByName(maybe.join(held, ["host", "key"], "left_anti"))
+    return maybe.join(held, ["host", "key"], "left_anti")
 
 
 def text_of(page: str, cut: frozenset) -> str:
-    return "\n".join(t for k, t, w, _ in nodes(parse(page))[1] if w is None or k not in cut)
+    return "\n".join(t for k, t, w, _ in nodes(parse(page))[1] if k not in cut and (w is None or w >= LEAST))
 
 
 def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -339,8 +343,8 @@ def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_
     rows = scratch.write(node_rows(sited), "nodes")
     scored = scratch.write(importance(rows), "importance")
     cut = cut_blocks(rows, scored)
-    lists = rows.where("weight IS NOT NULL").join(cut, ["host", "key"]).groupBy("u", "v").agg(
-        F.collect_set("key").alias("cut"))
+    lists = scratch.write(rows.where(F.col("weight") >= LEAST).join(cut, ["host", "key"]).groupBy("u", "v").agg(
+        F.collect_set("key").alias("cut")), "lists")
     joined = sited.join(lists, (F.col("__u") == F.col("u")) & (F.col("__v") == F.col("v")), "left")
 
     def run(batches):

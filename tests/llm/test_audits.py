@@ -166,6 +166,21 @@ def test_op12_style_tree_finds_unmarked_boilerplate(spark):
     assert got[100].startswith("Home\nAbout\nShop\nWe use") and body_text(100) in got[100]
 
 
+def test_op12_marked_articles_are_judged_by_the_tree(spark):
+    """The same notice in every article of a host leaves; a title that two pages share stays."""
+    page = lambda i, title: (f"<body><nav><a>Menu</a></nav><article><h1>{title}</h1><p>Story {i} tells of {i * 7} things"
+                             f"</p><p>Follow us for more</p></article><footer>end</footer></body>")
+    rows = [(i, f"http://one.example/{i}", page(i, f"Title {i % 15}")) for i in range(30)]
+    rows += [(100 + i, f"http://two.example/{i}", page(i, "News")) for i in range(2)]
+    rows += [(200 + i, f"http://copies.example/{i}", page(1, "News")) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in style_tree.extract(spark, pages).collect()}
+    for i in range(30):
+        assert got[i] == f"Title {i % 15}\nStory {i} tells of {i * 7} things"
+    for i in (100, 200, 239):
+        assert got[i] == f"News\nStory {int(i >= 200)} tells of {7 * (i >= 200)} things\nFollow us for more"
+
+
 def brute_importance(pages):
     """Importance by a tree of tuples instead of hashes, for (host, html) rows."""
     hosts = defaultdict(dict)
