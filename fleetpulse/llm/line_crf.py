@@ -4,19 +4,19 @@ Base counts of a text come from its words and lines.  Then a linear-chain
 conditional random field labels every line with a word as content or
 boilerplate (Viterbi), and the share of words in content lines decides.
 
-The field is trained here, on a bounded, seeded sample of labelled documents
-(``TRAIN_ROWS``).  Its line labels differ within a document: a line of the sample
-that the whole corpus shows in ever new surroundings (``shared_lines``) is
+The field is trained here, on every line of every labelled document.  Its line labels differ
+within a document: a line that the whole corpus shows in ever new surroundings (``shared_lines``) is
 boilerplate wherever it stands, every other line of a good document is
 content, and every line of a bad one boilerplate.  Copies of a page repeat a line
 between the same neighbours, so their lines are not taken for boilerplate.  Being such
 a line is a feature too, and transitions beside such a line are learned apart, so that a footer does not
 pull the text before it; transitions and the form of a line decide on the rest.
 
-Training sees line features and hashes only, of a document at most
-``TRAIN_PIECES`` runs of ``PIECE_LINES`` lines spread over its whole text, so the
-driver's share is bounded whatever the texts' length.  Labelling and counts
-always cover whole texts, the surroundings of a line all documents.
+Scale: one pass writes hashes of all lines and their surroundings; they are counted by shuffles, and
+texts meet their own shared lines by a digest.  Training rows (features and labels of the lines) are
+written once; every step of the training is a Spark job over them, of which the driver gets the
+likelihood and its gradient, 37 numbers per task.  The likelihood is concave, so the steps (BFGS)
+end at its maximum, whatever the order of the rows.
 
 Defined cases: null or empty text has zero counts and fails the base rule (too
 few words); without labels of both classes the field is not used and the
@@ -25,6 +25,7 @@ base rule decides alone; one row per input row, repeated or null ids too.
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -34,15 +35,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textops
-from .common import BINARY, BOOL, INT, LONG, field, map_arrow
+from .common import BINARY, BOOL, DOUBLE, INT, LONG, Scratch, field, map_arrow
 
-TRAIN_ROWS = 3_000
 TRAIN_PIECES = 8
 PIECE_LINES = 256
 MIN_WORDS = 50
 MAX_REPEAT = 50
 MIN_CONTENT = 0.5
 STEPS = 250
+#: The gradient at which training has arrived.
+ARRIVED = 1e-5
+#: Lines of a padded group of documents that the likelihood takes at a time.
+GROUP_LINES = 1 << 15
 
 _flag = lambda chars: np.isin(np.arange(256), np.frombuffer(chars.encode(), np.uint8))
 SYMBOL = _flag("#*$%&|<>")
@@ -57,9 +61,6 @@ N_FEATURES = 14
 MIN_PLACES = 8
 
 
-NO_LINES = np.zeros(0, np.uint64)
-
-
 class Lines:
     """Words, lines and per-line sums of one block of texts."""
 
@@ -140,8 +141,8 @@ def places(x: Lines) -> tuple[np.ndarray, np.ndarray]:
     return h, textops.mix(before * textops.BYTE_VALUE[1] + textops.mix(after))
 
 
-def features(x: Lines, shared: np.ndarray = NO_LINES) -> np.ndarray:
-    """Feature rows of the lines with a word, in order (float32); ``shared``: sorted hashes."""
+def features(x: Lines, shared: np.ndarray | None = None) -> np.ndarray:
+    """Feature rows of the lines with a word, in order (float32); ``shared``: which lines are."""
     size = np.maximum(x.end - x.start, 1)
     words = np.maximum(x.line_words, 1)
     share = lambda t: x.sums(t) / size
@@ -159,7 +160,7 @@ def features(x: Lines, shared: np.ndarray = NO_LINES) -> np.ndarray:
         np.minimum(size / words / 10, 3), 5 * share(SYMBOL), upper / np.maximum(upper + lower, 1),
         5 * share(DIGIT), 3 * share(PUNCT), 5 * share(BANG), PUNCT[last], dup,
         np.minimum(hit / words, 1), np.minimum(x.sums(SYMBOL) / words, 3),
-        np.isin(hashes, shared)], 1)
+        np.zeros(len(x.start)) if shared is None else shared], 1)
     return rows[x.line_words > 0].astype(np.float32)
 
 
@@ -187,145 +188,216 @@ def viterbi(score: np.ndarray, trans: np.ndarray) -> np.ndarray:
 
 
 def pieces(f: np.ndarray, most: int = TRAIN_PIECES, lines: int = PIECE_LINES) -> list[np.ndarray]:
-    """The runs of lines of one text that training sees: all lines up to
-    ``most * lines``, evenly spread runs beyond."""
+    """Runs of lines of one text, for a caller of ``train`` that holds few: all lines up to
+    ``most * lines``, evenly spread runs beyond.  ``fit`` takes texts whole."""
     if len(f) <= most * lines:
         return np.array_split(f, -(-len(f) // lines)) if len(f) else []
     return [f[a:a + lines] for a in np.linspace(0, len(f) - lines, most).astype(int).tolist()]
 
 
-def train(seqs: list[np.ndarray], labels: list[int], steps: int = STEPS, rate: float = 0.1,
-          ridge: float = 1e-3, sizes: list[int] | None = None,
-          lines: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Weights (features, 2) and transitions (2, 2, 2) of the field, beside no shared line and beside one, by
-    gradient ascent on the conditional log-likelihood; sequences are padded within length groups.
-
-    ``sizes`` has the lines of the document that a sequence is a piece of, so
-    that every document weighs the same (default: a sequence is a document), and
-    ``lines`` the labels of its lines (default: the document's).
-    """
-    lines = [np.full(len(s), y) for s, y in zip(seqs, labels, strict=True)] if lines is None else lines
-    sizes = [len(s) for s in seqs] if sizes is None else sizes
-    part = [len(s) / n for s, n in zip(seqs, sizes, strict=True)]
+def likelihood(w: np.ndarray, t: np.ndarray, seqs: list[np.ndarray], lines: list[np.ndarray],
+               weights: np.ndarray) -> np.ndarray:
+    """Weighted log-likelihood of labelled sequences and its gradient by ``w`` and ``t``, in one row."""
     order = sorted(range(len(seqs)), key=lambda i: len(seqs[i]))
-    groups = []
-    for lo in range(0, len(order), 256):
-        idx = order[lo:lo + 256]
-        n = max(len(seqs[i]) for i in idx)
-        x = np.zeros((len(idx), n, N_FEATURES))
+    value, gw, gt = 0.0, np.zeros_like(w), np.zeros_like(t)
+    at = 0
+    while at < len(order):
+        end = at + 1
+        while end < len(order) and (end + 1 - at) * len(seqs[order[end]]) <= GROUP_LINES:
+            end += 1
+        idx, at = order[at:end], end
+        n = len(seqs[idx[-1]])
+        x = np.zeros((len(idx), n, w.shape[0]))
         live = np.zeros((len(idx), n), bool)
         want = np.zeros((len(idx), n, 2))
         for r, i in enumerate(idx):
             x[r, :len(seqs[i])] = seqs[i]
             live[r, :len(seqs[i])] = True
             want[r, np.arange(len(seqs[i])), lines[i]] = 1
-        groups.append((x, live, want, np.array([labels[i] for i in idx]), np.array([sizes[i] for i in idx])))
-    w, t = np.zeros((N_FEATURES, 2)), np.zeros((2, 2, 2))
-    m1, m2, total = [np.zeros_like(w), np.zeros_like(t)], [np.zeros_like(w), np.zeros_like(t)], sum(part)
-    balance = {y: 0.5 * total / max(1, sum(p for p, z in zip(part, labels, strict=True) if z == y)) for y in (0, 1)}
-    for step in range(1, steps + 1):
-        gw, gt = -ridge * w, -ridge * t
-        for x, live, want, y, size in groups:
-            weight = np.where(y == 1, balance[1], balance[0]) / total / np.maximum(size, 1)
-            s = x @ w
-            n = x.shape[1]
-            step_of = steps_between(x[:, :, -1])
-            tr = t[step_of]
-            f, b = np.zeros_like(s), np.zeros_like(s)
-            f[:, 0] = s[:, 0]
-            for k in range(1, n):
-                nxt = s[:, k] + np.logaddexp(f[:, k - 1, 0, None] + tr[:, k - 1, 0], f[:, k - 1, 1, None] + tr[:, k - 1, 1])
-                f[:, k] = np.where(live[:, k, None], nxt, f[:, k - 1])
-            for k in range(n - 2, -1, -1):
-                v = s[:, k + 1] + b[:, k + 1]
-                nxt = np.logaddexp(v[:, 0, None] + tr[:, k, :, 0], v[:, 1, None] + tr[:, k, :, 1])
-                b[:, k] = np.where(live[:, k + 1, None], nxt, 0.0)
-            z = np.logaddexp(f[:, -1, 0], f[:, -1, 1])
-            p = np.exp(np.minimum(f + b - z[:, None, None], 0)) * live[:, :, None]
-            gw = gw + np.einsum("dlf,dlk->fk", x, (want - p) * weight[:, None, None])
-            if n > 1:
-                pair = live[:, 1:]
-                for i in range(2):
-                    for j in range(2):
-                        q = np.exp(np.minimum(f[:, :-1, i] + tr[:, :, i, j] + s[:, 1:, j] + b[:, 1:, j] - z[:, None], 0))
-                        seen = want[:, :-1, i] * want[:, 1:, j]
-                        g = (seen - q) * pair * weight[:, None]
-                        gt[:, i, j] += g[step_of == 0].sum(), g[step_of == 1].sum()
-        for v, g, a, c in ((w, gw, m1[0], m2[0]), (t, gt, m1[1], m2[1])):
-            a += 0.1 * (g - a)
-            c += 0.01 * (g * g - c)
-            v += rate * (a / (1 - 0.9**step)) / (np.sqrt(c / (1 - 0.99**step)) + 1e-8)
-    return w, t
-
-
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, id_col: str = "doc_id",
-        text_col: str = "text", label_col: str = "quality", seed: int = 23):
-    """(weights, transitions, hashes of the shared lines), or None without labels of both
-    classes.  Uses at most ``train_rows`` labelled documents; the feature rows and line hashes of
-    their ``pieces`` come to the driver."""
-    spark = docs.sparkSession
-    lab = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
-           .where("id IS NOT NULL AND y IN (0, 1)").groupBy("id").agg(F.min("y").alias("y")))
-    # Half of the sample from each class, smallest seeded hashes first.
-    chosen = [r for y in (0, 1) for r in lab.where(f"y = {y}").orderBy(F.xxhash64(F.lit(seed), "id"), "id")
-              .limit(train_rows // 2).collect()]
-    if len({r["y"] for r in chosen}) < 2:
-        return None
-    sample = spark.createDataFrame([(r["id"], r["y"]) for r in chosen],
-                                   T.StructType([field("id", labels.schema[id_col].dataType), field("y", INT)]))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
+        weight = weights[idx]
+        s = x @ w
+        step_of = steps_between(x[:, :, -1])
+        tr = t[step_of]
+        f, b = np.zeros_like(s), np.zeros_like(s)
+        f[:, 0] = s[:, 0]
+        for k in range(1, n):
+            nxt = s[:, k] + np.logaddexp(f[:, k - 1, 0, None] + tr[:, k - 1, 0], f[:, k - 1, 1, None] + tr[:, k - 1, 1])
+            f[:, k] = np.where(live[:, k, None], nxt, f[:, k - 1])
+        for k in range(n - 2, -1, -1):
+            v = s[:, k + 1] + b[:, k + 1]
+            nxt = np.logaddexp(v[:, 0, None] + tr[:, k, :, 0], v[:, 1, None] + tr[:, k, :, 1])
+            b[:, k] = np.where(live[:, k + 1, None], nxt, 0.0)
+        z = np.logaddexp(f[:, -1, 0], f[:, -1, 1])
+        value += float(weight @ ((want * s).sum((1, 2)) - z))
+        p = np.exp(np.minimum(f + b - z[:, None, None], 0)) * live[:, :, None]
+        gw += np.tensordot(x, (want - p) * weight[:, None, None], ([0, 1], [0, 1]))
+        if n > 1:
+            for i in range(2):
+                for j in range(2):
+                    q = np.exp(np.minimum(f[:, :-1, i] + tr[:, :, i, j] + s[:, 1:, j] + b[:, 1:, j] - z[:, None], 0))
+                    seen = want[:, :-1, i] * want[:, 1:, j]
+                    g = (seen - q) * live[:, 1:] * weight[:, None]
+                    value += float((seen * tr[:, :, i, j] * weight[:, None]).sum())
+                    gt[:, i, j] += g[step_of == 0].sum(), g[step_of == 1].sum()
+    return np.r_[value, gw.ravel(), gt.ravel()]
+
+
+def ascend(total, steps: int = STEPS, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (features, 2) and transitions (2, 2, 2) of the highest likelihood less the ridge's part, by BFGS.
+    ``total(w, t)`` is ``likelihood`` over all sequences; it is asked at most ``steps`` times."""
+    split = lambda v: (v[:N_FEATURES * 2].reshape(N_FEATURES, 2), v[N_FEATURES * 2:].reshape(2, 2, 2))
+
+    def at(v):
+        got = total(*split(v))
+        return ridge / 2 * (v @ v) - got[0], ridge * v - got[1:]
+
+    v = np.zeros(N_FEATURES * 2 + 8)
+    inverse, first = np.eye(len(v)), True
+    value, slope = at(v)
+    asked, size = 1, 1.0
+    while asked < steps and np.abs(slope).max() > ARRIVED:
+        way = -inverse @ slope
+        size = min(1.0, 1 / np.abs(slope).sum()) if first else 1.0
+        while asked < steps:
+            new_value, new_slope = at(v + size * way)
+            asked += 1
+            if new_value <= value + 1e-4 * size * (slope @ way):
+                break
+            size /= 2
+            if size < 1e-10:
+                return split(v)
+        else:
+            break
+        moved, turned = size * way, new_slope - slope
+        v, value, slope = v + moved, new_value, new_slope
+        curve = moved @ turned
+        if curve > 1e-14:
+            if first:
+                inverse, first = np.eye(len(v)) * curve / (turned @ turned), False
+            part = np.eye(len(v)) - np.outer(moved, turned) / curve
+            inverse = part @ inverse @ part.T + np.outer(moved, moved) / curve
+    return split(v)
+
+
+def train(seqs: list[np.ndarray], labels: list[int], steps: int = STEPS, ridge: float = 1e-3,
+          sizes: list[int] | None = None, lines: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and transitions of the field, beside no shared line and beside one, for sequences at hand.
+
+    ``sizes`` has the lines of the document that a sequence is a piece of, so
+    that every document weighs the same (default: a sequence is a document), and
+    ``lines`` the labels of its lines (default: the document's).
+    """
+    lines = [np.full(len(s), y) for s, y in zip(seqs, labels, strict=True)] if lines is None else lines
+    sizes = [len(s) for s in seqs] if sizes is None else sizes
+    part = np.array([len(s) / n for s, n in zip(seqs, sizes, strict=True)])
+    y = np.array(labels)
+    weights = 0.5 / np.maximum(np.where(y == 1, part[y == 1].sum(), part[y == 0].sum()), 1e-300) / np.array(sizes)
+    return ascend(lambda w, t: likelihood(w, t, seqs, lines, weights), steps, ridge)
+
+
+def with_key(docs: DataFrame, text_col: str) -> DataFrame:
+    """u, v: digest of the text."""
+    text = F.col(text_col)
+    return docs.withColumns({"__u": F.xxhash64(text), "__v": F.xxhash64(F.lit(6), text)})
+
+
+def line_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """u, v, line, place, n: every line with a word of every document, once per text, batch and place."""
 
     def run(batches):
         for b in batches:
             for i, j, data, off in textops.blocks(b.column(2)):
                 x = Lines(data, off)
-                found = features(x)
+                h, c = places(x)
                 per = np.bincount(x.text[x.line_words > 0], minlength=j - i)
-                split = lambda v: np.split(v, np.cumsum(per)[:-1])
-                cut = [pa.array([[p.tobytes() for p in pieces(f)] for f in split(v)], pa.list_(pa.binary()))
-                       for v in (found, places(x)[0])]
-                yield [b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), *cut]
-
-    got = map_arrow(rows, ["id", "y", "text"], [rows.schema["id"], field("y", INT), field("f", T.ArrayType(BINARY)),
-                                                field("h", T.ArrayType(BINARY))], run).collect()
-    got = sorted((r["id"], r["y"], [bytes(p) for p in r["f"]], [bytes(p) for p in r["h"]]) for r in got if r["f"])
-    if len({g[1] for g in got}) < 2:
-        return None
-    hashes = [[np.frombuffer(p, np.uint64) for p in h] for _, _, _, h in got]
-    shared = shared_lines(docs, np.unique(np.concatenate([p for h in hashes for p in h])), text_col)
-    seqs, labels_, sizes, lines = [], [], [], []
-    for (_, y, f, _), hs in zip(got, hashes, strict=True):
-        for p, h in zip(f, hs, strict=True):
-            seqs.append(np.frombuffer(p, np.float32).reshape(-1, N_FEATURES).copy())
-            known = np.isin(h, shared)
-            seqs[-1][:, -1] = known
-            labels_.append(y)
-            sizes.append(sum(map(len, hs)))
-            lines.append(np.where(known, 0, y))
-    return *train(seqs, labels_, sizes=sizes, lines=lines), shared
+                u, v = (np.repeat(b.column(k).slice(i, j - i).to_numpy(), per) for k in (0, 1))
+                rows, n = np.unique(np.stack([u, v, h.view(np.int64), c.view(np.int64)], 1), axis=0, return_counts=True)
+                yield [*[pa.array(rows[:, k]) for k in range(4)], pa.array(n.astype(np.int64))]
+
+    return map_arrow(with_key(docs.select(text_col), text_col), ["__u", "__v", text_col],
+                     [field(c, LONG) for c in ("u", "v", "line", "place", "n")], run)
+
+
+def spread_lines(rows: DataFrame, least: int = MIN_PLACES) -> DataFrame:
+    """line: those that stand in ``least`` places or more, at most half of them between the same two lines."""
+    return (rows.groupBy("line", "place").agg(F.sum("n").alias("n"))
+            .groupBy("line").agg(F.sum("n").alias("total"), F.max("n").alias("most"))
+            .where(f"total >= {int(least)} AND 2 * most <= total").select("line"))
 
 
 def shared_lines(docs: DataFrame, of: np.ndarray, text_col: str = "text", least: int = MIN_PLACES) -> np.ndarray:
-    """Those of the sorted line hashes ``of`` that stand in ``least`` places of all documents
-    or more, at most half of them between the same two lines; sorted.  ``of`` is broadcast, it
-    has the lines of the bounded sample; counts are combined per batch and per task."""
-    wanted = docs.sparkSession.sparkContext.broadcast(of)
+    """Those of the line hashes ``of`` that all documents show in ever new surroundings; sorted."""
+    asked = docs.sparkSession.createDataFrame([(int(h),) for h in of.view(np.int64)], "line long")
+    found = spread_lines(line_rows(docs, text_col), least).join(asked, "line")
+    return np.sort(np.array([r["line"] for r in found.collect()], np.int64).view(np.uint64))
+
+
+def shared_lists(docs: DataFrame, scratch: Scratch, text_col: str = "text") -> DataFrame:
+    """u, v, shared: the shared lines of every text that has one."""
+    rows = scratch.write(line_rows(docs, text_col), "lines")
+    shared = scratch.write(spread_lines(rows), "shared")
+    return scratch.write(rows.join(shared, "line").groupBy("u", "v").agg(F.collect_set("line").alias("shared")), "lists")
+
+
+def with_shared(docs: DataFrame, lists: DataFrame | None, text_col: str) -> DataFrame:
+    """``docs`` with the shared lines of each text, as ``__shared``."""
+    if lists is None:
+        return docs.withColumn("__shared", F.lit(None).cast(T.ArrayType(LONG)))
+    return with_key(docs, text_col).join(
+        lists.select(F.col("u").alias("__u"), F.col("v").alias("__v"), F.col("shared").alias("__shared")),
+        ["__u", "__v"], "left")
+
+
+def known_lines(x: Lines, shared: pa.Array) -> np.ndarray:
+    """Which lines are among their own text's shared lines."""
+    hashes, at = line_hashes(x), shared.value_lengths().fill_null(0).to_numpy()
+    own = np.stack([np.repeat(np.arange(len(at)), at), shared.flatten().to_numpy()], 1)
+    mine = np.stack([x.text, hashes.view(np.int64)], 1)
+    return np.isin(textops.mix(mine[:, 1].view(np.uint64)) ^ mine[:, 0].astype(np.uint64),
+                   textops.mix(own[:, 1].astype(np.int64).view(np.uint64)) ^ own[:, 0].astype(np.uint64))
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        label_col: str = "quality", scratch: Scratch | None = None):
+    """(weights, transitions, table of the texts' shared lines), or None without labels of both
+    classes.  Uses all lines of all labelled documents."""
+    spark = docs.sparkSession
+    scratch = scratch or Scratch(spark, "line-crf")
+    lab = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
+           .where("id IS NOT NULL AND y IN (0, 1)").groupBy("id").agg(F.min("y").alias("y")))
+    lists = shared_lists(docs, scratch, text_col)
+    rows = with_shared(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(lab, "id"), lists, "text")
 
     def run(batches):
         for b in batches:
-            for _, _, data, off in textops.blocks(b.column(0)):
-                h, c = places(Lines(data, off))
-                mine = np.isin(h, wanted.value)
-                if not mine.any():
-                    continue
-                pairs, n = np.unique(np.stack([h[mine], c[mine]], 1).view(np.int64), axis=0, return_counts=True)
-                yield [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(n.astype(np.int64))]
+            for i, j, data, off in textops.blocks(b.column(2)):
+                x = Lines(data, off)
+                found = features(x, known_lines(x, b.column(1).slice(i, j - i)))
+                per = np.bincount(x.text[x.line_words > 0], minlength=j - i)
+                yield [b.column(0).slice(i, j - i), pa.array(per),
+                       pa.array([f.tobytes() for f in np.split(found, np.cumsum(per)[:-1])], pa.binary())]
+
+    got = map_arrow(rows, ["y", "__shared", "text"], [field("y", INT), field("n", LONG), field("f", BINARY)], run)
+    got = scratch.write(got.where("n > 0"), "train")
+    count = {r["y"]: r["count"] for r in got.groupBy("y").count().collect()}
+    if len(count) < 2:
+        return None
+
+    def total(w, t):
+        def part(batches):
+            out = np.zeros(1 + w.size + t.size)
+            for b in batches:
+                y, n = b.column(0).to_numpy(), b.column(1).to_numpy()
+                seqs = [np.frombuffer(f.as_py(), np.float32).reshape(-1, N_FEATURES) for f in b.column(2)]
+                lines = [np.where(q[:, -1] > 0, 0, k) for q, k in zip(seqs, y)]
+                out = out + likelihood(w, t, seqs, lines, 0.5 / np.where(y == 1, count[1], count[0]) / n)
+            yield [pa.array([out.tolist()], pa.list_(pa.float64()))]
+
+        parts = map_arrow(got, ["y", "n", "f"], [field("g", T.ArrayType(DOUBLE))], part).collect()
+        # Added up exactly, so the order of the tasks does not matter.
+        return np.array([math.fsum(c) for c in zip(*[r["g"] for r in parts])])
 
-    found = map_arrow(docs.select(text_col), [text_col], [field("line", LONG), field("place", LONG), field("n", LONG)], run)
-    spread = (found.groupBy("line", "place").agg(F.sum("n").alias("n"))
-              .groupBy("line").agg(F.sum("n").alias("total"), F.max("n").alias("most"))
-              .where(f"total >= {int(least)} AND 2 * most <= total"))
-    return np.sort(np.array([r["line"] for r in spread.select("line").collect()], np.int64).view(np.uint64))
+    return *ascend(total), lists
 
 
 FIELDS = [field("n_words", LONG), field("word_chars", LONG), field("n_symbols", LONG),
@@ -336,20 +408,22 @@ FIELDS = [field("n_words", LONG), field("word_chars", LONG), field("n_symbols",
 def quality(df: DataFrame, model, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
             max_repeat: int = MAX_REPEAT, min_content: float = MIN_CONTENT) -> DataFrame:
     """doc_id, the base counts, base_failed, kept, n_lines (with a word), content_words."""
+    field_of, lists = (None, None) if model is None else (model[:2], model[2])
 
     def run(batches):
         for b in batches:
             for i, j, data, off in textops.blocks(b.column(1)):
                 x = Lines(data, off)
+                shared = known_lines(x, b.column(2).slice(i, j - i))
                 c = base_counts(data, off, x)
                 n, repeated = c["n_words"], c["n_repeat_words"]
                 failed = (n < min_words) | (100 * repeated > max_repeat * n)
                 live = x.line_words > 0
                 per = np.bincount(x.text[live], minlength=j - i)
                 content = n.copy()
-                if model is not None:
-                    rows = features(x, model[2])
-                    scores, trans = rows @ model[0], model[1][steps_between(rows[:, -1])]
+                if field_of is not None:
+                    rows = features(x, shared)
+                    scores, trans = rows @ field_of[0], field_of[1][steps_between(rows[:, -1])]
                     size = x.line_words[live]
                     edges = np.r_[0, np.cumsum(per)]
                     for t in range(j - i):
@@ -360,7 +434,8 @@ def quality(df: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
                 yield [b.column(0).slice(i, j - i), *[pa.array(v.astype(np.int64)) for v in c.values()],
                        pa.array(failed), pa.array(kept), pa.array(per), pa.array(content)]
 
-    return map_arrow(df, [id_col, text_col], [field("doc_id", df.schema[id_col].dataType), *FIELDS], run)
+    rows = with_shared(df.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")), lists, "__text")
+    return map_arrow(rows, ["__id", "__text", "__shared"], [field("doc_id", df.schema[id_col].dataType), *FIELDS], run)
 
 
 def base_counts_plain(text: str | None) -> tuple[int, int, int, int, int]:

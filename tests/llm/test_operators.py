@@ -417,6 +417,39 @@ def test_op6_long_texts_train_in_bounded_pieces():
     assert np.allclose(one[0], cut[0], atol=0.05)
 
 
+def test_op6_every_labelled_line_trains_and_the_gradient_is_exact(spark, monkeypatch):
+    """More labelled documents than any sample: the distributed likelihood is the local one over all of them."""
+    rows = [(i, "\n".join(f"{'# ' * (i % 3)}w{i}x{k} some words." for k in range(1 + i % 5))) for i in range(4000)]
+    rows[7] = (7, "\n".join(f"line {k} of a long text" for k in range(3000)))
+    docs = spark.createDataFrame([*rows, (None, "x"), (9000, None)], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows] + [(9000, 1)], "doc_id long, quality int")
+    at = []
+    monkeypatch.setattr(line_crf, "ascend", lambda total, *a: at.append(total) or (None, None))
+    assert line_crf.fit(docs, labels) is not None
+    rng = np.random.default_rng(1)
+    w, t = rng.normal(size=(line_crf.N_FEATURES, 2)), rng.normal(size=(2, 2, 2))
+    import pyarrow as pa
+    seqs = []
+    for _, text in rows:
+        for _, _, data, off in textops.blocks(pa.array([text])):
+            seqs.append(line_crf.features(line_crf.Lines(data, off)))
+    y = np.array([int(i % 3 == 0) for i, _ in rows])
+    weights = np.array([0.5 / (y == k).sum() / len(s) for k, s in zip(y, seqs)])
+    lines = [np.full(len(s), k) for k, s in zip(y, seqs)]
+    want = line_crf.likelihood(w, t, seqs, lines, weights)
+    assert np.allclose(at[0](w, t), want, rtol=1e-9, atol=1e-9)
+    for k, (i, j) in enumerate([(3, 1), (0, 0)]):     # the gradient against differences
+        d = np.zeros_like(w)
+        d[i, j] = 1e-5
+        slope = (line_crf.likelihood(w + d, t, seqs, lines, weights)[0]
+                 - line_crf.likelihood(w - d, t, seqs, lines, weights)[0]) / 2e-5
+        assert slope == pytest.approx(want[1 + 2 * i + j], abs=1e-6)
+    d = np.zeros_like(t)
+    d[0, 1, 0] = 1e-5
+    slope = (line_crf.likelihood(w, t + d, seqs, lines, weights)[0] - line_crf.likelihood(w, t - d, seqs, lines, weights)[0]) / 2e-5
+    assert slope == pytest.approx(want[1 + 2 * line_crf.N_FEATURES + 2], abs=1e-6)
+
+
 def test_viterbi_is_the_best_path():
     from itertools import product
 
