@@ -450,6 +450,47 @@ def test_op6_every_labelled_line_trains_and_the_gradient_is_exact(spark, monkeyp
     assert slope == pytest.approx(want[1 + 2 * line_crf.N_FEATURES + 2], abs=1e-6)
 
 
+def test_op6_texts_do_not_travel(spark, monkeypatch, capsys):
+    """Training and labelling shuffle counts of lines, never texts, whatever the size of labels and lists."""
+    rng, footer = np.random.default_rng(5), "Accept all cookies to continue"
+    own = lambda i: " ".join(f"w{rng.integers(99)}x{i}" for _ in range(40))
+    rows = [(i, f"{own(i)}\n{footer}\n{own(-i)}" if i % 2 else "#$ !!\n" * 60) for i in range(40)]
+    docs = spark.createDataFrame([*rows, (None, rows[1][1]), (3, rows[1][1]), (50, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    frames, write = [], line_crf.Scratch.write
+    monkeypatch.setattr(line_crf.Scratch, "write", lambda s, df, name: frames.append(df) or write(s, df, name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = line_crf.quality(docs, line_crf.fit(docs, labels))
+        for df in [*frames, out]:
+            df.explain("formatted")
+        moved = re.findall(r"\) Exchange\s*\nInput.*: \[(.*)\]", capsys.readouterr().out)
+        assert moved and not [m for m in moved if "text" in m]
+        got = out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(got) == 43
+    assert {(r.n_words, r.content_words, r.kept) for r in got if r.doc_id is None or (r.doc_id % 2 and r.doc_id < 40)} == {(85, 80, True)}
+
+
+def test_op6_packed_counts_come_back():
+    import pyarrow as pa
+
+    texts = ["", "one line", None, "A b!\n\n \nA b!\n" + "#x 1 " * 20_000 + "\nend.", "\n", "x" * 70_000]
+    for _, _, data, off in textops.blocks(pa.array(texts), block_bytes=1 << 30):
+        x = line_crf.Lines(data, off)
+        want = line_crf.line_counts(x)
+        assert x.live_per.tolist() == [0, 1, 0, 4, 0, 1]
+        assert want[1].tolist() == [2, 4, 0, 1, 1, 0, 1, 1, 1, 1, 0] and want[:, 1].max() == 100_000
+        got = line_crf.packed(want, x.live_per)
+        assert (line_crf.unpacked(got, x.live_per) == want).all()
+        assert (line_crf.unpacked(got.slice(3, 3), x.live_per[3:]) == want[1:]).all()
+        marks = line_crf.marked(pa.array([None, [0], None, [3, 1], None, []], pa.list_(pa.int32())), x.live_per)
+        assert marks.tolist() == [True, False, True, False, True, False]
+    assert list(line_crf.groups(np.array([2, 2, 0, 9, 1, 1]), 4)) == [(0, 3), (3, 4), (4, 6)]
+
+
 def test_viterbi_is_the_best_path():
     from itertools import product
 
